@@ -61,3 +61,91 @@ def merged_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sample_id", "chrom", "seg_start", "seg_end",
         F.col("line_no").alias("num_mark"), F.col("cn").alias("seg_mean"))
     return cnv.merge_segments(seg)
+
+
+# ---------------------------------------------------------------- cohort, clinical, manifest
+
+from portalforge.plans import clinical, cohort, manifest  # noqa: E402
+
+STUDY_IDS = ("SD_A", "SD_B")
+# centre codes of the testdata (the reference's fixed codes never occur there)
+BINDING_CENTERS = {"SC_1": "Center One", "SC_2": "Center Two"}
+BINDING_PREFIXES = ("s3://bucket-a/study-x/",)
+
+
+def biospecimen(b: Bindings) -> DataFrame:
+    return b.v_specimen.select(
+        F.col("specimen_id").alias("kf_id"), "participant_id",
+        F.col("sample_id").alias("external_sample_id"),
+        F.col("tissue").alias("source_text_tissue_type"), "analyte_type", "composition",
+        F.col("procurement").alias("method_of_sample_procurement"),
+        F.col("aliquot_id").alias("external_aliquot_id"),
+        F.col("center_id").alias("sequencing_center_id"), "visible", "collection_event_id",
+        F.col("anatomical_site").alias("source_text_anatomical_site"),
+        F.col("tumor_descriptor").alias("source_text_tumor_descriptor"))
+
+
+def cell_lines(b: Bindings) -> DataFrame:
+    return b.v_cell_line.select(F.col("specimen_id").alias("kf_biospecimen_id"), "cell_line_type")
+
+
+def registry(b: Bindings) -> DataFrame:
+    active = cohort.active_manifest(b.v_manifest, b.v_hidden)
+    return cohort.sample_registry(biospecimen(b), active, cell_lines(b))
+
+
+def sheet(b: Bindings, reg: DataFrame) -> DataFrame:
+    return clinical.sample_sheet(reg, biospecimen(b), b.v_bs_dx, b.v_diagnosis, b.v_participant,
+                                 b.v_onco, STUDY_IDS)
+
+
+def file_manifest_of(b: Bindings) -> DataFrame:
+    reg = registry(b)
+    return manifest.file_manifest(b.v_manifest, b.v_hidden, reg, sheet(b, reg), PROJECT)
+
+
+@register
+def active_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = Bindings(spark, sf_dir)
+    return cohort.active_manifest(b.v_manifest, b.v_hidden)
+
+
+@register
+def sample_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = registry(Bindings(spark, sf_dir))
+    return r.select(
+        "participant_id", "collection_event_id", "formatted_sample_id",
+        F.array_join("sequencing_center_ids", ";", "NA").alias("sequencing_center_ids"),
+        F.array_join("specimen_id", ";").alias("specimen_id"),
+        F.array_join("analyte_types", ";", "NA").alias("analyte_types"),
+        "normal_bs_id", "normal_sample_id")
+
+
+@register
+def sample_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = Bindings(spark, sf_dir)
+    return sheet(b, registry(b))
+
+
+@register
+def patient_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = Bindings(spark, sf_dir)
+    return clinical.patient_sheet(registry(b), b.v_participant, b.v_diagnosis, b.v_outcome)
+
+
+@register
+def center_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = Bindings(spark, sf_dir)
+    reg = registry(b)
+    return clinical.center_map(reg, sheet(b, reg), BINDING_CENTERS)
+
+
+@register
+def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return file_manifest_of(Bindings(spark, sf_dir))
+
+
+@register
+def transfer_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Bindings(spark, sf_dir).v_manifest.withColumn("file_id", F.col("file_name"))
+    return manifest.transfer_plan(m, BINDING_PREFIXES)
