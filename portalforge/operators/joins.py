@@ -18,9 +18,17 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                    cache: bool = False) -> DataFrame:
     """``broadcast(df)`` when its size is proven small, else ``df`` unchanged
-    (AQE may still switch to a broadcast from the runtime shuffle size)."""
+    (AQE may still switch to a broadcast from the runtime shuffle size).
+
+    With ``cache=True`` the side is cached before the check so a derived
+    lookup (e.g. the file manifest) is not computed twice; a lost cached
+    block is recomputed from lineage.
+    """
+    if cache:
+        df = df.cache()
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 

@@ -149,3 +149,138 @@ def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def transfer_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Bindings(spark, sf_dir).v_manifest.withColumn("file_id", F.col("file_name"))
     return manifest.transfer_plan(m, BINDING_PREFIXES)
+
+
+# ---------------------------------------------------------------- expression, MAF, fusion, case lists
+
+from portalforge.plans import caselists, expression, fusion, maf  # noqa: E402
+
+# template header for the testdata MAF rows (real runs read a template file)
+BINDING_MAF_TEMPLATE = ("Hugo_Symbol", "Entrez_Gene_Id", "Variant_Classification", "Start_Position",
+                        "Tumor_Sample_Barcode", "Matched_Norm_Sample_Barcode", "HotSpotAllele")
+
+
+@register
+def expression_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return expression.expression_matrix(Bindings(spark, sf_dir).v_expr)
+
+
+@register
+def expression_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return expression.expression_zscore(expression.expression_matrix(Bindings(spark, sf_dir).v_expr))
+
+
+def maf_records(b: Bindings, panel: bool) -> DataFrame:
+    m = b.v_maf.filter(F.col("is_panel") == F.lit(panel))
+    fields = F.create_map(
+        F.lit("Hugo_Symbol"), F.col("hugo_symbol"),
+        F.lit("Variant_Classification"), F.col("variant_classification"),
+        F.lit("Start_Position"), F.col("start_position").cast("string"),
+        F.lit("Tumor_Sample_Barcode"), F.col("sample_id"))
+    return m.select(F.col("sample_id").alias("file_key"), fields.alias("fields"))
+
+
+def merged_maf_of(b: Bindings, fm: DataFrame) -> DataFrame:
+    return maf.merge_maf(maf_records(b, False), manifest.files_of_type(fm, "maf"), BINDING_MAF_TEMPLATE)
+
+
+@register
+def merged_maf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = Bindings(spark, sf_dir)
+    return merged_maf_of(b, file_manifest_of(b))
+
+
+@register
+def panel_maf_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = Bindings(spark, sf_dir)
+    fm = file_manifest_of(b)
+    panel = maf.panel_maf(maf_records(b, True), manifest.files_of_type(fm, "maf"), BINDING_MAF_TEMPLATE)
+    return maf.append_panel_maf(merged_maf_of(b, fm), panel)
+
+
+def _fusion_rows(b: Bindings, panel: bool = False) -> DataFrame:
+    return b.v_fusion.filter(F.col("is_panel") == F.lit(panel))
+
+
+def _fusion_inputs(b: Bindings):
+    reg = registry(b)
+    sh = sheet(b, reg)
+    fm = manifest.file_manifest(b.v_manifest, b.v_hidden, reg, sh, PROJECT)
+    centers = clinical.center_map(reg, sh, BINDING_CENTERS)
+    return fm, centers
+
+
+def fusion_table_of(b: Bindings) -> DataFrame:
+    fm, centers = _fusion_inputs(b)
+    rows = _fusion_rows(b).select(
+        F.col("gene1a").alias("Gene1A"), F.col("specimen_id").alias("Sample"),
+        F.col("fusion_name").alias("FusionName"), F.col("caller").alias("Caller"),
+        F.col("fusion_type").alias("Fusion_Type"), "event_id")
+    return fusion.fusion_table(rows, fm.filter(F.col("File_Type") == "fusion"), centers)
+
+
+@register
+def fusion_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fusion_table_of(Bindings(spark, sf_dir))
+
+
+@register
+def fusion_table_premerged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = Bindings(spark, sf_dir)
+    fm, centers = _fusion_inputs(b)
+    rows = _fusion_rows(b).select(
+        F.col("gene1a").alias("Gene1A"), F.col("specimen_id").alias("Sample"),
+        F.col("fusion_name").alias("FusionName"), F.col("caller").alias("CalledBy"),
+        F.col("fusion_type").alias("Fusion_Type"))
+    return fusion.fusion_table(rows, fm.filter(F.col("File_Type") == "rsem"), centers, mode="merged")
+
+
+@register
+def sv_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = Bindings(spark, sf_dir)
+    fm = file_manifest_of(b)
+    rows = _fusion_rows(b).select(
+        F.col("specimen_id").alias("file_key"), F.col("gene1a").alias("Gene1A"),
+        F.col("gene1b").alias("Gene1B"), F.col("left_breakpoint").alias("LeftBreakpoint"),
+        F.col("right_breakpoint").alias("RightBreakpoint"), F.col("fusion_type").alias("Fusion_Type"),
+        F.col("junction_reads").cast("string").alias("JunctionReadCount"),
+        F.col("spanning_frags").cast("string").alias("SpanningFragCount"),
+        "annots", F.col("fusion_name").alias("FusionName"), F.col("fusion_anno").alias("Fusion_anno"),
+        F.col("caller").alias("Caller"), "event_id")
+    return fusion.sv_table(rows, fm.filter(F.col("File_Type") == "fusion"))
+
+
+@register
+def panel_fusion_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = Bindings(spark, sf_dir)
+    fm = file_manifest_of(b)
+    panel = _fusion_rows(b, panel=True).select(
+        F.col("gene1a").alias("Hugo_Symbol"), F.lit("Panel").alias("Center"),
+        F.col("specimen_id").alias("Tumor_Sample_Barcode"), F.col("fusion_name").alias("Fusion"),
+        F.lit("yes").alias("DNA_support"), F.lit("no").alias("RNA_support"),
+        F.col("caller").alias("Method"), F.col("fusion_type").alias("Frame"))
+    rows = fusion.panel_fusions(panel, fusion.sample_lookup(fm), merged_form=True)
+    return fusion.append_panel_fusion(fusion_table_of(b), rows, PROJECT)
+
+
+def case_lists_of(b: Bindings) -> DataFrame:
+    reg = registry(b)
+    names = cohort.registry_names(reg)
+    fm = manifest.file_manifest(b.v_manifest, b.v_hidden, reg, sheet(b, reg), PROJECT)
+    muts = merged_maf_of(b, fm).select(F.col("Tumor_Sample_Barcode").alias("sample"))
+    cna = (b.v_segment.select("sample_id").distinct()
+           .join(names, F.col("sample_id") == names["specimen_id"], "inner")
+           .select(F.col("formatted_sample_id").alias("sample")))
+    rna = b.v_expr.select("sample")
+    sv = fusion_table_of(b).select(F.col("Tumor_Sample_Barcode").alias("sample"))
+    return caselists.case_lists(muts, cna, rna, sv)
+
+
+@register
+def case_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return case_lists_of(Bindings(spark, sf_dir))
+
+
+@register
+def case_list_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return caselists.case_list_sizes(case_lists_of(Bindings(spark, sf_dir)))
