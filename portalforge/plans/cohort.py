@@ -70,7 +70,9 @@ def pairing_flags(seq: DataFrame) -> DataFrame:
     sim = tumor & F.col("analyte_type").isin("RNA", "DNA", "Virtual")
 
     def n(cond, c):
-        return F.count_distinct(F.when(cond, F.col(c)))
+        # distinct count as the size of a per-sample set: a handful of
+        # specimens per sample, and no Expand of the input per distinct column
+        return F.size(F.collect_set(F.when(cond, F.col(c))))
 
     agg = seq.groupBy("sample_id").agg(
         n(pri, "analyte_type").alias("pa"), n(pri, "specimen_id").alias("ps"),

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portalforge.plans import cnv
+from portalforge.session import materialize
 from portalforge.sources.bindings import Bindings
 
 PROJECT = "study_x"
@@ -89,19 +90,77 @@ def cell_lines(b: Bindings) -> DataFrame:
     return b.v_cell_line.select(F.col("specimen_id").alias("kf_biospecimen_id"), "cell_line_type")
 
 
+class Models:
+    """Shared models of one (session, testdata folder): sample registry,
+    sample sheet, file manifest and centre map.  Several jobs read each of
+    them; they are materialised once (``portalforge.session.materialize``)
+    instead of being recomputed in every branch of every plan."""
+
+    _store: dict[tuple[int, str], "Models"] = {}
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.b = Bindings(spark, sf_dir)
+        self._kept: dict[str, DataFrame] = {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> "Models":
+        key = (id(spark), sf_dir)
+        m = cls._store.get(key)
+        if m is None or m.b.spark is not spark:
+            m = cls._store[key] = cls(spark, sf_dir)
+        return m
+
+    @classmethod
+    def reset(cls) -> None:
+        for m in cls._store.values():
+            for df in m._kept.values():
+                df.unpersist()
+        cls._store.clear()
+
+    def _keep(self, name: str, build) -> DataFrame:
+        if name not in self._kept:
+            self._kept[name] = materialize(build(), name)
+        return self._kept[name]
+
+    @property
+    def registry(self) -> DataFrame:
+        b = self.b
+        return self._keep("registry", lambda: cohort.sample_registry(
+            biospecimen(b), cohort.active_manifest(b.v_manifest, b.v_hidden), cell_lines(b)))
+
+    @property
+    def sheet(self) -> DataFrame:
+        b = self.b
+        return self._keep("sheet", lambda: clinical.sample_sheet(
+            self.registry, biospecimen(b), b.v_bs_dx, b.v_diagnosis, b.v_participant, b.v_onco,
+            STUDY_IDS))
+
+    @property
+    def file_manifest(self) -> DataFrame:
+        b = self.b
+        return self._keep("file_manifest", lambda: manifest.file_manifest(
+            b.v_manifest, b.v_hidden, self.registry, self.sheet, PROJECT))
+
+    @property
+    def centers(self) -> DataFrame:
+        return self._keep("centers", lambda: clinical.center_map(self.registry, self.sheet,
+                                                                 BINDING_CENTERS))
+
+
+def reset_models() -> None:
+    Models.reset()
+
+
 def registry(b: Bindings) -> DataFrame:
-    active = cohort.active_manifest(b.v_manifest, b.v_hidden)
-    return cohort.sample_registry(biospecimen(b), active, cell_lines(b))
+    return Models.of(b.spark, b.sf_dir).registry
 
 
-def sheet(b: Bindings, reg: DataFrame) -> DataFrame:
-    return clinical.sample_sheet(reg, biospecimen(b), b.v_bs_dx, b.v_diagnosis, b.v_participant,
-                                 b.v_onco, STUDY_IDS)
+def sheet(b: Bindings, reg: DataFrame | None = None) -> DataFrame:
+    return Models.of(b.spark, b.sf_dir).sheet
 
 
 def file_manifest_of(b: Bindings) -> DataFrame:
-    reg = registry(b)
-    return manifest.file_manifest(b.v_manifest, b.v_hidden, reg, sheet(b, reg), PROJECT)
+    return Models.of(b.spark, b.sf_dir).file_manifest
 
 
 @register
@@ -124,7 +183,9 @@ def sample_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def sample_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Bindings(spark, sf_dir)
-    return sheet(b, registry(b))
+    reg = registry(b)
+    return clinical.sample_sheet(reg, biospecimen(b), b.v_bs_dx, b.v_diagnosis, b.v_participant,
+                                 b.v_onco, STUDY_IDS)
 
 
 @register
@@ -136,13 +197,13 @@ def patient_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def center_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Bindings(spark, sf_dir)
-    reg = registry(b)
-    return clinical.center_map(reg, sheet(b, reg), BINDING_CENTERS)
+    return clinical.center_map(registry(b), sheet(b), BINDING_CENTERS)
 
 
 @register
 def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return file_manifest_of(Bindings(spark, sf_dir))
+    b = Bindings(spark, sf_dir)
+    return manifest.file_manifest(b.v_manifest, b.v_hidden, registry(b), sheet(b), PROJECT)
 
 
 @register
@@ -203,11 +264,8 @@ def _fusion_rows(b: Bindings, panel: bool = False) -> DataFrame:
 
 
 def _fusion_inputs(b: Bindings):
-    reg = registry(b)
-    sh = sheet(b, reg)
-    fm = manifest.file_manifest(b.v_manifest, b.v_hidden, reg, sh, PROJECT)
-    centers = clinical.center_map(reg, sh, BINDING_CENTERS)
-    return fm, centers
+    m = Models.of(b.spark, b.sf_dir)
+    return m.file_manifest, m.centers
 
 
 def fusion_table_of(b: Bindings) -> DataFrame:
@@ -264,9 +322,8 @@ def panel_fusion_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def case_lists_of(b: Bindings) -> DataFrame:
-    reg = registry(b)
-    names = cohort.registry_names(reg)
-    fm = manifest.file_manifest(b.v_manifest, b.v_hidden, reg, sheet(b, reg), PROJECT)
+    names = cohort.registry_names(registry(b))
+    fm = file_manifest_of(b)
     muts = merged_maf_of(b, fm).select(F.col("Tumor_Sample_Barcode").alias("sample"))
     cna = (b.v_segment.select("sample_id").distinct()
            .join(names, F.col("sample_id") == names["specimen_id"], "inner")
@@ -284,3 +341,41 @@ def case_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def case_list_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return caselists.case_list_sizes(case_lists_of(Bindings(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- clinical header rows, intake
+
+from portalforge.plans import intake  # noqa: E402
+
+PATIENT_COLUMNS = ("PATIENT_ID", "EXTERNAL_PATIENT_ID", "SEX", "RACE", "ETHNICITY", "AGE",
+                   "AGE_IN_DAYS", "OS_STATUS", "OS_MONTHS")
+NUMBER_COLUMNS = ("AGE", "AGE_IN_DAYS", "OS_MONTHS")
+
+
+def patient_header_defs() -> list[tuple[str, str, str, str, str]]:
+    """Header definition rows for the patient sheet (attribute, label,
+    description, datatype, priority), generated from the column names."""
+    return [(c, c.replace("_", " ").title(), f"{c.replace('_', ' ').title()} of the patient",
+             "NUMBER" if c in NUMBER_COLUMNS else "STRING", "1") for c in PATIENT_COLUMNS]
+
+
+@register
+def clinical_with_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = Bindings(spark, sf_dir)
+    sheet_df = clinical.patient_sheet(registry(b), b.v_participant, b.v_diagnosis, b.v_outcome)
+    defs = spark.createDataFrame(patient_header_defs(),
+                                 "attribute string, label string, description string, "
+                                 "datatype string, priority string")
+    return clinical.clinical_with_header(sheet_df, defs)
+
+
+@register
+def study_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = Bindings(spark, sf_dir)
+    return intake.study_intake(b.v_form, b.v_study_list)
+
+
+@register
+def intake_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = Bindings(spark, sf_dir)
+    return intake.intake_violations(intake.form_fields(b.v_form))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -47,15 +49,24 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return None
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in ``spark.checkpoint.dir``.
+def materialize(df: DataFrame, name: str = "model") -> DataFrame:
+    """Keep a model that several jobs read (sample registry, sheets, file
+    manifest) so it is computed once.
 
-    Used for intermediate models that several jobs read (sample registry,
-    file manifest) so that a lost executor recomputes from the checkpoint
-    rather than from the warehouse scan.  When no shared folder is named,
-    the lineage is kept: a machine-local folder would not survive the loss
-    of that machine.
+    With a shared ``spark.checkpoint.dir`` the model is written there as a
+    parquet table (a fresh folder per call) and read back: lineage is cut, a
+    lost executor re-reads the table instead of re-running the warehouse
+    joins, and the planner sees the model's real size when it chooses
+    broadcast joins downstream.  Without a shared folder the model is
+    persisted (memory, spilling to disk) and a lost block is recomputed from
+    its lineage -- a machine-local folder would not survive the loss of that
+    machine.  The models are sized by specimens and files, not by result
+    rows.
     """
-    if checkpoint_dir(df.sparkSession) is None:
-        return df
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    base = checkpoint_dir(spark)
+    if base is None:
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    path = f"{base.rstrip('/')}/portalforge/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -160,6 +160,33 @@ SELECT event_id,
        'fa'||(user_id%2) fusion_anno,
        event_type='purchase' is_panel
   FROM {events}""",
+    # request forms: each conversation is a form, each turn a line; user
+    # turns carry a field label, the following turn its answer
+    "v_form": """
+SELECT conv_id form_id,
+       turn + 1 line_no,
+       case when role = 'user' then
+            case (conv_id + turn DIV 2) % 8 when 0 then 'Study Description' when 1 then 'Study Display Name'
+                 when 2 then 'Cancer Study Identifier' when 3 then 'Type of Cancer'
+                 when 4 then 'Reference Genome' when 5 then 'Study Manifest' when 6 then 'File Types'
+                 else 'Groups' end
+       else
+            case (conv_id + turn DIV 2) % 8
+                 when 5 then case when conv_id % 3 = 0 then 'dw.m_'||(conv_id % 25)
+                                  else 'Nation '||(conv_id % 25)||' , Nation '||((conv_id + 7) % 30) end
+                 when 6 then 'maf, rsem ,fusion'
+                 when 7 then case when conv_id % 2 = 0 then '_No response_' else 'pbta, dev' end
+                 else case when length(text) % 13 = 0 then '_No response_'
+                           else replace(split_part(text, '.', 1), chr(10), ' ') end
+            end
+       end line
+  FROM {conversations}""",
+    "v_study_list": """
+SELECT 'sd_'||n_nationkey study_id,
+       'Nation '||n_nationkey study_name,
+       'dw' manifest_schema,
+       'm_'||n_nationkey manifest_name
+  FROM {nation}""",
 }
 
 _TABLE_RE = re.compile(r"\{(\w+)\}")

@@ -11,6 +11,22 @@ TABLES = (
 )
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give a scan at least as many partitions as the cluster has cores.
+
+    A file written as one row group is one split, so every narrow operator
+    above it (projections, explodes, broadcast joins, partial aggregates)
+    would run in a single task.  Such scans are round-robin repartitioned;
+    scans that already have enough splits -- every large table on a
+    cluster -- are left alone, so no shuffle is added at scale.  Filters and
+    column pruning still reach the parquet scan below the repartition.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan; filters and projections applied later reach the scan."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
