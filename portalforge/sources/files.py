@@ -41,7 +41,7 @@ def read_tsv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructTy
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """(file_name, line_no, line) with exact 1-based line numbers; each file
     is read whole, so use for small files (manifests, forms, info, BED)."""
-    raw = spark.read.option("wholetext", True).text(paths if isinstance(paths, str) else list(paths))
+    raw = spark.read.text(paths if isinstance(paths, str) else list(paths), wholetext=True)
     raw = raw.withColumn("file_name", _basename())
     lines = raw.select("file_name", F.posexplode(F.split(F.col("value"), "\n")).alias("pos", "line"))
     # a trailing newline yields one empty last element, which is not a line
@@ -142,8 +142,9 @@ def read_rsem(spark: SparkSession, paths: str | Sequence[str], value: str = "FPK
 def read_maf(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """MAF files whose columns differ from file to file.
 
-    Lines are read as text; each file's header is the line that starts
-    with ``Hugo_Symbol<TAB>`` (found by content, so split files work),
+    Lines are read as text; each file's header is the line whose fields
+    include Hugo_Symbol, Variant_Classification and Tumor_Sample_Barcode
+    (found by content, not position, so split files work),
     ``#`` lines are dropped, and every record becomes a
     ``map<string,string>`` from header name to value.  Headers are one small
     row per file and are broadcast.
@@ -151,7 +152,9 @@ def read_maf(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     text = spark.read.text(paths if isinstance(paths, str) else list(paths)).withColumn(
         "file_name", _basename())
     text = text.filter(~F.col("value").startswith("#") & (F.col("value") != ""))
-    is_header = F.col("value").startswith("Hugo_Symbol\t")
+    cells = F.split("value", "\t", -1)
+    is_header = (F.array_contains(cells, "Hugo_Symbol") & F.array_contains(cells, "Variant_Classification")
+                 & F.array_contains(cells, "Tumor_Sample_Barcode"))
     headers = (text.filter(is_header).groupBy("file_name")
                .agg(F.first(F.split("value", "\t", -1)).alias("_h")))
     rows = text.filter(~is_header).join(F.broadcast(headers), "file_name")

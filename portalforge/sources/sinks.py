@@ -19,8 +19,14 @@ from pyspark.sql import functions as F
 
 
 def write_tsv(df: DataFrame, path: str, *, partition_by: Sequence[str] = (), header: bool = True,
-              mode: str = "errorifexists", quote: bool = True) -> None:
-    """TSV sink: NULL -> '' (0 and False stay as written)."""
+              mode: str = "errorifexists", quote: bool = True, single_file: bool = False) -> None:
+    """TSV sink: NULL -> '' (0 and False stay as written).
+
+    ``single_file``: one file per ``partition_by`` value (rows of a project
+    are routed to one writer task), or one file overall without partitions.
+    """
+    if single_file:
+        df = df.repartition(*partition_by) if partition_by else df.coalesce(1)
     w = (df.write.mode(mode).option("sep", "\t").option("header", header)
          .option("nullValue", "").option("emptyValue", ""))
     if not quote:
