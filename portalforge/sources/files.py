@@ -139,18 +139,15 @@ def read_rsem(spark: SparkSession, paths: str | Sequence[str], value: str = "FPK
 
 # ------------------------------------------------------------------ MAF
 
-def read_maf(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """MAF files whose columns differ from file to file.
-
-    Lines are read as text; each file's header is the line whose fields
-    include Hugo_Symbol, Variant_Classification and Tumor_Sample_Barcode
-    (found by content, not position, so split files work),
-    ``#`` lines are dropped, and every record becomes a
-    ``map<string,string>`` from header name to value.  Headers are one small
-    row per file and are broadcast.
+def maf_records(text: DataFrame) -> DataFrame:
+    """(file_name, fields) from MAF text lines (``value``, ``file_name``).
+
+    Each file's header is the line whose fields include Hugo_Symbol,
+    Variant_Classification and Tumor_Sample_Barcode (found by content, not
+    position, so split files work); ``#`` lines are dropped and every record
+    becomes a ``map<string,string>`` from header name to value.  Headers are
+    one small row per file and are broadcast.
     """
-    text = spark.read.text(paths if isinstance(paths, str) else list(paths)).withColumn(
-        "file_name", _basename())
     text = text.filter(~F.col("value").startswith("#") & (F.col("value") != ""))
     cells = F.split("value", "\t", -1)
     is_header = (F.array_contains(cells, "Hugo_Symbol") & F.array_contains(cells, "Variant_Classification")
@@ -162,6 +159,13 @@ def read_maf(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         F.col("_h"), F.split(F.regexp_replace("value", "\r$", ""), "\t", -1)).alias("fields"))
 
 
+def read_maf(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """MAF files whose columns differ from file to file (see ``maf_records``)."""
+    text = spark.read.text(paths if isinstance(paths, str) else list(paths)).withColumn(
+        "file_name", _basename())
+    return maf_records(text)
+
+
 def read_template_header(spark: SparkSession, path: str) -> tuple[str, list[str]]:
     """(version line, column names) of a MAF template header file.  Two
     short lines; they shape the output schema, so they come to the driver."""
