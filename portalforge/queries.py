@@ -124,9 +124,7 @@ class Models:
 
     @property
     def registry(self) -> DataFrame:
-        b = self.b
-        return self._keep("registry", lambda: cohort.sample_registry(
-            biospecimen(b), cohort.active_manifest(b.v_manifest, b.v_hidden), cell_lines(b)))
+        return self._keep("registry", lambda: build_registry(self.b))
 
     @property
     def sheet(self) -> DataFrame:
@@ -147,6 +145,12 @@ class Models:
                                                                  BINDING_CENTERS))
 
 
+def build_registry(b: Bindings) -> DataFrame:
+    """The registry plan itself, for queries that read it once."""
+    return cohort.sample_registry(biospecimen(b), cohort.active_manifest(b.v_manifest, b.v_hidden),
+                                  cell_lines(b))
+
+
 def reset_models() -> None:
     Models.reset()
 
@@ -171,7 +175,7 @@ def active_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def sample_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = registry(Bindings(spark, sf_dir))
+    r = build_registry(Bindings(spark, sf_dir))
     return r.select(
         "participant_id", "collection_event_id", "formatted_sample_id",
         F.array_join("sequencing_center_ids", ";", "NA").alias("sequencing_center_ids"),
@@ -183,15 +187,14 @@ def sample_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def sample_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Bindings(spark, sf_dir)
-    reg = registry(b)
-    return clinical.sample_sheet(reg, biospecimen(b), b.v_bs_dx, b.v_diagnosis, b.v_participant,
-                                 b.v_onco, STUDY_IDS)
+    return clinical.sample_sheet(build_registry(b), biospecimen(b), b.v_bs_dx, b.v_diagnosis,
+                                 b.v_participant, b.v_onco, STUDY_IDS)
 
 
 @register
 def patient_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Bindings(spark, sf_dir)
-    return clinical.patient_sheet(registry(b), b.v_participant, b.v_diagnosis, b.v_outcome)
+    return clinical.patient_sheet(build_registry(b), b.v_participant, b.v_diagnosis, b.v_outcome)
 
 
 @register
@@ -362,7 +365,7 @@ def patient_header_defs() -> list[tuple[str, str, str, str, str]]:
 @register
 def clinical_with_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Bindings(spark, sf_dir)
-    sheet_df = clinical.patient_sheet(registry(b), b.v_participant, b.v_diagnosis, b.v_outcome)
+    sheet_df = clinical.patient_sheet(build_registry(b), b.v_participant, b.v_diagnosis, b.v_outcome)
     defs = spark.createDataFrame(patient_header_defs(),
                                  "attribute string, label string, description string, "
                                  "datatype string, priority string")
