@@ -382,3 +382,36 @@ def study_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
 def intake_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Bindings(spark, sf_dir)
     return intake.intake_violations(intake.form_fields(b.v_form))
+
+
+# ---------------------------------------------------------------- whole package (not a registered query)
+
+def write_testdata_package(spark: SparkSession, sf_dir: str, out_dir: str,
+                           case_list_attrs=None) -> list[str]:
+    """Render every package file for the testdata study under ``out_dir``."""
+    from portalforge.plans.package import write_package
+    b = Bindings(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
+    gene_cn = cnv.cnv_to_genes(b.v_segment, b.v_gene, b.v_hugo)
+    samples = _cnv_samples(b)
+    expr = expression.expression_matrix(b.v_expr).withColumn("Cbio_project", F.lit(PROJECT))
+    expr_samples = b.v_expr.select("sample").distinct().withColumn("Cbio_project", F.lit(PROJECT))
+    defs = spark.createDataFrame(patient_header_defs(), "attribute string, label string, "
+                                 "description string, datatype string, priority string")
+    seg = b.v_segment.select("sample_id", "chrom", "seg_start", "seg_end",
+                             F.col("line_no").alias("num_mark"), F.col("cn").alias("seg_mean"))
+    return write_package(
+        out_dir,
+        patient=clinical.patient_sheet(m.registry, b.v_participant, b.v_diagnosis, b.v_outcome),
+        sample=m.sheet, header_defs=defs,
+        maf=merged_maf_of(b, m.file_manifest), maf_version="#version 2.4",
+        maf_template=BINDING_MAF_TEMPLATE,
+        gene_cn=gene_cn.join(samples.select("sample_id", "Cbio_project"), "sample_id"),
+        cnv_samples=samples,
+        discrete_cells=cnv.cnv_cells_long(gene_cn, samples),
+        segments=cnv.merge_segments(seg).withColumn("Cbio_project", F.lit(PROJECT)),
+        expr_cells=expr, expr_samples=expr_samples,
+        zscore_cells=expression.expression_zscore(expression.expression_matrix(b.v_expr))
+        .withColumn("Cbio_project", F.lit(PROJECT)),
+        fusions=fusion_table_of(b), sv=sv_table(spark, sf_dir),
+        case_list_attrs=case_list_attrs, study_id=PROJECT)
