@@ -21,8 +21,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     cluster -- are left alone, so no shuffle is added at scale.  Filters and
     column pruning still reach the parquet scan below the repartition.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (Spark Connect): leave the scan as is
+        return df
+    if have >= want:
         return df
     return df.repartition(want)
 
