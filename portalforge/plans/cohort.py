@@ -106,14 +106,16 @@ def sample_registry(biospecimen: DataFrame, active: DataFrame, cell_line: DataFr
     by specimen), normal_bs_id, normal_sample_id (comma lists, NULLs skipped,
     '' when none)."""
     seq = sequenced_samples(biospecimen, active, cell_line)
-    flags = pairing_flags(seq)
+    tumors = seq.filter(F.col("source_text_tissue_type") == "Tumor")
+    # every pairing rule counts tumour rows only, so the flags are computed
+    # from the same filtered rows the names are given to (one shared plan)
+    flags = pairing_flags(tumors)
     normals = (active.select("biospecimen_id", "normal_id")
                .join(biospecimen.select("kf_id", "external_sample_id"),
                      F.col("normal_id") == F.col("kf_id"), "inner")
                .select(F.col("biospecimen_id").alias("_nb"),
                        F.col("normal_id").alias("normal_bs_id"),
                        F.col("external_sample_id").alias("normal_sample_id")))
-    tumors = seq.filter(F.col("source_text_tissue_type") == "Tumor")
     formatted = (tumors.join(flags, "sample_id", "left")
                  .join(normals, F.col("specimen_id") == F.col("_nb"), "left")
                  .withColumn("formatted_sample_id", formatted_name())
