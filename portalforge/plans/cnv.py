@@ -130,3 +130,15 @@ def merge_segments(segments: DataFrame, names: DataFrame | None = None) -> DataF
     if names is not None:
         cols = [F.col("Cbio_project")] + cols
     return df.select(*cols)
+
+
+def missing_info(samples: DataFrame, info_files: DataFrame) -> DataFrame:
+    """Samples whose specimen has no info-file row in the manifest (the
+    ploidy lookup would fail): sample_id rows not in ``info_files``."""
+    return samples.join(info_files.select(F.col("T_CL_BS_ID").alias("sample_id")).distinct(),
+                        "sample_id", "left_anti")
+
+
+def gene_file_name(file_name: str = "File_Name", suffix_re: str = r"\.CNVs\.p\.value\.txt$") -> "F.Column":
+    """Gene-level file name derived from a CNV result file name."""
+    return F.concat(F.regexp_replace(F.col(file_name), suffix_re, ""), F.lit(K.CNV_GENE_SUFFIX))

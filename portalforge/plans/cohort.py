@@ -143,3 +143,8 @@ def registry_names(registry: DataFrame) -> DataFrame:
     return (registry.filter(F.col("formatted_sample_id").isNotNull())
             .select(F.explode("specimen_id").alias("specimen_id"), "formatted_sample_id")
             .distinct())
+
+
+def sorted_registry(registry: DataFrame) -> DataFrame:
+    """Registry in output order: by sample name, rows without a name last."""
+    return registry.orderBy(F.col("formatted_sample_id").asc_nulls_last())

@@ -415,3 +415,54 @@ def write_testdata_package(spark: SparkSession, sf_dir: str, out_dir: str,
         .withColumn("Cbio_project", F.lit(PROJECT)),
         fusions=fusion_table_of(b), sv=sv_table(spark, sf_dir),
         case_list_attrs=case_list_attrs, study_id=PROJECT)
+
+
+# ---------------------------------------------------------------- component and check queries
+
+@register
+def cnv_cells_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sparse long form of the CNV matrices: observed cells with ploidy and level."""
+    b = Bindings(spark, sf_dir)
+    return cnv.cnv_cells_long(cnv.cnv_to_genes(b.v_segment, b.v_gene, b.v_hugo), _cnv_samples(b)).select(
+        "Cbio_project", "sample_id", "Hugo_Symbol", "copy_number", "ploidy", "level")
+
+
+@register
+def representative_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return expression.representative_genes(Bindings(spark, sf_dir).v_expr)
+
+
+@register
+def registry_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cohort.registry_names(build_registry(Bindings(spark, sf_dir)))
+
+
+@register
+def maf_file_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last manifest row per (project, tumour name) among the MAF files."""
+    return manifest.files_of_type(file_manifest_of(Bindings(spark, sf_dir)), "maf")
+
+
+@register
+def cnv_missing_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CNV samples whose specimen has no info file (no ploidy lookup)."""
+    fm = file_manifest_of(Bindings(spark, sf_dir))
+    picks = manifest.files_of_type(fm, "cnv").select("Cbio_project", "Cbio_Tumor_Name",
+                                                     F.col("T_CL_BS_ID").alias("sample_id"))
+    return cnv.missing_info(picks, fm.filter(F.col("File_Type") == "info")).select(
+        "Cbio_project", "Cbio_Tumor_Name", F.col("sample_id").alias("T_CL_BS_ID"))
+
+
+@register
+def panel_fusion_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = Bindings(spark, sf_dir)
+    panel = _fusion_rows(b, panel=True).select(
+        F.col("gene1a").alias("Hugo_Symbol"), F.col("specimen_id").alias("Tumor_Sample_Barcode"),
+        F.col("fusion_name").alias("Fusion"), F.col("fusion_type").alias("Frame"))
+    return fusion.panel_fusion_violations(panel, fusion.sample_lookup(file_manifest_of(b)))
+
+
+@register
+def unresolved_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = Bindings(spark, sf_dir)
+    return intake.unresolved_manifests(b.v_form, b.v_study_list)

@@ -222,3 +222,9 @@ def study_manifests(config: DataFrame) -> DataFrame:
     """(manifest, study_id, table, file_type[]) per configured manifest."""
     return config.select(F.explode("manifests").alias("manifest", "m")).select(
         "manifest", "m.study_id", "m.table", "m.file_type")
+
+
+def read_forms(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Request-form text files as (form_id, line_no, line); ``form_id`` is
+    the file name, so forms sort by name like the file list does."""
+    return read_lines(spark, paths).select(F.col("file_name").alias("form_id"), "line_no", "line")
