@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from portalforge import constants as K
 from portalforge.functions.exprs import decode, floor_div_days, na_text
@@ -45,12 +46,18 @@ def sample_sheet(registry: DataFrame, biospecimen: DataFrame, bs_dx: DataFrame,
         _sorted_distinct_join("source_text_anatomical_site").alias("tumor_locations"))
     onco_map = onco.select("d3b_diagnosis", F.col("oncotree_value").alias("onco_name"),
                            F.lower("oncotree_code").alias("code"))
-    onco_info = (dx_info.select(F.col("specimen_1").alias("o_spec"), "diagnoses")
-                 .join(onco_map, F.col("diagnoses") == F.col("d3b_diagnosis"), "left")
-                 .select("o_spec", "onco_name", "code"))
+    # A sample row takes the oncotree mapping of every row that shares its
+    # first specimen (the model joins the mapped rows back on that
+    # specimen).  The set is gathered with a window over the first specimen
+    # -- a handful of rows -- instead of a self-join that would recompute
+    # the whole diagnosis chain.
+    mapped = dx_info.join(onco_map, F.col("diagnoses") == F.col("d3b_diagnosis"), "left")
+    shared = Window.partitionBy("specimen_1")
+    mapped = (mapped.withColumn("_oset", F.collect_set(F.struct("onco_name", "code")).over(shared))
+              .withColumn("_onco", F.explode("_oset")))
     kf = biospecimen.select(F.col("kf_id").alias("k_id"), "composition")
-    out = (dx_info.join(kf, kf["k_id"] == dx_info["specimen_1"], "inner")
-           .join(onco_info, onco_info["o_spec"] == dx_info["specimen_1"], "left"))
+    out = (mapped.join(kf, kf["k_id"] == mapped["specimen_1"], "inner")
+           .withColumn("onco_name", F.col("_onco.onco_name")).withColumn("code", F.col("_onco.code")))
     return out.select(
         F.col("sp_pt").alias("PATIENT_ID"),
         F.col("formatted_sample_id").alias("SAMPLE_ID"),

@@ -32,7 +32,8 @@ def active_manifest(manifest: DataFrame, hidden: DataFrame,
                     file_types: Sequence[str] = K.GENOMICS_FILE_TYPES) -> DataFrame:
     """Distinct active manifest rows of the wanted file types, hide list removed."""
     live = manifest.filter((F.col("status") == "active") & F.col("file_type").isin(*file_types))
-    live = anti_join(live, hidden.select("biospecimen_id").distinct(), "biospecimen_id")
+    # an anti join needs no distinct keys: the hide list is not de-duplicated
+    live = anti_join(live, hidden.select("biospecimen_id"), "biospecimen_id")
     return live.select("biospecimen_id", "normal_id", "file_type", "experiment_strategy").distinct()
 
 

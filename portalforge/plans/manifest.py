@@ -33,7 +33,7 @@ def file_manifest(manifests: DataFrame | Sequence[DataFrame], hidden: DataFrame,
     equi join on the exploded pair) and the sample is on the sample sheet.
     """
     merged = merged_manifest(manifests).filter(F.col("file_type").isin(*file_types))
-    merged = anti_join(merged, hidden.select("biospecimen_id").distinct(), "biospecimen_id")
+    merged = anti_join(merged, hidden.select("biospecimen_id"), "biospecimen_id")
     first_two = registry.select(
         F.explode(F.array_distinct(F.slice("specimen_id", 1, 2))).alias("_spec"),
         "formatted_sample_id")

@@ -146,7 +146,7 @@ class Models:
 
 
 def build_registry(b: Bindings) -> DataFrame:
-    """The registry plan itself, for queries that read it once."""
+    """The registry plan itself, for queries that read it once (no self-join)."""
     return cohort.sample_registry(biospecimen(b), cohort.active_manifest(b.v_manifest, b.v_hidden),
                                   cell_lines(b))
 
@@ -187,14 +187,14 @@ def sample_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def sample_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Bindings(spark, sf_dir)
-    return clinical.sample_sheet(build_registry(b), biospecimen(b), b.v_bs_dx, b.v_diagnosis,
+    return clinical.sample_sheet(registry(b), biospecimen(b), b.v_bs_dx, b.v_diagnosis,
                                  b.v_participant, b.v_onco, STUDY_IDS)
 
 
 @register
 def patient_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Bindings(spark, sf_dir)
-    return clinical.patient_sheet(build_registry(b), b.v_participant, b.v_diagnosis, b.v_outcome)
+    return clinical.patient_sheet(registry(b), b.v_participant, b.v_diagnosis, b.v_outcome)
 
 
 @register
@@ -365,7 +365,7 @@ def patient_header_defs() -> list[tuple[str, str, str, str, str]]:
 @register
 def clinical_with_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Bindings(spark, sf_dir)
-    sheet_df = clinical.patient_sheet(build_registry(b), b.v_participant, b.v_diagnosis, b.v_outcome)
+    sheet_df = clinical.patient_sheet(registry(b), b.v_participant, b.v_diagnosis, b.v_outcome)
     defs = spark.createDataFrame(patient_header_defs(),
                                  "attribute string, label string, description string, "
                                  "datatype string, priority string")

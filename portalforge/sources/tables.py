@@ -11,6 +11,10 @@ TABLES = (
 )
 
 
+# Scans smaller than this are cheap enough for one task.
+SPREAD_MIN_BYTES = 4 * 1024 * 1024
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Give a scan at least as many partitions as the cluster has cores.
 
@@ -18,13 +22,18 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     above it (projections, explodes, broadcast joins, partial aggregates)
     would run in a single task.  Such scans are round-robin repartitioned;
     scans that already have enough splits -- every large table on a
-    cluster -- are left alone, so no shuffle is added at scale.  Filters and
+    cluster -- are left alone, so no shuffle is added at scale, and so are
+    scans under ``SPREAD_MIN_BYTES`` (the planner's file-size statistic),
+    which one task reads quickly.  Filters and
     column pruning still reach the parquet scan below the repartition.
     """
     try:
         want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        if int(str(size)) < SPREAD_MIN_BYTES:
+            return df
         have = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access (Spark Connect): leave the scan as is
+    except Exception:  # sessions without plan/RDD access (Spark Connect): leave the scan as is
         return df
     if have >= want:
         return df
