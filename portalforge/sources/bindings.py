@@ -204,12 +204,29 @@ def duckdb_view_sql(name: str) -> str:
 
 
 class Bindings:
-    """Domain DataFrames for one testdata folder."""
+    """Domain DataFrames for one testdata folder.
+
+    ``Bindings(spark, sf_dir)`` returns the same instance for the same
+    session and folder, so scans and views are analysed once per session and
+    every job that reads a view reads the same plan.
+    """
+
+    _instances: dict[tuple[int, str], "Bindings"] = {}
+
+    def __new__(cls, spark: SparkSession, sf_dir: str):
+        key = (id(spark), sf_dir)
+        inst = cls._instances.get(key)
+        if inst is None or inst.spark is not spark:
+            inst = super().__new__(cls)
+            inst.spark = spark
+            inst.sf_dir = sf_dir
+            inst._tables = {}
+            inst._views = {}
+            cls._instances[key] = inst
+        return inst
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
-        self.sf_dir = sf_dir
-        self._tables: dict[str, DataFrame] = {}
+        pass
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
@@ -217,9 +234,11 @@ class Bindings:
         return self._tables[name]
 
     def view(self, name: str) -> DataFrame:
-        sql = VIEW_SQL[name].replace(" DIV ", " div ")
-        frames = {t: self.table(t) for t in view_tables(name)}
-        return self.spark.sql(sql, **frames)
+        if name not in self._views:
+            sql = VIEW_SQL[name].replace(" DIV ", " div ")
+            frames = {t: self.table(t) for t in view_tables(name)}
+            self._views[name] = self.spark.sql(sql, **frames)
+        return self._views[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("v_") and name in VIEW_SQL:
