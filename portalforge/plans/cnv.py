@@ -77,8 +77,7 @@ def cnv_matrix(gene_cn: DataFrame, samples: DataFrame, *, project: str = "Cbio_p
     samples: project, sample_id, ploidy, order cols (the matrix columns)
     Absent cells are the sample's ploidy.
     """
-    cells = gene_cn.join(samples.select(project, "sample_id"), "sample_id", "inner")
-    return matrix_lines(cells, samples, group=[project], row="Hugo_Symbol", sample="sample_id",
+    return matrix_lines(gene_cn, samples, group=[project], row="Hugo_Symbol", sample="sample_id",
                         value="copy_number", default="ploidy", order=list(order),
                         line_col="matrix_line")
 

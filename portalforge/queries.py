@@ -40,8 +40,7 @@ def cnv_length_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cnv_samples(b: Bindings) -> DataFrame:
-    samples = b.v_segment.select("sample_id").distinct().withColumn("Cbio_project", F.lit(PROJECT))
-    return cnv.sample_ploidy(samples, b.v_ploidy)
+    return Models.of(b.spark, b.sf_dir).cnv_samples
 
 
 @register
@@ -139,6 +138,16 @@ class Models:
         return self._keep("file_manifest", lambda: manifest.file_manifest(
             b.v_manifest, b.v_hidden, self.registry, self.sheet, PROJECT))
 
+    @property
+    def cnv_samples(self) -> DataFrame:
+        """Matrix columns: every specimen with a CNV file, with its ploidy."""
+        b = self.b
+
+        def build():
+            samples = b.v_segment.select("sample_id").distinct().withColumn("Cbio_project", F.lit(PROJECT))
+            return cnv.sample_ploidy(samples, b.v_ploidy)
+        return self._keep("cnv_samples", build)
+
     @property
     def centers(self) -> DataFrame:
         return self._keep("centers", lambda: clinical.center_map(self.registry, self.sheet,
