@@ -116,9 +116,14 @@ class Models:
                 df.unpersist()
         cls._store.clear()
 
-    def _keep(self, name: str, build) -> DataFrame:
+    def _keep(self, name: str, build, durable: bool = True) -> DataFrame:
+        """Build a model once.  ``durable`` models (registry, file manifest:
+        long lineage, read by most jobs) are written to the checkpoint
+        folder; the others, derived from them by a few joins, are persisted
+        and recomputed from that short lineage if a block is lost."""
         if name not in self._kept:
-            self._kept[name] = materialize(build(), name)
+            df = build()
+            self._kept[name] = materialize(df, name) if durable else df.persist()
         return self._kept[name]
 
     @property
@@ -130,7 +135,7 @@ class Models:
         b = self.b
         return self._keep("sheet", lambda: clinical.sample_sheet(
             self.registry, biospecimen(b), b.v_bs_dx, b.v_diagnosis, b.v_participant, b.v_onco,
-            STUDY_IDS))
+            STUDY_IDS), durable=False)
 
     @property
     def file_manifest(self) -> DataFrame:
@@ -146,12 +151,12 @@ class Models:
         def build():
             samples = b.v_segment.select("sample_id").distinct().withColumn("Cbio_project", F.lit(PROJECT))
             return cnv.sample_ploidy(samples, b.v_ploidy)
-        return self._keep("cnv_samples", build)
+        return self._keep("cnv_samples", build, durable=False)
 
     @property
     def centers(self) -> DataFrame:
         return self._keep("centers", lambda: clinical.center_map(self.registry, self.sheet,
-                                                                 BINDING_CENTERS))
+                                                                 BINDING_CENTERS), durable=False)
 
 
 def build_registry(b: Bindings) -> DataFrame:
