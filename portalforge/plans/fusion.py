@@ -34,8 +34,13 @@ def collapse_callers(fusions: DataFrame, order: Sequence[str] = ("event_id",)) -
     NULL key are dropped, as a pandas groupby does."""
     keys = ["Gene1A", "Sample", "FusionName", "Fusion_Type"]
     clean = fusions.dropna(subset=keys)
-    return clean.groupBy(*keys).agg(
-        F.upper(ordered_join(list(order), "Caller", ", ", distinct=True)).alias("Caller"))
+    # first sighting of each caller per group: a partial aggregate, so a
+    # group repeated many times is combined map-side; only the distinct
+    # callers of a group (a handful) are then gathered and ordered
+    firsts = clean.groupBy(*keys, "Caller").agg(
+        F.min(F.struct(*[F.col(c) for c in order])).alias("_first"))
+    return firsts.groupBy(*keys).agg(
+        F.upper(ordered_join(["_first"], "Caller", ", ")).alias("Caller"))
 
 
 def fusion_table(fusions: DataFrame, fusion_files: DataFrame, centers: DataFrame, *,
@@ -107,8 +112,12 @@ def sv_table(fusions: DataFrame, fusion_files: DataFrame, *, order: Sequence[str
     """
     names = fusion_files.select(F.col("T_CL_BS_ID").alias("_s"), F.col("Cbio_Tumor_Name").alias("Sample"))
     rows = fusions.join(names, fusions["file_key"] == names["_s"], "inner").dropna(subset=SV_KEYS)
-    grouped = rows.groupBy(*SV_KEYS).agg(
-        F.upper(ordered_join(list(order), "Caller", ", ")).alias("Comments"))
+    if keep_callers:
+        grouped = rows.groupBy(*SV_KEYS).agg(
+            F.upper(ordered_join(list(order), "Caller", ", ")).alias("Comments"))
+    else:
+        # the caller list is not written: the groups are just distinct keys
+        grouped = rows.select(*SV_KEYS).distinct()
     frame = F.upper(F.col("Fusion_Type"))
     cols = {
         "Sample_ID": F.col("Sample"),
