@@ -38,15 +38,14 @@ def build_session(master: str | None = None, app: str = "portalforge",
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, if any."""
-    jsc = spark.sparkContext._jsc
-    current = jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
+    try:
+        current = spark.sparkContext._jsc.sc().getCheckpointDir()
+        if current.isDefined():
+            return current.get()
+    except Exception:  # no JVM-side context (e.g. a Connect session): use the conf only
+        pass
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    return None
+    return configured or None
 
 
 def materialize(df: DataFrame, name: str = "model") -> DataFrame:
