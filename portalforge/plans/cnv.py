@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from portalforge import constants as K
 from portalforge.functions.exprs import discretize_cn
 from portalforge.operators.intervals import overlap_join
-from portalforge.operators.joins import sized_broadcast
 from portalforge.operators.matrix import matrix_lines
 from portalforge.operators.ordered import keep_last
 
@@ -44,8 +43,10 @@ def cnv_to_genes(segments: DataFrame, genes: DataFrame, hugo_entrez: DataFrame,
     segs = (segments.filter((F.col("seg_end") - F.col("seg_start")) >= min_len)
             .select("sample_id", "line_no", F.col("chrom").alias("s_chrom"),
                     "seg_start", "seg_end", "cn"))
+    # genes without an Entrez id never reach the broadcast; the size check
+    # in the overlap join bounds the mapped gene side that is broadcast
     mapped = (genes.select(F.col("chrom").alias("g_chrom"), "gene_start", "gene_end", "symbol")
-              .join(sized_broadcast(hugo_entrez.select("symbol", "entrez")), "symbol", "inner"))
+              .join(hugo_entrez.select("symbol", "entrez"), "symbol", "inner"))
     hits = overlap_join(segs, mapped, left_cols=("s_chrom", "seg_start", "seg_end"),
                         right_cols=("g_chrom", "gene_start", "gene_end"), strategy=strategy)
     last = keep_last(hits, keys=["sample_id", "symbol"],
