@@ -480,3 +480,33 @@ def panel_fusion_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def unresolved_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Bindings(spark, sf_dir)
     return intake.unresolved_manifests(b.v_form, b.v_study_list)
+
+
+# ---------------------------------------------------------------- expression matrix files (K7)
+
+from portalforge.operators.matrix import matrix_lines  # noqa: E402
+
+
+def _expr_samples(b: Bindings) -> DataFrame:
+    return b.v_expr.select("sample").distinct().withColumn("Cbio_project", F.lit(PROJECT))
+
+
+@register
+def expression_matrix_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expression matrix file rows: FPKM per sample in sample order, '' when absent."""
+    b = Bindings(spark, sf_dir)
+    cells = expression.expression_matrix(b.v_expr)
+    samples = _expr_samples(b).withColumn("_blank", F.lit(""))
+    return matrix_lines(cells, samples, group=["Cbio_project"], row="Hugo_Symbol", sample="sample",
+                        value="fpkm", default="_blank", order=["sample"], line_col="matrix_line")
+
+
+@register
+def zscore_matrix_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """z-score matrix file rows: %.4f per sample in sample order, 0.0000 when absent."""
+    b = Bindings(spark, sf_dir)
+    z = expression.expression_zscore(expression.expression_matrix(b.v_expr))
+    cells = z.withColumn("z_text", F.format_string("%.4f", F.col("zscore")))
+    samples = _expr_samples(b).withColumn("_z", F.lit("0.0000"))
+    return matrix_lines(cells, samples, group=["Cbio_project"], row="Hugo_Symbol", sample="sample",
+                        value="z_text", default="_z", order=["sample"], line_col="matrix_line")
