@@ -510,3 +510,15 @@ def zscore_matrix_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = _expr_samples(b).withColumn("_z", F.lit("0.0000"))
     return matrix_lines(cells, samples, group=["Cbio_project"], row="Hugo_Symbol", sample="sample",
                         value="z_text", default="_z", order=["sample"], line_col="matrix_line")
+
+
+@register
+def merged_segments_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merged segments per project with ID := the portal tumour name of the
+    specimen's segment file (last manifest row per project and name)."""
+    b = Bindings(spark, sf_dir)
+    picks = manifest.files_of_type(file_manifest_of(b), "seg").select(
+        "Cbio_project", "Cbio_Tumor_Name", F.col("T_CL_BS_ID").alias("sample_id"))
+    seg = b.v_segment.select("sample_id", "chrom", "seg_start", "seg_end",
+                             F.col("line_no").alias("num_mark"), F.col("cn").alias("seg_mean"))
+    return cnv.merge_segments(seg, picks)
