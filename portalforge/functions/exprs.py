@@ -6,6 +6,7 @@ whole-stage codegen; none is a Python UDF.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column
@@ -14,9 +15,9 @@ from pyspark.sql import functions as F
 from portalforge import constants as K
 
 __all__ = [
-    "col_", "na_text", "blank_if_null", "normalize_tissue", "decode",
+    "col_", "na_text", "normalize_tissue", "decode",
     "discretize_cn", "gene_symbol", "strip_prefixes", "floor_div_days",
-    "rounded", "split_part0", "null_if_blank",
+    "rounded", "split_part0",
 ]
 
 
@@ -29,15 +30,6 @@ def na_text(c: str | Column, na: str = "NA") -> Column:
     return F.coalesce(col_(c).cast("string"), F.lit(na))
 
 
-def blank_if_null(c: str | Column) -> Column:
-    return F.coalesce(col_(c).cast("string"), F.lit(""))
-
-
-def null_if_blank(c: str | Column) -> Column:
-    c = col_(c)
-    return F.when(c != "", c)
-
-
 def normalize_tissue(c: str | Column) -> Column:
     """Tumor/tumor/metastasis -> Tumor; Normal/normal -> Normal; else NULL."""
     c = col_(c)
@@ -98,9 +90,4 @@ def rounded(c: str | Column, digits: int = 4) -> Column:
 
 def split_part0(c: str | Column, sep: str, idx: int) -> Column:
     """1-based field of a literal-separated string; NULL when absent."""
-    return F.get(F.split(col_(c), _re_escape(sep), -1), F.lit(idx - 1))
-
-
-def _re_escape(s: str) -> str:
-    import re
-    return re.escape(s)
+    return F.get(F.split(col_(c), re.escape(sep), -1), F.lit(idx - 1))

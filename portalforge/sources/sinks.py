@@ -58,15 +58,6 @@ def table_lines(df: DataFrame, columns: Sequence[str] | None = None, *, section:
     return df.select(*key, F.lit(section).alias("section"), text.alias("line_no"), text.alias("line"))
 
 
-def header_lines(spark, lines: Sequence[str], *, key: dict[str, str] | None = None,
-                 section: int = 0) -> DataFrame:
-    """Fixed preamble lines (version line, column row) as (section, line_no, line)."""
-    key = key or {}
-    rows = [tuple(key.values()) + (section, f"{i:09d}", line) for i, line in enumerate(lines)]
-    schema = ", ".join([f"{k} string" for k in key] + ["section int", "line_no string", "line string"])
-    return spark.createDataFrame(rows, schema)
-
-
 def maf_lines(maf: DataFrame, version_line: str, template_cols: Sequence[str]) -> DataFrame:
     """Merged MAF file per project: version line, template header, rows."""
     projects = maf.select("Cbio_project").distinct()
