@@ -73,3 +73,22 @@ def test_maf_sink_preamble(spark, tmpdir_fresh):
     part = os.path.join(out, "Cbio_project=P")
     text = "".join(open(os.path.join(part, f)).read() for f in sorted(os.listdir(part)) if f.startswith("part"))
     assert text == "#version 2.4\nHugo_Symbol\tTumor_Sample_Barcode\nTP53\tS1\n"
+
+
+def test_cnv_flow_from_files(spark, tmpdir_fresh):
+    from pyspark.sql import functions as F
+    from portalforge.plans import cnv
+    _write(tmpdir_fresh, "S1.CNVs.p.value.txt", "chr\tstart\tend\tcn\tstatus\n"
+                                                "chr1\t0\t100000\t3\tgain\nchr1\t0\t100000\t1\tloss\n")
+    _write(tmpdir_fresh, "S2.CNVs.p.value.txt", "chr\tstart\tend\tcn\tstatus\nchr2\t0\t60000\t4\tgain\n"
+                                                "chr1\t0\t100\t0\tloss\n")
+    bed = _write(tmpdir_fresh, "genes.bed", "chr1\t10\t20\tA\nchr2\t50000\t70000\tB\n")
+    hugo = _write(tmpdir_fresh, "hugo.tsv", "A\t1\nB\t2\n")
+    segs = files.read_cnv_pvalues(spark, tmpdir_fresh + "/*.p.value.txt").withColumn(
+        "sample_id", F.regexp_extract("file_name", r"^([^.]+)\.", 1))
+    gene_cn = cnv.cnv_to_genes(segs, files.read_gene_bed(spark, bed), files.read_hugo_entrez(spark, hugo))
+    got = sorted((r.sample_id, r.Hugo_Symbol, r.Entrez_Gene_Id, r.copy_number) for r in gene_cn.collect())
+    assert got == [("S1", "A", "1", 1), ("S2", "B", "2", 4)]
+    samples = spark.createDataFrame([("P", "S1", 2), ("P", "S2", 3)], "Cbio_project string, sample_id string, ploidy int")
+    lines = {r.Hugo_Symbol: r.matrix_line for r in cnv.cnv_matrix(gene_cn, samples).collect()}
+    assert lines == {"A": "1\t3", "B": "2\t4"}
