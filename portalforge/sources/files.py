@@ -1,7 +1,7 @@
 """Readers for the per-sample result files and configuration inputs.
 
 Every reader returns a long DataFrame and, where the sample identity lives
-in the manifest rather than in the file, a ``file_name`` column (from
+in the manifest rather than in the file, a ``source_file`` column (from
 Spark's ``_metadata``) to join the manifest on.  Schemas are explicit; no
 inference.  Line numbers are exact only where a rule depends on file order
 (last/first wins, value-after-label): those small files are read whole
@@ -34,21 +34,21 @@ def read_tsv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructTy
         r = r.schema(schema)
     df = r.csv(paths if isinstance(paths, str) else list(paths))
     if with_file:
-        df = df.withColumn("file_name", _basename())
+        df = df.withColumn("source_file", _basename())
     return df
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """(file_name, line_no, line) with exact 1-based line numbers; each file
+    """(source_file, line_no, line) with exact 1-based line numbers; each file
     is read whole, so use for small files (manifests, forms, info, BED)."""
     raw = spark.read.text(paths if isinstance(paths, str) else list(paths), wholetext=True)
-    raw = raw.withColumn("file_name", _basename())
-    lines = raw.select("file_name", F.posexplode(F.split(F.col("value"), "\n")).alias("pos", "line"))
+    raw = raw.withColumn("source_file", _basename())
+    lines = raw.select("source_file", F.posexplode(F.split(F.col("value"), "\n")).alias("pos", "line"))
     # a trailing newline yields one empty last element, which is not a line
-    last = F.max("pos").over(Window.partitionBy("file_name"))
+    last = F.max("pos").over(Window.partitionBy("source_file"))
     return (lines.withColumn("_last", last)
             .filter(~((F.col("pos") == F.col("_last")) & (F.col("line") == "")))
-            .select("file_name", (F.col("pos") + 1).alias("line_no"),
+            .select("source_file", (F.col("pos") + 1).alias("line_no"),
                     F.regexp_replace("line", "\r$", "").alias("line")))
 
 
@@ -63,8 +63,8 @@ def read_file_manifest(spark: SparkSession, path: str) -> DataFrame:
     columns are found by header name."""
     lines = read_lines(spark, path)
     header = lines.filter(F.col("line_no") == 1).select(
-        "file_name", F.split("line", "\t", -1).alias("_h"))
-    body = lines.filter(F.col("line_no") > 1).join(F.broadcast(header), "file_name")
+        "source_file", F.split("line", "\t", -1).alias("_h"))
+    body = lines.filter(F.col("line_no") > 1).join(F.broadcast(header), "source_file")
     m = F.map_from_arrays(F.col("_h"), F.split("line", "\t", -1))
     return body.select("line_no", *[F.try_element_at(m, F.lit(c)).alias(c) for c in MANIFEST_COLUMNS])
 
@@ -83,19 +83,19 @@ def read_cnv_pvalues(spark: SparkSession, paths: str | Sequence[str]) -> DataFra
     lines = read_lines(spark, paths).filter(F.col("line_no") > 1)
     f = F.split("line", "\t", -1)
     return lines.select(
-        "file_name", "line_no",
+        "source_file", "line_no",
         F.get(f, 0).alias("chrom"), F.get(f, 1).cast("long").alias("seg_start"),
         F.get(f, 2).cast("long").alias("seg_end"), F.get(f, 3).cast("int").alias("cn"),
         F.get(f, 4).alias("status"))
 
 
 def read_ploidy(spark: SparkSession, paths: str | Sequence[str], key: str = K.PLOIDY_KEY) -> DataFrame:
-    """(file_name, ploidy): the ``Output_Ploidy`` value of each info file;
+    """(source_file, ploidy): the ``Output_Ploidy`` value of each info file;
     the caller defaults files without one to 2."""
     lines = read_lines(spark, paths)
     kv = F.split("line", "\t", -1)
     hit = lines.filter(F.col("line").startswith(key) & (F.size(kv) == 2))
-    return hit.groupBy("file_name").agg(F.min_by(F.get(kv, 1), F.col("line_no")).alias("ploidy"))
+    return hit.groupBy("source_file").agg(F.min_by(F.get(kv, 1), F.col("line_no")).alias("ploidy"))
 
 
 def read_gene_bed(spark: SparkSession, path: str) -> DataFrame:
@@ -131,16 +131,16 @@ def read_segments(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 # ------------------------------------------------------------------ expression
 
 def read_rsem(spark: SparkSession, paths: str | Sequence[str], value: str = "FPKM") -> DataFrame:
-    """Expression result files: (file_name, gene_id, fpkm); only the two
+    """Expression result files: (source_file, gene_id, fpkm); only the two
     needed columns reach the parsed rows."""
     df = read_tsv(spark, paths)
-    return df.select("file_name", F.col("gene_id"), F.col(value).cast("double").alias("fpkm"))
+    return df.select("source_file", F.col("gene_id"), F.col(value).cast("double").alias("fpkm"))
 
 
 # ------------------------------------------------------------------ MAF
 
 def maf_records(text: DataFrame) -> DataFrame:
-    """(file_name, fields) from MAF text lines (``value``, ``file_name``).
+    """(source_file, fields) from MAF text lines (``value``, ``source_file``).
 
     Each file's header is the line whose fields include Hugo_Symbol,
     Variant_Classification and Tumor_Sample_Barcode (found by content, not
@@ -152,17 +152,17 @@ def maf_records(text: DataFrame) -> DataFrame:
     cells = F.split("value", "\t", -1)
     is_header = (F.array_contains(cells, "Hugo_Symbol") & F.array_contains(cells, "Variant_Classification")
                  & F.array_contains(cells, "Tumor_Sample_Barcode"))
-    headers = (text.filter(is_header).groupBy("file_name")
+    headers = (text.filter(is_header).groupBy("source_file")
                .agg(F.first(F.split("value", "\t", -1)).alias("_h")))
-    rows = text.filter(~is_header).join(F.broadcast(headers), "file_name")
-    return rows.select("file_name", F.map_from_arrays(
+    rows = text.filter(~is_header).join(F.broadcast(headers), "source_file")
+    return rows.select("source_file", F.map_from_arrays(
         F.col("_h"), F.split(F.regexp_replace("value", "\r$", ""), "\t", -1)).alias("fields"))
 
 
 def read_maf(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """MAF files whose columns differ from file to file (see ``maf_records``)."""
     text = spark.read.text(paths if isinstance(paths, str) else list(paths)).withColumn(
-        "file_name", _basename())
+        "source_file", _basename())
     return maf_records(text)
 
 
@@ -227,7 +227,7 @@ def study_manifests(config: DataFrame) -> DataFrame:
 def read_forms(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Request-form text files as (form_id, line_no, line); ``form_id`` is
     the file name, so forms sort by name like the file list does."""
-    return read_lines(spark, paths).select(F.col("file_name").alias("form_id"), "line_no", "line")
+    return read_lines(spark, paths).select(F.col("source_file").alias("form_id"), "line_no", "line")
 
 
 def study_ids(manifests: DataFrame) -> DataFrame:

@@ -38,11 +38,11 @@ def start_maf_stream(spark: SparkSession, in_dir: str, maf_files: DataFrame, tem
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     lines = reader.load(in_dir).withColumn(
-        "file_name", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
+        "source_file", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
     files = maf_files.cache()
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
-        merged = merge_maf(maf_records(batch), files, template, file_key=("T_CL_BS_ID", "file_name"))
+        merged = merge_maf(maf_records(batch), files, template, file_key=("T_CL_BS_ID", "source_file"))
         merged.write.mode("append").partitionBy("Cbio_project").parquet(out_dir)
 
     writer = lines.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)

@@ -27,7 +27,7 @@ def test_maf_headers_per_file(spark, tmpdir_fresh):
                                "Cbio_Matched_Normal_Name string")
     out = maf.merge_maf(recs, mf, ["Hugo_Symbol", "Entrez_Gene_Id", "Variant_Classification",
                                    "Tumor_Sample_Barcode", "Matched_Norm_Sample_Barcode", "HotSpotAllele"],
-                        file_key=("T_CL_BS_ID", "file_name"))
+                        file_key=("T_CL_BS_ID", "source_file"))
     got = sorted(tuple(r) for r in out.collect())
     assert got == [("P", "KRAS", "Nonsense_Mutation", "S2", "N2", "Y"),
                    ("P", "TP53", "Missense_Mutation", "S1", "", "")]
@@ -49,7 +49,7 @@ def test_cnv_files(spark, tmpdir_fresh):
     assert sorted((r.line_no, r.cn) for r in segs.collect()) == [(2, 3), (3, 1)]
     _write(tmpdir_fresh, "s1.info.txt", "Sample\tx\nOutput_Ploidy\t3\n")
     _write(tmpdir_fresh, "s2.info.txt", "Sample\tx\n")
-    pl = {r.file_name: r.ploidy for r in files.read_ploidy(spark, tmpdir_fresh + "/*.info.txt").collect()}
+    pl = {r.source_file: r.ploidy for r in files.read_ploidy(spark, tmpdir_fresh + "/*.info.txt").collect()}
     assert pl == {"s1.info.txt": "3"}
     bed = _write(tmpdir_fresh, "genes.bed", "chr1\t10\t20\tx\tA\nchr1\t30\t40\tB\n")
     assert sorted(r.symbol for r in files.read_gene_bed(spark, bed).collect()) == ["A", "B"]
@@ -85,10 +85,30 @@ def test_cnv_flow_from_files(spark, tmpdir_fresh):
     bed = _write(tmpdir_fresh, "genes.bed", "chr1\t10\t20\tA\nchr2\t50000\t70000\tB\n")
     hugo = _write(tmpdir_fresh, "hugo.tsv", "A\t1\nB\t2\n")
     segs = files.read_cnv_pvalues(spark, tmpdir_fresh + "/*.p.value.txt").withColumn(
-        "sample_id", F.regexp_extract("file_name", r"^([^.]+)\.", 1))
+        "sample_id", F.regexp_extract("source_file", r"^([^.]+)\.", 1))
     gene_cn = cnv.cnv_to_genes(segs, files.read_gene_bed(spark, bed), files.read_hugo_entrez(spark, hugo))
     got = sorted((r.sample_id, r.Hugo_Symbol, r.Entrez_Gene_Id, r.copy_number) for r in gene_cn.collect())
     assert got == [("S1", "A", "1", 1), ("S2", "B", "2", 4)]
     samples = spark.createDataFrame([("P", "S1", 2), ("P", "S2", 3)], "Cbio_project string, sample_id string, ploidy int")
     lines = {r.Hugo_Symbol: r.matrix_line for r in cnv.cnv_matrix(gene_cn, samples).collect()}
     assert lines == {"A": "1\t3", "B": "2\t4"}
+
+
+def test_fusion_flow_from_files(spark, tmpdir_fresh):
+    from pyspark.sql import functions as F
+    from portalforge.plans import fusion
+    head = "Gene1A\tGene1B\tFusionName\tCaller\tFusion_Type\n"
+    _write(tmpdir_fresh, "f1.tsv", head + "A\tB\tA--B\tarriba\tin-frame\nA\tB\tA--B\tSTARFusion\tin-frame\n"
+                                          "A\tB\tA--B\tarriba\tin-frame\n")
+    _write(tmpdir_fresh, "f2.tsv", head + "C\tC\tC--C\tarriba\tframeshift\n")
+    raw = files.read_fusions(spark, tmpdir_fresh + "/*.tsv")
+    fm = spark.createDataFrame([("P", "BS1", "S1", "f1.tsv"), ("P", "BS2", "S2", "f2.tsv")],
+                               "Cbio_project string, T_CL_BS_ID string, Cbio_Tumor_Name string, File_Name string")
+    rows = raw.join(fm.select("File_Name", F.col("T_CL_BS_ID").alias("Sample")),
+                    raw["source_file"] == F.col("File_Name")).drop("File_Name")
+    centers = spark.createDataFrame([("BS1", "SC_1", "Center"), ("BS2", "SC_2", "NA")],
+                                    "BS_ID string, SQ_ID string, SQ_Value string")
+    out = sorted(tuple(r) for r in fusion.fusion_table(rows, fm, centers).collect())
+    assert out == [("P", "A", "", "Center", "S1", "A-B", "no", "yes", "ARRIBA, STARFUSION", "in-frame"),
+                   ("P", "B", "", "Center", "S1", "A-B", "no", "yes", "ARRIBA, STARFUSION", "in-frame"),
+                   ("P", "C", "", "NA", "S2", "C-C", "no", "yes", "ARRIBA", "frameshift")]
