@@ -112,3 +112,23 @@ def test_fusion_flow_from_files(spark, tmpdir_fresh):
     assert out == [("P", "A", "", "Center", "S1", "A-B", "no", "yes", "ARRIBA, STARFUSION", "in-frame"),
                    ("P", "B", "", "Center", "S1", "A-B", "no", "yes", "ARRIBA, STARFUSION", "in-frame"),
                    ("P", "C", "", "NA", "S2", "C-C", "no", "yes", "ARRIBA", "frameshift")]
+
+
+def test_expression_flow_from_files(spark, tmpdir_fresh):
+    from pyspark.sql import functions as F
+    from portalforge.plans import expression
+    head = "gene_id\ttranscript_id(s)\tFPKM\n"
+    _write(tmpdir_fresh, "a.rsem.genes.results", head + "E1_X\tt\t1.0\nE2_X\tt\t9.0\nE3_Y\tt\t3.0\n")
+    _write(tmpdir_fresh, "b.rsem.genes.results", head + "E1_X\tt\t3.0\nE2_X\tt\t7.0\nE3_Y\tt\t5.0\n")
+    _write(tmpdir_fresh, "c.rsem.genes.results", head + "E1_X\tt\t100.0\nE2_X\tt\t0.0\nE3_Y\tt\t0.0\n")
+    raw = files.read_rsem(spark, tmpdir_fresh + "/*.rsem.genes.results")
+    # manifest rows in order; c.* repeats sample S2 and is skipped (first file wins)
+    fm = spark.createDataFrame([(1, "a.rsem.genes.results", "S1"), (2, "b.rsem.genes.results", "S2"),
+                                (3, "c.rsem.genes.results", "S2")],
+                               "file_no int, File_Name string, Cbio_Tumor_Name string")
+    rows = (raw.join(fm, raw["source_file"] == fm["File_Name"])
+            .select("gene_id", F.col("Cbio_Tumor_Name").alias("sample"), "fpkm", "file_no"))
+    rows = expression.first_file_per_sample(rows)
+    long = expression.expression_matrix(rows)
+    got = sorted((r.Hugo_Symbol, r.sample, r.fpkm) for r in long.collect())
+    assert got == [("X", "S1", 9.0), ("X", "S2", 7.0), ("Y", "S1", 3.0), ("Y", "S2", 5.0)]
