@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from portalforge.session import checkpoint_dir
 
@@ -41,7 +44,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers started from any working folder import this package
+    (a no-op where it is installed)."""
+    root = str(Path(__file__).resolve().parents[2])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in paths.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [paths, root]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -78,3 +91,9 @@ def text_slices(batches, column: str = "text", max_bytes: int = SLICE_BYTES):
         for lo, hi in row_slices(offsets, max_bytes):
             yield (batch.slice(lo, hi - lo), raw[offsets[lo]:offsets[hi]],
                    offsets[lo:hi + 1] - offsets[lo])
+
+
+def held_out(doc_id: Column, folds: int, fold: int) -> Column:
+    """True for the rows of the fold kept for testing: crc32 of the id as text.
+    Rows without an id are never learned from."""
+    return F.coalesce(F.crc32(doc_id.cast("string")) % folds == fold, F.lit(True))

@@ -5,10 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portalforge.llm import mixing, tokencounts, topk
+from portalforge.llm import language, mixing, pii, quality, tokencounts, topk, toxicity
 from portalforge.llm.common import shared_dir, stored, table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, text after replacement, number of replaced values, and their kinds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = pii.mask(docs, report="found")
+    kinds = F.array_sort(F.transform(F.map_entries("found"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))))
+    return out.select("doc_id", "text",
+                      F.aggregate(F.map_values("found"), F.lit(0).cast("long"), lambda a, x: a + x).alias("n_replaced"),
+                      F.array_join(kinds, ",").alias("kinds"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), k=5, every=50)
 
@@ -30,6 +52,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op4_pii_pseudonyms": op4_pii_pseudonyms,
+    "op6_quality": op6_quality,
+    "op7_language": op7_language,
     "op5_exact_topk": op5_exact_topk,
     "op8_source_mixing": op8_source_mixing,
     "op10_token_counts": op10_token_counts,
