@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portalforge.llm import language, mixing, pii, quality, tokencounts, topk, toxicity
+from portalforge.llm import language, mixing, neardup, pii, quality, tokencounts, topk, toxicity
 from portalforge.llm.common import shared_dir, stored, table
 
 
@@ -13,6 +13,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_probminhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(table(spark, sf_dir, "documents"))
+
+
 def op4_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, text after replacement, number of replaced values, and their kinds."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -53,6 +57,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_probminhash_neardup": op2_probminhash_neardup,
     "op4_pii_pseudonyms": op4_pii_pseudonyms,
     "op6_quality": op6_quality,
     "op7_language": op7_language,
