@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portalforge.llm import language, mixing, neardup, pii, quality, tokencounts, topk, toxicity
+from portalforge.llm import language, mixing, neardup, pii, quality, substrings, tokencounts, topk, toxicity
 from portalforge.llm.common import shared_dir, stored, table
 
 
@@ -17,6 +17,11 @@ def op2_probminhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(table(spark, sf_dir, "documents"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.deduplicate(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, text after replacement, number of replaced values, and their kinds."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -58,6 +63,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_probminhash_neardup": op2_probminhash_neardup,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_pii_pseudonyms": op4_pii_pseudonyms,
     "op6_quality": op6_quality,
     "op7_language": op7_language,
