@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portalforge.llm import language, mixing, neardup, pii, quality, substrings, tokencounts, topk, toxicity
+from portalforge.llm import decontam, language, mixing, neardup, pii, quality, substrings, tokencounts, topk, toxicity
 from portalforge.llm.common import shared_dir, stored, table
 
 
@@ -48,6 +48,10 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op9_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four change batches of the corpus, two of them delivered twice."""
     import uuid
@@ -69,6 +73,7 @@ QUERIES = {
     "op7_language": op7_language,
     "op5_exact_topk": op5_exact_topk,
     "op8_source_mixing": op8_source_mixing,
+    "op9_latent_decontamination": op9_latent_decontamination,
     "op10_token_counts": op10_token_counts,
 }
 
