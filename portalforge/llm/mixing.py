@@ -123,10 +123,10 @@ def mix(docs: DataFrame, *, weights: Mapping[str, Mapping[str, int]] = WEIGHTS,
         keep: Sequence[str] = ()) -> DataFrame:
     """Documents (doc_id, text, lang, source) -> the mixture: one row per
     document and epoch with domain, lang, source, epoch, n_tokens and the
-    ``keep`` columns (e.g. the text)."""
+    ``keep`` columns (e.g. the text; ``keep_<name>`` if the name is taken)."""
     level = lambda c: F.coalesce(F.col(c), F.lit("none"))
     tree = docs.select(
-        *[F.col(c).alias(f"keep_{c}") for c in keep], "doc_id",
+        *[docs[c].alias(f"keep_{c}") for c in keep], "doc_id",
         domain_of(F.col("source")).alias("domain"), level("lang").alias("lang"),
         level("source").alias("source"), token_count(F.col("text")).alias("n_tokens"))
     counted = stored(tree.select("doc_id", *LEVELS, "n_tokens"), "mix-tokens")
@@ -149,7 +149,8 @@ def mix(docs: DataFrame, *, weights: Mapping[str, Mapping[str, int]] = WEIGHTS,
 
     rows = _with_order(tree if keep else counted, plan, seed)
     rows = rows.withColumn("mix_in_cut", F.coalesce(F.col("mix_bucket") == F.col("mix_cut"), F.lit(False)))
-    out = [*[F.col(f"keep_{c}") for c in keep], F.col("doc_id"), *[F.col(c) for c in LEVELS], F.col("n_tokens")]
+    produced = {"doc_id", *LEVELS, "n_tokens", "epoch"}
+    out = [*[F.col(f"keep_{c}").alias(f"keep_{c}" if c in produced else c) for c in keep], F.col("doc_id"), *[F.col(c) for c in LEVELS], F.col("n_tokens")]
     whole = rows.withColumn("mix_partial", (F.col("mix_rest") > 0) & F.coalesce(F.col("mix_bucket") < F.col("mix_cut"), F.lit(False)))
     epochs = F.col("mix_full") + F.col("mix_partial").cast("int")
     whole = whole.withColumn("mix_epochs", epochs).filter("mix_epochs > 0").select(
