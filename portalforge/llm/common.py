@@ -10,6 +10,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,7 +59,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def text_bytes(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(utf-8 bytes, n+1 offsets) of a string column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -66,6 +67,8 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         column = column.fill_null("")
     if not pa.types.is_large_string(column.type):
         column = column.cast(pa.large_string())
+    if lower:
+        column = pc.utf8_lower(column)
     offsets = np.frombuffer(column.buffers()[1], dtype=np.int64,
                             count=column.offset + len(column) + 1)[column.offset:]
     data = column.buffers()[2]
@@ -83,11 +86,11 @@ def row_slices(offsets: np.ndarray, max_bytes: int = SLICE_BYTES) -> Iterator[tu
         lo = hi
 
 
-def text_slices(batches, column: str = "text", max_bytes: int = SLICE_BYTES):
+def text_slices(batches, column: str = "text", max_bytes: int = SLICE_BYTES, lower: bool = False):
     """(batch slice, bytes, offsets) over Arrow batches, each of bounded text."""
     for batch in batches:
         col = batch.column(batch.schema.get_field_index(column))
-        raw, offsets = text_bytes(col)
+        raw, offsets = text_bytes(col, lower)
         for lo, hi in row_slices(offsets, max_bytes):
             yield (batch.slice(lo, hi - lo), raw[offsets[lo]:offsets[hi]],
                    offsets[lo:hi + 1] - offsets[lo])

@@ -11,7 +11,7 @@ cannot matter, so generation stops there (early termination, exact).
 bucket with probability 0.9997.  Links are found without ever listing a
 bucket's pairs:
 
-1. copies of a text count once (128-bit text key);
+1. copies of a text (upper or lower case) count once (128-bit text key);
 2. every member of a bucket is checked against the bucket's smallest member,
    exactly (probability Jaccard of the texts, >= 0.8), and the links are joined
    to components;
@@ -52,8 +52,9 @@ FOLLOWERS = 512  # members that one task checks against one leader
 
 
 def shingles(raw: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(sorted distinct shingle fingerprints, occurrences) of each text."""
-    w = find_words(raw, offsets, SYMBOLS, lower=True)
+    """(sorted distinct shingle fingerprints, occurrences) of each lower-cased
+    text."""
+    w = find_words(raw, offsets, SYMBOLS)
     at, doc = whole_ngrams(w.first, SHINGLE)
     all_ = ngram_hash(w.hashes, SHINGLE)[at] if len(at) else np.empty(0, np.uint64)
     edges = np.searchsorted(doc, np.arange(len(offsets)))
@@ -142,7 +143,7 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
 
 
 def _sign(batches):
-    for batch, raw, offsets in text_slices(batches):
+    for batch, raw, offsets in text_slices(batches, lower=True):
         sets = shingles(raw, offsets)
         keys = [hashlib.md5(raw[a:b].tobytes()).digest() for a, b in zip(offsets[:-1], offsets[1:])]
         keys = np.frombuffer(b"".join(keys), dtype=np.int64).reshape(-1, 2)
@@ -161,7 +162,7 @@ def _sign(batches):
 def _check_followers(batches):
     """Rows ordered by (leader, part), the leader's own text first."""
     leader, own = None, None
-    for batch, raw, offsets in text_slices(batches):
+    for batch, raw, offsets in text_slices(batches, lower=True):
         sets = shingles(raw, offsets)
         leaders, nodes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         a, b = [], []
@@ -191,7 +192,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def _check_blocks(key: tuple, group: pa.Table) -> pa.Table:
     """Links between members of different components in two blocks."""
     _, left, right = (k.as_py() for k in key)
-    raw, offsets = text_bytes(group.column("text"))
+    raw, offsets = text_bytes(group.column("text"), lower=True)
     sets = shingles(raw, offsets)
     node, of, block = (group.column(c).to_pylist() for c in ("node", "component", "block"))
     root = {c: c for c in of}

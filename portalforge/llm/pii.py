@@ -55,7 +55,7 @@ _L, _R = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
 PATTERN = re.compile(
     rf"(?P<email>(?<![\w.%+-])[\w%+-](?:[\w.%+-]{{0,62}}[\w%+-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{{0,61}}[A-Za-z0-9])?\.)+[A-Za-z]{{2,24}}{_R})"
     rf"|(?P<iban>{_L}[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?{_R})"
-    rf"|(?P<phone>(?<![0-9A-Za-z+])\+[0-9]{{1,3}}(?:[ .-]?\([0-9]{{1,4}}\)|[ .-]?[0-9]{{2,12}})(?:[ .-]?[0-9]{{2,12}}){{0,5}}{_R})"
+    rf"|(?P<phone>(?<![0-9A-Za-z+])\+[0-9]{{1,3}}(?:[ .-]?\([0-9]{{1,4}}\)|[ .-]?[0-9]{{1,12}})(?:[ .-]?[0-9]{{2,12}}){{0,5}}{_R})"
     rf"|(?P<ssn>(?<![0-9A-Za-z-])[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}(?![0-9A-Za-z]|-[0-9]))"
     rf"|(?P<date>(?<![0-9A-Za-z./-])(?:[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}|[0-9]{{2}}\.[0-9]{{2}}\.[0-9]{{4}})(?![0-9]|[./-][0-9]))"
     rf"|(?P<ipv4>(?<![0-9A-Za-z.])[0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{3}}(?![0-9A-Za-z]|\.[0-9]))"

@@ -42,7 +42,7 @@ _SALTS = mix64(np.arange(11, 11 + MAX_SKIP + 2, dtype=np.uint64))
 
 def features(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(text number, hashed feature) of every word, pair and skip-gram."""
-    w = find_words(raw, offsets, SYMBOLS, lower=True)
+    w = find_words(raw, offsets, SYMBOLS)
     doc, h = w.doc_of(), w.hashes
     docs, places = [doc], [mix64(h ^ _SALTS[0])]
     for gap in range(1, MAX_SKIP + 2):
@@ -55,7 +55,7 @@ def features(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _feature_sets(batches):
-    for batch, raw, offsets in text_slices(batches):
+    for batch, raw, offsets in text_slices(batches, lower=True):
         doc, place = features(raw, offsets)
         both = np.unique((doc.astype(np.int64) << BITS) | place)
         first = np.searchsorted(both, np.arange(len(offsets), dtype=np.int64) << BITS)
@@ -130,7 +130,7 @@ def score(docs: DataFrame, weights: DataFrame) -> DataFrame:
         weight = np.zeros((1 << BITS) + 1)
         weight[at] = value
         used = weight != 0
-        for batch, raw, offsets in text_slices(batches):
+        for batch, raw, offsets in text_slices(batches, lower=True):
             doc, place = features(raw, offsets)
             hit = used[place]
             both = np.unique((doc[hit].astype(np.int64) << BITS) | place[hit])

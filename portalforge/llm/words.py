@@ -26,9 +26,6 @@ SYMBOLS = np.ones(256, bool)
 for _a, _b in ((0x30, 0x3A), (0x41, 0x5B), (0x61, 0x7B), (0x80, 0x100)):
     SYMBOLS[_a:_b] = False
 
-LOWER = np.arange(256, dtype=np.uint8)
-LOWER[0x41:0x5B] += 0x20
-
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bijective scrambling of 64-bit values (splitmix64 finaliser)."""
@@ -75,8 +72,7 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
 
-def find_words(raw: np.ndarray, offsets: np.ndarray, separators: np.ndarray = BLANKS,
-               lower: bool = False) -> Words:
+def find_words(raw: np.ndarray, offsets: np.ndarray, separators: np.ndarray = BLANKS) -> Words:
     """Words of the texts raw[offsets[i]:offsets[i+1]]; never across texts."""
     n = len(raw)
     if not n:
@@ -91,7 +87,7 @@ def find_words(raw: np.ndarray, offsets: np.ndarray, separators: np.ndarray = BL
     left, right = at[:-1], at[1:]
     word = inside[left]
     starts, ends = left[word], right[word]
-    sums = prefix(_CODES[LOWER[raw] if lower else raw])
+    sums = prefix(_CODES[raw])
     return Words(starts, ends, np.searchsorted(starts, offsets), span_hash(sums, starts, ends))
 
 
