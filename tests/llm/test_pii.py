@@ -101,5 +101,5 @@ def test_agrees_with_a_direct_count_on_real_documents(spark):
         found = out[r.doc_id].found
         assert found.get("card", 0) == len(cards) and found.get("email", 0) == len(mails)
         assert not any(x in out[r.doc_id].text for x in [*cards, *mails])
-        if not re.search(r"[0-9]{4}", r.text):
+        if not re.search("[0-9@]", r.text):
             assert out[r.doc_id].text == r.text
