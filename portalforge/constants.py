@@ -133,5 +133,8 @@ FORM_LABELS = {
     "File Types": "file_types",
     "Groups": "groups",
 }
+# --- fixed values: requested file type -> manifest file type ----------------
+REQUEST_FILE_TYPES = {short: name for name, short in FILE_TYPE_CODES.items()}
+
 FORM_NO_RESPONSE = "_No response_"
 DEFAULT_GROUP = "PUBLIC"

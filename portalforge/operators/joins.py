@@ -1,35 +1,9 @@
-"""Joins whose strategy depends on a checked size."""
+"""Semi and anti joins by key sets; join strategies are left to the planner,
+which checks sizes in bytes at plan time and again at run time (AQE)."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-# A lookup side is broadcast only when at most this many rows were seen.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    ``limit(n+1).count()`` stops reading once n+1 rows are seen, so checking a
-    large side costs one partial scan, not a full count.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                    cache: bool = False) -> DataFrame:
-    """``broadcast(df)`` when its size is proven small, else ``df`` unchanged
-    (AQE may still switch to a broadcast from the runtime shuffle size).
-
-    With ``cache=True`` the side is cached before the check so a derived
-    lookup (e.g. the file manifest) is not computed twice; a lost cached
-    block is recomputed from lineage.
-    """
-    if cache:
-        df = df.cache()
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 
 def anti_join(df: DataFrame, exclude: DataFrame, on: str | list[str] | Column) -> DataFrame:

@@ -68,7 +68,8 @@ def case_list_lines(lists: DataFrame, study_id: str,
     ``attrs[key]`` holds the list's stable_id, case_list_name,
     case_list_description and case_list_category (in file order).  The id
     line joins the list's samples (sorted) with tabs: one line per file is
-    the file format, so each list's names are gathered into that line.
+    the file format, so each list's names are gathered into that line.  A list
+    without samples keeps its file: "(0)" and an empty id line.
     """
     spark = lists.sparkSession
     rows = []
@@ -84,13 +85,14 @@ def case_list_lines(lists: DataFrame, study_id: str,
                 rows.append((key, i + 1, f"{k}: {v}", None))
     head = spark.createDataFrame(rows, "case_list string, line_no int, line string, fill string")
     sizes = case_list_sizes(lists)
-    ids = (lists.groupBy("case_list")
-           .agg(F.concat(F.lit("case_list_ids: "),
-                         F.array_join(F.array_sort(F.collect_list("sample")), "\t")).alias("line"))
-           .withColumn("line_no", F.lit(99)))
-    head = (head.join(sizes, "case_list", "inner")
+    names = lists.groupBy("case_list").agg(F.array_join(F.array_sort(F.collect_list("sample")), "\t").alias("names"))
+    keys = head.select("case_list").distinct()
+    ids = keys.join(names, "case_list", "left").select(
+        "case_list", F.lit(99).alias("line_no"),
+        F.concat(F.lit("case_list_ids: "), F.coalesce("names", F.lit(""))).alias("line"))
+    n = F.coalesce(F.col("n"), F.lit(0)).cast("string")
+    head = (head.join(sizes, "case_list", "left")
             .select("case_list", "line_no",
-                    F.when(F.col("fill") == "count",
-                           F.concat(F.col("line"), F.lit(" ("), F.col("n").cast("string"), F.lit(")")))
+                    F.when(F.col("fill") == "count", F.concat(F.col("line"), F.lit(" ("), n, F.lit(")")))
                     .otherwise(F.col("line")).alias("line")))
     return head.unionByName(ids.select("case_list", "line_no", "line"))

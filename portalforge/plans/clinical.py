@@ -15,8 +15,8 @@ from portalforge.functions.exprs import decode, floor_div_days, na_text
 
 def _sorted_distinct_join(c: str, sep: str = ";"):
     """string_agg(DISTINCT c, sep): sorted, NULLs skipped, none -> NULL."""
-    joined = F.array_join(F.array_sort(F.collect_set(F.col(c))), sep)
-    return F.when(joined != "", joined)
+    values = F.array_sort(F.collect_set(F.col(c)))
+    return F.when(F.size(values) > 0, F.array_join(values, sep))
 
 
 def sample_sheet(registry: DataFrame, biospecimen: DataFrame, bs_dx: DataFrame,
@@ -44,14 +44,14 @@ def sample_sheet(registry: DataFrame, biospecimen: DataFrame, bs_dx: DataFrame,
                          "source_text_tumor_descriptor", "specimen_1").agg(
         _sorted_distinct_join("source_text_diagnosis").alias("diagnoses"),
         _sorted_distinct_join("source_text_anatomical_site").alias("tumor_locations"))
-    onco_map = onco.select("d3b_diagnosis", F.col("oncotree_value").alias("onco_name"),
+    onco_map = onco.select("diagnosis_text", F.col("oncotree_value").alias("onco_name"),
                            F.lower("oncotree_code").alias("code"))
     # A sample row takes the oncotree mapping of every row that shares its
     # first specimen (the model joins the mapped rows back on that
     # specimen).  The set is gathered with a window over the first specimen
     # -- a handful of rows -- instead of a self-join that would recompute
     # the whole diagnosis chain.
-    mapped = dx_info.join(onco_map, F.col("diagnoses") == F.col("d3b_diagnosis"), "left")
+    mapped = dx_info.join(onco_map, F.col("diagnoses") == F.col("diagnosis_text"), "left")
     shared = Window.partitionBy("specimen_1")
     mapped = (mapped.withColumn("_oset", F.collect_set(F.struct("onco_name", "code")).over(shared))
               .withColumn("_onco", F.explode("_oset")))
@@ -125,14 +125,16 @@ def clinical_with_header(sheet: DataFrame, header_defs: DataFrame, *,
 
     header_defs: one row per sheet column (``attr``) with the four header
     values.  Output: (section, line_no, line) where section 0..3 are the
-    header rows, 4 the column-name row, 5 the data rows (line_no orders
-    data rows by their text).  Falsy text (NULL) is written as ''.
+    header rows, 4 the column-name row, 5 the data rows (line_no 0: the sheet
+    has no order of its own).  NULL is written as ''.
     """
     cols = sheet.columns
-    defs = header_defs.filter(F.col(attr).isin(*cols))
-    # header rows: one value per column, in sheet column order
-    pos = F.array_position(F.array(*[F.lit(c) for c in cols]), F.col(attr))
-    hdr = defs.select(pos.alias("_p"), *[F.col(k).cast("string").alias(k) for k in kinds])
+    # header rows: one value per column, in sheet column order; a column
+    # without a definition keeps its place
+    listed = F.transform(F.array(*[F.lit(c) for c in cols]), lambda c, i: F.struct(i.alias("_p"), c.alias("_column")))
+    own = header_defs.groupBy(attr).agg(*[F.min(F.col(k).cast("string")).alias(k) for k in kinds])
+    places = sheet.sparkSession.range(1).select(F.inline(listed))
+    hdr = places.join(own, F.col("_column") == F.col(attr), "left").select("_p", *kinds)
     hdr_rows = None
     for i, k in enumerate(kinds):
         part = hdr.select(F.lit(i).alias("section"), F.lit(0).cast("long").alias("line_no"),

@@ -27,7 +27,7 @@ def length_counters(segments: DataFrame, *, start: str = "seg_start", end: str =
 
 
 def cnv_to_genes(segments: DataFrame, genes: DataFrame, hugo_entrez: DataFrame, *,
-                 min_len: int = K.CNV_MIN_LEN, strategy: str = "auto") -> DataFrame:
+                 min_len: int = K.CNV_MIN_LEN, strategy: str = "binned") -> DataFrame:
     """Gene-level copy number per sample.
 
     segments: sample_id, line_no, chrom, seg_start, seg_end, cn
@@ -43,8 +43,7 @@ def cnv_to_genes(segments: DataFrame, genes: DataFrame, hugo_entrez: DataFrame,
     segs = (segments.filter((F.col("seg_end") - F.col("seg_start")) >= min_len)
             .select("sample_id", "line_no", F.col("chrom").alias("s_chrom"),
                     "seg_start", "seg_end", "cn"))
-    # genes without an Entrez id never reach the broadcast; the size check
-    # in the overlap join bounds the mapped gene side that is broadcast
+    # genes without an Entrez id never reach the overlap join
     mapped = (genes.select(F.col("chrom").alias("g_chrom"), "gene_start", "gene_end", "symbol")
               .join(hugo_entrez.select("symbol", "entrez"), "symbol", "inner"))
     hits = overlap_join(segs, mapped, left_cols=("s_chrom", "seg_start", "seg_end"),
@@ -102,8 +101,9 @@ def cnv_discrete(gene_cn: DataFrame, samples: DataFrame, *, project: str = "Cbio
 
 def cnv_cells_long(gene_cn: DataFrame, samples: DataFrame, *, project: str = "Cbio_project",
                    high_gain: int = K.CNV_HIGH_GAIN) -> DataFrame:
-    """Sparse long form of both matrices (the scalable representation)."""
-    return (gene_cn.join(samples.select(project, "sample_id", "ploidy"), "sample_id", "inner")
+    """Sparse long form of both matrices (the scalable representation), with
+    the samples' own columns."""
+    return (gene_cn.join(samples, "sample_id", "inner")
             .withColumn("level", discretize_cn("copy_number", "ploidy", high_gain)))
 
 

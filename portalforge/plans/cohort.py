@@ -17,6 +17,7 @@ otherwise NULL.  Specimens are then grouped per
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -139,13 +140,13 @@ def sample_registry(biospecimen: DataFrame, active: DataFrame, cell_line: DataFr
     )
 
 
+def merged_registry(registries: Sequence[DataFrame]) -> DataFrame:
+    """UNION DISTINCT of the registries of a study's manifests."""
+    return reduce(DataFrame.unionByName, registries).distinct()
+
+
 def registry_names(registry: DataFrame) -> DataFrame:
     """specimen -> formatted sample name (one row per array element)."""
     return (registry.filter(F.col("formatted_sample_id").isNotNull())
             .select(F.explode("specimen_id").alias("specimen_id"), "formatted_sample_id")
             .distinct())
-
-
-def sorted_registry(registry: DataFrame) -> DataFrame:
-    """Registry in output order: by sample name, rows without a name last."""
-    return registry.orderBy(F.col("formatted_sample_id").asc_nulls_last())

@@ -44,21 +44,21 @@ def expression_matrix(rsem: DataFrame, *, gene_id: str = "gene_id", sample: str
     return kept.select("Hugo_Symbol", F.col(sample).alias("sample"), F.col(value).alias("fpkm"))
 
 
-def expression_zscore(expr_long: DataFrame, n_samples: int | None = None, *,
+def expression_zscore(expr_long: DataFrame, samples: DataFrame, *,
                       digits: int | None = 4) -> DataFrame:
     """z-scores of log2(fpkm + 1) per gene across all samples (population sd).
 
     A gene missing in any sample, or with zero variance, scores 0 in every
     sample; a missing cell is also 0 at the sink.
-    ``n_samples`` defaults to the distinct samples of the input (one scalar
-    action).
+    ``samples``: every sample of the expression input (also one that has none
+    of the representative genes); their number is an aggregate in the plan.
     """
-    if n_samples is None:
-        n_samples = expr_long.select("sample").distinct().count()
+    n_samples = samples.agg(F.count_distinct("sample").alias("_all"))
     lg = expr_long.withColumn("_lg", F.log2(F.col("fpkm") + F.lit(1.0)))
     stats = lg.groupBy("Hugo_Symbol").agg(
         F.count("_lg").alias("_n"), F.avg("_lg").alias("_mu"), F.stddev_pop("_lg").alias("_sd"))
-    z = F.when((F.col("_n") < F.lit(n_samples)) | (F.col("_sd") == 0) | F.col("_sd").isNull(),
+    stats = stats.join(n_samples, F.lit(True))
+    z = F.when((F.col("_n") < F.col("_all")) | (F.col("_sd") == 0) | F.col("_sd").isNull(),
                F.lit(0.0)).otherwise((F.col("_lg") - F.col("_mu")) / F.col("_sd"))
     z = F.coalesce(z, F.lit(0.0))
     if digits is not None:

@@ -52,12 +52,11 @@ def merge_maf(maf: DataFrame, maf_files: DataFrame, template: Sequence[str], *,
     broadcast after a size check and the large, sample-skewed MAF side is
     never shuffled.
     """
-    from portalforge.operators.joins import sized_broadcast
     mkey, rkey = file_key
     files = maf_files.select(F.col(mkey).alias("_fk"), "Cbio_project", "Cbio_Tumor_Name",
                              "Cbio_Matched_Normal_Name")
     rows = maf.filter(keep_variant(fields)).join(
-        sized_broadcast(files, cache=True), F.col(rkey) == F.col("_fk"), "inner")
+        files, F.col(rkey) == F.col("_fk"), "inner")
     cols = conform(fields, template, {
         "Tumor_Sample_Barcode": F.col("Cbio_Tumor_Name"),
         "Matched_Norm_Sample_Barcode": F.coalesce(F.col("Cbio_Matched_Normal_Name"), F.lit("")),
@@ -69,10 +68,9 @@ def panel_maf(panel: DataFrame, panel_files: DataFrame, template: Sequence[str],
               file_key: tuple[str, str] = ("T_CL_BS_ID", "file_key"),
               fields: str = "fields") -> DataFrame:
     """Panel MAF rows: no class filter, only the tumour barcode renamed."""
-    from portalforge.operators.joins import sized_broadcast
     mkey, rkey = file_key
     files = panel_files.select(F.col(mkey).alias("_fk"), "Cbio_project", "Cbio_Tumor_Name")
-    rows = panel.join(sized_broadcast(files, cache=True), F.col(rkey) == F.col("_fk"), "inner")
+    rows = panel.join(files, F.col(rkey) == F.col("_fk"), "inner")
     cols = conform(fields, template, {"Tumor_Sample_Barcode": F.col("Cbio_Tumor_Name")})
     return rows.select("Cbio_project", *cols)
 

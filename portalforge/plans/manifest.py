@@ -73,9 +73,11 @@ def transfer_plan(manifest: DataFrame, prefixes: Sequence[str], *, file_id: str
                   file_name: str = "file_name", volume: str = "volume",
                   path: str = "s3_path") -> DataFrame:
     """Per manifest file: copy by id when it has no volume ('' or 'None'),
-    else import from the volume at the path with bucket prefixes removed."""
+    else import from the volume at the path with bucket prefixes removed.
+    The manifest's own header line (path column named like the header) is
+    skipped; a row without a path stays."""
     no_volume = F.coalesce(F.col(volume), F.lit("")).isin("", "None")
-    return manifest.filter(F.col(path) != "s3_path").select(
+    return manifest.filter(~F.col(path).eqNullSafe("s3_path")).select(
         F.col(file_id).alias("file_id"), F.col(file_name).alias("file_name"),
         F.when(no_volume, F.lit("copy")).otherwise(F.lit("import")).alias("action"),
         F.when(~no_volume, F.col(volume)).alias("volume"),

@@ -22,20 +22,23 @@ from portalforge.sources import sinks
 
 
 def matrix_file(cells: DataFrame, samples: DataFrame, *, value: str, default: str,
-                order: Sequence[str] = ("sample_id",), sample: str = "sample_id",
+                order: Sequence[str], sample: str = "sample_id", name: str = "Cbio_Tumor_Name",
                 row: str = "Hugo_Symbol") -> DataFrame:
-    """(Cbio_project, section, line_no, line) of a gene x sample matrix file."""
+    """(Cbio_project, section, line_no, line) of a gene x sample matrix file.
+
+    ``sample`` joins cells to columns, ``name`` is what the header shows."""
     rows = matrix_lines(cells, samples, group=["Cbio_project"], row=row, sample=sample, value=value,
                         default=default, order=list(order), line_col="matrix_line")
-    head = header_line(samples, group=["Cbio_project"], sample=sample, order=list(order), first=row)
+    head = header_line(samples, group=["Cbio_project"], sample=name, order=list(order), first=row)
     return sinks.matrix_file_lines(head, rows, row=row, line="matrix_line")
 
 
-def write_package(out_dir: str, *, patient: DataFrame, sample: DataFrame, header_defs: DataFrame,
+def write_package(out_dir: str, *, patient: DataFrame, sample: DataFrame, header_defs: DataFrame, sample_header_defs: DataFrame,
                   maf: DataFrame, maf_version: str, maf_template: Sequence[str],
                   gene_cn: DataFrame, cnv_samples: DataFrame, discrete_cells: DataFrame,
                   segments: DataFrame, expr_cells: DataFrame, expr_samples: DataFrame,
                   zscore_cells: DataFrame, fusions: DataFrame, sv: DataFrame,
+                  order: Sequence[str] = ("T_CL_BS_ID", "File_Name"),
                   case_list_attrs: Mapping[str, Mapping[str, str]] | None = None,
                   study_id: str = "study") -> list[str]:
     """Write every package file under ``out_dir``; returns the folders.
@@ -54,36 +57,35 @@ def write_package(out_dir: str, *, patient: DataFrame, sample: DataFrame, header
         written.append(p)
         return p
 
-    sinks.write_lines(clinical_with_header(patient, header_defs), path("data_clinical_patient"),
-                      single_file=True)
-    sinks.write_tsv(sample, path("data_clinical_sample"), single_file=True)
+    sinks.write_lines(clinical_with_header(patient, header_defs), path("data_clinical_patient"))
+    sinks.write_lines(clinical_with_header(sample, sample_header_defs), path("data_clinical_sample"))
     sinks.write_lines(sinks.maf_lines(maf, maf_version, template_columns(maf_template)),
-                      path("merged_mafs"), partition_by=["Cbio_project"], single_file=True)
-    sinks.write_lines(matrix_file(gene_cn, cnv_samples, value="copy_number", default="ploidy"),
-                      path("merged_cnvs_linear"), partition_by=["Cbio_project"], single_file=True)
+                      path("merged_mafs"), partition_by=["Cbio_project"])
+    sinks.write_lines(matrix_file(gene_cn, cnv_samples, value="copy_number", default="ploidy", order=order),
+                      path("merged_cnvs_linear"), partition_by=["Cbio_project"])
     zero = cnv_samples.withColumn("_zero", F.lit(0))
-    sinks.write_lines(matrix_file(discrete_cells, zero, value="level", default="_zero"),
-                      path("merged_cnvs_discrete"), partition_by=["Cbio_project"], single_file=True)
-    sinks.write_tsv(segments, path("merged_seg"), partition_by=["Cbio_project"], single_file=True)
+    sinks.write_lines(matrix_file(discrete_cells, zero, value="level", default="_zero", order=order),
+                      path("merged_cnvs_discrete"), partition_by=["Cbio_project"])
+    sinks.write_tsv(segments, path("merged_seg"), partition_by=["Cbio_project"])
     blank = expr_samples.withColumn("_blank", F.lit(""))
     sinks.write_lines(matrix_file(expr_cells, blank, value="fpkm", default="_blank",
-                                  sample="sample", order=("sample",)),
-                      path("merged_rsem"), partition_by=["Cbio_project"], single_file=True)
+                                  sample="sample", name="sample", order=order),
+                      path("merged_rsem"), partition_by=["Cbio_project"])
     zcells = zscore_cells.withColumn("z_text", F.format_string("%.4f", F.col("zscore")))
     zdef = expr_samples.withColumn("_z", F.lit("0.0000"))
     sinks.write_lines(matrix_file(zcells, zdef, value="z_text", default="_z", sample="sample",
-                                  order=("sample",)),
-                      path("merged_rsem_zscore"), partition_by=["Cbio_project"], single_file=True)
-    sinks.write_tsv(fusions, path("merged_fusion"), partition_by=["Cbio_project"], single_file=True)
-    sinks.write_tsv(sv, path("merged_sv"), partition_by=["Cbio_project"], single_file=True, quote=False)
+                                  name="sample", order=order),
+                      path("merged_rsem_zscore"), partition_by=["Cbio_project"])
+    sinks.write_tsv(fusions, path("merged_fusion"), partition_by=["Cbio_project"])
+    sinks.write_tsv(sv, path("merged_sv"), partition_by=["Cbio_project"])
     if case_list_attrs:
         muts = maf.select(F.col("Tumor_Sample_Barcode").alias("sample"))
-        cna = cnv_samples.select(F.col("sample_id").alias("sample"))
+        cna = cnv_samples.select(F.col("Cbio_Tumor_Name").alias("sample"))
         rna = expr_samples.select("sample")
         svs = fusions.select(F.col("Tumor_Sample_Barcode").alias("sample"))
         lists = caselists.case_lists(muts, cna, rna, svs)
         lines = caselists.case_list_lines(lists, study_id, case_list_attrs)
         sinks.write_lines(lines.withColumn("section", F.lit(0)).withColumn(
             "line_no", F.format_string("%03d", "line_no")), path("case_lists"),
-            partition_by=["case_list"], single_file=True)
+            partition_by=["case_list"])
     return written

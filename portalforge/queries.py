@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from portalforge import constants as K
 from portalforge.plans import cnv
 from portalforge.session import materialize
 from portalforge.sources.bindings import Bindings
@@ -46,13 +47,13 @@ def _cnv_samples(b: Bindings) -> DataFrame:
 @register
 def cnv_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Bindings(spark, sf_dir)
-    return cnv.cnv_matrix(cnv.cnv_to_genes(b.v_segment, b.v_gene, b.v_hugo), _cnv_samples(b))
+    return cnv.cnv_matrix(cnv.cnv_to_genes(b.v_segment, b.v_gene, b.v_hugo), _cnv_samples(b), order=MANIFEST_ORDER)
 
 
 @register
 def cnv_discrete(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Bindings(spark, sf_dir)
-    return cnv.cnv_discrete(cnv.cnv_to_genes(b.v_segment, b.v_gene, b.v_hugo), _cnv_samples(b))
+    return cnv.cnv_discrete(cnv.cnv_to_genes(b.v_segment, b.v_gene, b.v_hugo), _cnv_samples(b), order=MANIFEST_ORDER)
 
 
 @register
@@ -145,13 +146,25 @@ class Models:
 
     @property
     def cnv_samples(self) -> DataFrame:
-        """Matrix columns: every specimen with a CNV file, with its ploidy."""
-        b = self.b
+        """Matrix columns: the manifest's CNV files under their portal tumour
+        names, in manifest order, with the specimen's ploidy."""
+        return self._keep("cnv_samples", lambda: cnv.sample_ploidy(
+            matrix_columns(self.file_manifest, "cnv"), self.b.v_ploidy), durable=False)
+
+    @property
+    def expression(self) -> DataFrame:
+        """Expression rows under portal tumour names, all projects together:
+        sample, gene_id, fpkm (a file in several projects counts once)."""
+        names = matrix_columns(self.file_manifest, "rsem").select("Cbio_Tumor_Name", "sample_id").distinct()
+        rows = self.b.v_expr.join(names, F.col("specimen_id") == F.col("sample_id"))
+        return rows.select(F.col("Cbio_Tumor_Name").alias("sample"), "gene_id", "fpkm")
 
-        def build():
-            samples = b.v_segment.select("sample_id").distinct().withColumn("Cbio_project", F.lit(PROJECT))
-            return cnv.sample_ploidy(samples, b.v_ploidy)
-        return self._keep("cnv_samples", build, durable=False)
+    @property
+    def expression_samples(self) -> DataFrame:
+        """Expression matrix columns in manifest order."""
+        return matrix_columns(self.file_manifest, "rsem").join(
+            self.b.v_expr.select(F.col("specimen_id").alias("sample_id")).distinct(), "sample_id").select(
+            "Cbio_project", F.col("Cbio_Tumor_Name").alias("sample"), *MANIFEST_ORDER)
 
     @property
     def centers(self) -> DataFrame:
@@ -159,6 +172,16 @@ class Models:
                                                                  BINDING_CENTERS), durable=False)
 
 
+MANIFEST_ORDER = ("T_CL_BS_ID", "File_Name")
+
+
+def matrix_columns(file_manifest: DataFrame, file_type: str) -> DataFrame:
+    """One row per (project, tumour name) of a file type: ``sample_id`` is the
+    specimen that the file's rows carry."""
+    return manifest.files_of_type(file_manifest, file_type).select(
+        "Cbio_project", "Cbio_Tumor_Name", F.col("T_CL_BS_ID").alias("sample_id"), *MANIFEST_ORDER)
+
+
 def build_registry(b: Bindings) -> DataFrame:
     """The registry plan itself, for queries that read it once (no self-join)."""
     return cohort.sample_registry(biospecimen(b), cohort.active_manifest(b.v_manifest, b.v_hidden),
@@ -240,12 +263,17 @@ BINDING_MAF_TEMPLATE = ("Hugo_Symbol", "Entrez_Gene_Id", "Variant_Classification
 
 @register
 def expression_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return expression.expression_matrix(Bindings(spark, sf_dir).v_expr)
+    return expression.expression_matrix(Models.of(spark, sf_dir).expression)
+
+
+def zscores_of(m: Models) -> DataFrame:
+    rows = m.expression
+    return expression.expression_zscore(expression.expression_matrix(rows), rows)
 
 
 @register
 def expression_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return expression.expression_zscore(expression.expression_matrix(Bindings(spark, sf_dir).v_expr))
+    return zscores_of(Models.of(spark, sf_dir))
 
 
 def maf_records(b: Bindings, panel: bool) -> DataFrame:
@@ -339,13 +367,12 @@ def panel_fusion_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def case_lists_of(b: Bindings) -> DataFrame:
-    names = cohort.registry_names(registry(b))
-    fm = file_manifest_of(b)
-    muts = merged_maf_of(b, fm).select(F.col("Tumor_Sample_Barcode").alias("sample"))
-    cna = (b.v_segment.select("sample_id").distinct()
-           .join(names, F.col("sample_id") == names["specimen_id"], "inner")
-           .select(F.col("formatted_sample_id").alias("sample")))
-    rna = b.v_expr.select("sample")
+    """Case lists from what the package files hold: mutation rows, the matrix
+    columns of the CNV and expression files, fusion rows."""
+    m = Models.of(b.spark, b.sf_dir)
+    muts = merged_maf_of(b, m.file_manifest).select(F.col("Tumor_Sample_Barcode").alias("sample"))
+    cna = m.cnv_samples.select(F.col("Cbio_Tumor_Name").alias("sample"))
+    rna = m.expression_samples.select("sample")
     sv = fusion_table_of(b).select(F.col("Tumor_Sample_Barcode").alias("sample"))
     return caselists.case_lists(muts, cna, rna, sv)
 
@@ -360,6 +387,19 @@ def case_list_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return caselists.case_list_sizes(case_lists_of(Bindings(spark, sf_dir)))
 
 
+# file attributes of the testdata package's lists; the last one stays empty
+CASE_LIST_ATTRS = {
+    key: {"stable_id": key.removeprefix("cases_"), "case_list_name": key.replace("_", " "),
+          "case_list_description": f"Samples of {key}", "case_list_category": "other"}
+    for key in (*K.CASE_LIST_KEYS, "cases_methylation")}
+
+
+@register
+def case_list_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every case-list file as numbered lines, also of the list without samples."""
+    return caselists.case_list_lines(case_lists_of(Bindings(spark, sf_dir)), PROJECT, CASE_LIST_ATTRS)
+
+
 # ---------------------------------------------------------------- clinical header rows, intake
 
 from portalforge.plans import intake  # noqa: E402
@@ -369,6 +409,23 @@ PATIENT_COLUMNS = ("PATIENT_ID", "EXTERNAL_PATIENT_ID", "SEX", "RACE", "ETHNICIT
 NUMBER_COLUMNS = ("AGE", "AGE_IN_DAYS", "OS_MONTHS")
 
 
+SAMPLE_COLUMNS = ("PATIENT_ID", "SAMPLE_ID", "SPECIMEN_ID", "CANCER_TYPE", "CANCER_TYPE_DETAILED",
+                  "ONCOTREE_CODE", "TUMOR_TISSUE_TYPE", "TUMOR_TYPE", "SAMPLE_TYPE")
+HEADER_SCHEMA = "attribute string, label string, description string, datatype string, priority string"
+
+
+def sample_header_defs() -> list[tuple[str, str, str, str, str]]:
+    """Header definitions of the sample sheet; SAMPLE_TYPE has none."""
+    return [(c, c.replace("_", " ").title(), f"{c.replace('_', ' ').title()} of the sample", "STRING", "1")
+            for c in SAMPLE_COLUMNS if c != "SAMPLE_TYPE"]
+
+
+@register
+def sample_sheet_with_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Models.of(spark, sf_dir)
+    return clinical.clinical_with_header(m.sheet, spark.createDataFrame(sample_header_defs(), HEADER_SCHEMA))
+
+
 def patient_header_defs() -> list[tuple[str, str, str, str, str]]:
     """Header definition rows for the patient sheet (attribute, label,
     description, datatype, priority), generated from the column names."""
@@ -395,7 +452,13 @@ def study_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def intake_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Bindings(spark, sf_dir)
-    return intake.intake_violations(intake.form_fields(b.v_form))
+    return intake.intake_violations(intake.answers(b.v_form))
+
+
+@register
+def invalid_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = Bindings(spark, sf_dir)
+    return intake.invalid_forms(b.v_form, b.v_study_list)
 
 
 # ---------------------------------------------------------------- whole package (not a registered query)
@@ -408,8 +471,7 @@ def write_testdata_package(spark: SparkSession, sf_dir: str, out_dir: str,
     m = Models.of(spark, sf_dir)
     gene_cn = cnv.cnv_to_genes(b.v_segment, b.v_gene, b.v_hugo)
     samples = _cnv_samples(b)
-    expr = expression.expression_matrix(b.v_expr).withColumn("Cbio_project", F.lit(PROJECT))
-    expr_samples = b.v_expr.select("sample").distinct().withColumn("Cbio_project", F.lit(PROJECT))
+    expr = expression.expression_matrix(m.expression)
     defs = spark.createDataFrame(patient_header_defs(), "attribute string, label string, "
                                  "description string, datatype string, priority string")
     seg = b.v_segment.select("sample_id", "chrom", "seg_start", "seg_end",
@@ -418,15 +480,15 @@ def write_testdata_package(spark: SparkSession, sf_dir: str, out_dir: str,
         out_dir,
         patient=clinical.patient_sheet(m.registry, b.v_participant, b.v_diagnosis, b.v_outcome),
         sample=m.sheet, header_defs=defs,
+        sample_header_defs=spark.createDataFrame(sample_header_defs(), HEADER_SCHEMA),
         maf=merged_maf_of(b, m.file_manifest), maf_version="#version 2.4",
         maf_template=BINDING_MAF_TEMPLATE,
-        gene_cn=gene_cn.join(samples.select("sample_id", "Cbio_project"), "sample_id"),
+        gene_cn=gene_cn,
         cnv_samples=samples,
         discrete_cells=cnv.cnv_cells_long(gene_cn, samples),
-        segments=cnv.merge_segments(seg).withColumn("Cbio_project", F.lit(PROJECT)),
-        expr_cells=expr, expr_samples=expr_samples,
-        zscore_cells=expression.expression_zscore(expression.expression_matrix(b.v_expr))
-        .withColumn("Cbio_project", F.lit(PROJECT)),
+        segments=cnv.merge_segments(seg, matrix_columns(m.file_manifest, "seg")),
+        expr_cells=expr, expr_samples=m.expression_samples,
+        zscore_cells=zscores_of(m),
         fusions=fusion_table_of(b), sv=sv_table(spark, sf_dir),
         case_list_attrs=case_list_attrs, study_id=PROJECT)
 
@@ -438,12 +500,12 @@ def cnv_cells_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sparse long form of the CNV matrices: observed cells with ploidy and level."""
     b = Bindings(spark, sf_dir)
     return cnv.cnv_cells_long(cnv.cnv_to_genes(b.v_segment, b.v_gene, b.v_hugo), _cnv_samples(b)).select(
-        "Cbio_project", "sample_id", "Hugo_Symbol", "copy_number", "ploidy", "level")
+        "Cbio_project", "Cbio_Tumor_Name", "sample_id", "Hugo_Symbol", "copy_number", "ploidy", "level")
 
 
 @register
 def representative_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return expression.representative_genes(Bindings(spark, sf_dir).v_expr)
+    return expression.representative_genes(Models.of(spark, sf_dir).expression)
 
 
 @register
@@ -487,29 +549,23 @@ def unresolved_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
 from portalforge.operators.matrix import matrix_lines  # noqa: E402
 
 
-def _expr_samples(b: Bindings) -> DataFrame:
-    return b.v_expr.select("sample").distinct().withColumn("Cbio_project", F.lit(PROJECT))
-
-
 @register
 def expression_matrix_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Expression matrix file rows: FPKM per sample in sample order, '' when absent."""
-    b = Bindings(spark, sf_dir)
-    cells = expression.expression_matrix(b.v_expr)
-    samples = _expr_samples(b).withColumn("_blank", F.lit(""))
-    return matrix_lines(cells, samples, group=["Cbio_project"], row="Hugo_Symbol", sample="sample",
-                        value="fpkm", default="_blank", order=["sample"], line_col="matrix_line")
+    """Expression matrix file rows: FPKM per sample in manifest order, '' when absent."""
+    m = Models.of(spark, sf_dir)
+    samples = m.expression_samples.withColumn("_blank", F.lit(""))
+    return matrix_lines(expression.expression_matrix(m.expression), samples, group=["Cbio_project"], row="Hugo_Symbol",
+                        sample="sample", value="fpkm", default="_blank", order=MANIFEST_ORDER, line_col="matrix_line")
 
 
 @register
 def zscore_matrix_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """z-score matrix file rows: %.4f per sample in sample order, 0.0000 when absent."""
-    b = Bindings(spark, sf_dir)
-    z = expression.expression_zscore(expression.expression_matrix(b.v_expr))
-    cells = z.withColumn("z_text", F.format_string("%.4f", F.col("zscore")))
-    samples = _expr_samples(b).withColumn("_z", F.lit("0.0000"))
+    """z-score matrix file rows: %.4f per sample in manifest order, 0.0000 when absent."""
+    m = Models.of(spark, sf_dir)
+    cells = zscores_of(m).withColumn("z_text", F.format_string("%.4f", F.col("zscore")))
+    samples = m.expression_samples.withColumn("_z", F.lit("0.0000"))
     return matrix_lines(cells, samples, group=["Cbio_project"], row="Hugo_Symbol", sample="sample",
-                        value="z_text", default="_z", order=["sample"], line_col="matrix_line")
+                        value="z_text", default="_z", order=MANIFEST_ORDER, line_col="matrix_line")
 
 
 @register
@@ -522,3 +578,35 @@ def merged_segments_named(spark: SparkSession, sf_dir: str) -> DataFrame:
     seg = b.v_segment.select("sample_id", "chrom", "seg_start", "seg_end",
                              F.col("line_no").alias("num_mark"), F.col("cn").alias("seg_mean"))
     return cnv.merge_segments(seg, picks)
+
+
+# ---------------------------------------------------------------- a study with two manifests (U1)
+
+def two_registries(b: Bindings) -> DataFrame:
+    """The union of the registries of both manifests."""
+    return cohort.merged_registry([
+        cohort.sample_registry(biospecimen(b), cohort.active_manifest(m, b.v_hidden), cell_lines(b))
+        for m in (b.v_manifest, b.v_manifest_2)])
+
+
+def _two_sheet(b: Bindings, registries: DataFrame) -> DataFrame:
+    return clinical.sample_sheet(registries, biospecimen(b), b.v_bs_dx, b.v_diagnosis, b.v_participant, b.v_onco, STUDY_IDS)
+
+
+@register
+def sample_sheet_two_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = Bindings(spark, sf_dir)
+    return _two_sheet(b, two_registries(b))
+
+
+@register
+def patient_sheet_two_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = Bindings(spark, sf_dir)
+    return clinical.patient_sheet(two_registries(b), b.v_participant, b.v_diagnosis, b.v_outcome)
+
+
+@register
+def file_manifest_two_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = Bindings(spark, sf_dir)
+    registries = two_registries(b)
+    return manifest.file_manifest([b.v_manifest, b.v_manifest_2], b.v_hidden, registries, _two_sheet(b, registries), PROJECT)

@@ -15,22 +15,25 @@ def build_session(master: str | None = None, app: str = "portalforge",
 
     AQE re-plans joins from runtime sizes (a shuffled side that turns out
     small becomes a broadcast) and splits skewed shuffle partitions, so a
-    hypermutated sample or a hot gene does not pin one task.  The UI stays
-    off: nothing here serves a port.
+    hypermutated sample or a hot gene does not pin one task.  Master and
+    partition count are the caller's or the submit command's; code sets none.
+    The UI stays off: nothing here serves a port.
     """
-    master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
-    parts = shuffle_partitions or int(os.environ.get("SHUFFLE_PARTITIONS", "8"))
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if os.environ.get("SPARK_DRIVER_MEMORY"):
+        builder = builder.config("spark.driver.memory", os.environ["SPARK_DRIVER_MEMORY"])
     return (
-        SparkSession.builder.master(master)
-        .appName(app)
+        builder
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )

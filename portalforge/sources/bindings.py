@@ -48,9 +48,20 @@ SELECT 'BS_'||l_orderkey biospecimen_id,
        'f_'||l_orderkey||'_'||l_linenumber||
          case when l_linenumber=3 and l_returnflag='R' then '.vcf.gz' else '.txt' end file_name,
        case when l_suppkey%3=0 then '' when l_suppkey%3=1 then 'None' else 'vol'||(l_suppkey%2) end volume,
-       case when l_partkey%2=0 then 's3://bucket-a/study-x/' else 's3://bucket-b/' end
+       case when l_partkey%9=0 then null when l_partkey%2=0 then 's3://bucket-a/study-x/' else 's3://bucket-b/' end
          ||'f_'||l_orderkey||'_'||l_linenumber s3_path
   FROM {lineitem}""",
+    # a second manifest of the study: some rows of the first again, and files of its own
+    "v_manifest_2": """
+SELECT 'BS_'||l_orderkey biospecimen_id,
+       case when l_suppkey%5=0 then null else 'BS_'||(l_orderkey-l_orderkey%10) end normal_id,
+       case l_linenumber when 1 then 'RSEM_gene' when 2 then 'annofuse_filtered_fusions_tsv'
+            else 'annotated_public_outputs' end file_type,
+       case when l_linestatus='O' or l_returnflag='A' then 'active' else 'inactive' end status,
+       case when l_orderkey%2=0 or l_orderkey%3=0 then 'WGS' else 'RNA-Seq' end experiment_strategy,
+       case when l_returnflag='A' then 'g_' else 'f_' end||l_orderkey||'_'||l_linenumber||'.txt' file_name
+  FROM {lineitem}
+ WHERE l_linenumber<=3""",
     "v_hidden": """
 SELECT distinct 'BS_'||l_orderkey biospecimen_id
   FROM {lineitem}
@@ -72,19 +83,16 @@ SELECT 'PT_'||c_custkey kf_id,
 SELECT 'DG_'||o_orderkey kf_id,
        'PT_'||(o_orderkey DIV 10) participant_id,
        o_custkey*5+1 age_at_event_days,
-       o_orderpriority source_text_diagnosis
-  FROM {orders}
- WHERE o_orderkey%10 in (3,8)""",
+       case when o_orderkey%23=0 then '' when o_orderkey%19=0 then null else o_orderpriority end source_text_diagnosis
+  FROM {orders}""",
     "v_bs_dx": """
 SELECT 'BS_'||o_orderkey biospecimen_id,
-       'DG_'||(o_orderkey-o_orderkey%10+3) diagnosis_id
+       'DG_'||o_orderkey diagnosis_id
   FROM {orders}
- WHERE o_orderkey%7<>0
  UNION ALL
 SELECT 'BS_'||o_orderkey,
-       'DG_'||(o_orderkey-o_orderkey%10+8)
-  FROM {orders}
- WHERE o_orderkey%4=0""",
+       'DG_'||(o_orderkey-o_orderkey%2)
+  FROM {orders}""",
     "v_outcome": """
 SELECT 'PT_'||c_custkey participant_id,
        case when c_custkey%5=0 then 'Deceased' when c_custkey%7=0 then 'Reported Unknown'
@@ -93,7 +101,7 @@ SELECT 'PT_'||c_custkey participant_id,
   FROM {customer}
  WHERE c_custkey%11<>0""",
     "v_onco": """
-SELECT distinct o_orderpriority d3b_diagnosis,
+SELECT distinct o_orderpriority diagnosis_text,
        'Onco '||o_orderpriority oncotree_value,
        'OC'||substr(o_orderpriority,1,1) oncotree_code
   FROM {orders}
@@ -126,11 +134,11 @@ SELECT distinct 'BS_'||l_orderkey sample_id,
   FROM {lineitem}
  WHERE l_orderkey%10<>2""",
     "v_expr": """
-SELECT 'ENSG'||p_partkey||'_'||p_brand||'_'||p_size gene_id,
-       'E'||(l_suppkey%10) sample,
-       max(l_extendedprice) fpkm
+SELECT 'ENSG'||(p_partkey%(1+p_size%3))||'_G_'||p_size gene_id,
+       'BS_'||(6*l_suppkey+1) specimen_id,
+       max(case when p_size%11=0 and l_suppkey%4=0 then null else l_extendedprice end) fpkm
   FROM {lineitem} join {part} on l_partkey=p_partkey
- GROUP BY 'ENSG'||p_partkey||'_'||p_brand||'_'||p_size, 'E'||(l_suppkey%10)""",
+ GROUP BY 'ENSG'||(p_partkey%(1+p_size%3))||'_G_'||p_size, 'BS_'||(6*l_suppkey+1)""",
     "v_maf": """
 SELECT 'BS_'||l_orderkey sample_id,
        l_linenumber line_no,
@@ -160,11 +168,18 @@ SELECT event_id,
        'fa'||(user_id%2) fusion_anno,
        event_type='purchase' is_panel
   FROM {events}""",
-    # request forms: each conversation is a form, each turn a line; user
-    # turns carry a field label, the following turn its answer
+    # request forms: each conversation is a form; a user turn is a line of free
+    # text and a label line, the following turn is the label's answer.  Some
+    # answers contain a label's text themselves.
     "v_form": """
 SELECT conv_id form_id,
-       turn + 1 line_no,
+       turn*2 line_no,
+       replace(text, chr(10), ' ') line
+  FROM {conversations}
+ WHERE role = 'user'
+ UNION ALL
+SELECT conv_id,
+       turn*2 + 1,
        case when role = 'user' then
             case (conv_id + turn DIV 2) % 8 when 0 then 'Study Description' when 1 then 'Study Display Name'
                  when 2 then 'Cancer Study Identifier' when 3 then 'Type of Cancer'
@@ -173,13 +188,14 @@ SELECT conv_id form_id,
        else
             case (conv_id + turn DIV 2) % 8
                  when 5 then case when conv_id % 3 = 0 then 'dw.m_'||(conv_id % 25)
-                                  else 'Nation '||(conv_id % 25)||' , Nation '||((conv_id + 7) % 30) end
-                 when 6 then 'maf, rsem ,fusion'
+                                  else 'Nation '||(conv_id % 25)||' , Nation '||((conv_id + 7) % 26) end
+                 when 6 then 'maf, rsem ,fusion,other'
                  when 7 then case when conv_id % 2 = 0 then '_No response_' else 'pbta, dev' end
                  else case when length(text) % 13 = 0 then '_No response_'
-                           else replace(split_part(text, '.', 1), chr(10), ' ') end
+                           when length(text) % 11 = 0 then 'Cohort of Type of Cancer '||replace(text, chr(10), ' ')
+                           else replace(text, chr(10), ' ') end
             end
-       end line
+       end
   FROM {conversations}""",
     "v_study_list": """
 SELECT 'sd_'||n_nationkey study_id,

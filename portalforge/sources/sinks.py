@@ -1,13 +1,11 @@
 """Writers for the package files.
 
-Tables are written with Spark's writers, one folder per output and one
-sub-folder per project (``partitionBy``), never gathered on the driver.
-Files whose format puts text above the rows (clinical header rows, MAF
-version line, case lists) are written from (section, line_no, line) rows:
-the rows are range-sorted on that key and written as text, so the preamble
-lands first without a single-task sort of the data; ``single_file=True``
-additionally coalesces to one part file (only for outputs that must be one
-file and are small, e.g. case lists).
+Every file is text: (section, line_no, line) rows, range-partitioned on that
+key (after the project, where there is one folder per project) and sorted
+inside the parts.  The preamble is the start of the first part, parts follow
+each other in order, and no task writes more than its range, so a file of any
+size is written in parallel; concatenating a folder's parts in name order
+gives the file.  Fields are written as they are, without quoting; NULL is ''.
 """
 
 from __future__ import annotations
@@ -18,43 +16,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_tsv(df: DataFrame, path: str, *, partition_by: Sequence[str] = (), header: bool = True,
-              mode: str = "errorifexists", quote: bool = True, single_file: bool = False) -> None:
-    """TSV sink: NULL -> '' (0 and False stay as written).
-
-    ``single_file``: one file per ``partition_by`` value (rows of a project
-    are routed to one writer task), or one file overall without partitions.
-    """
-    if single_file:
-        df = df.repartition(*partition_by) if partition_by else df.coalesce(1)
-    w = (df.write.mode(mode).option("sep", "\t").option("header", header)
-         .option("nullValue", "").option("emptyValue", ""))
-    if not quote:
-        w = w.option("quote", "").option("escape", "")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.csv(path)
-
-
-def write_lines(lines: DataFrame, path: str, *, order: Sequence[str] = ("section", "line_no"),
-                partition_by: Sequence[str] = (), single_file: bool = False,
-                mode: str = "errorifexists") -> None:
+def write_lines(lines: DataFrame, path: str, *, order: Sequence[str] = ("section", "line_no", "line"),
+                partition_by: Sequence[str] = (), mode: str = "errorifexists") -> None:
     """Text sink for pre-rendered lines, in ``order``."""
-    df = lines
-    if single_file:
-        df = df.coalesce(1)
-    df = df.sortWithinPartitions(*partition_by, *order) if (single_file or partition_by) else df.orderBy(*order)
+    keys = [*partition_by, *order]
+    df = lines.repartitionByRange(*[F.col(c) for c in keys]).sortWithinPartitions(*keys)
     w = df.select(*partition_by, "line").write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.text(path)
 
 
+def write_tsv(df: DataFrame, path: str, *, partition_by: Sequence[str] = (), header: bool = True,
+              mode: str = "errorifexists") -> None:
+    """TSV sink: the column names, then the rows sorted by their text."""
+    columns = [c for c in df.columns if c not in partition_by]
+    lines = table_lines(df, columns, section=1, key=partition_by)
+    if header:
+        groups = df.select(*partition_by).distinct() if partition_by else df.sparkSession.range(1)
+        lines = lines.unionByName(groups.select(
+            *partition_by, F.lit(0).alias("section"), F.lit("").alias("line_no"), F.lit("\t".join(columns)).alias("line")))
+    write_lines(lines, path, partition_by=partition_by, mode=mode)
+
+
 def table_lines(df: DataFrame, columns: Sequence[str] | None = None, *, section: int = 2,
                 key: Sequence[str] = ()) -> DataFrame:
     """Rows as tab-joined text lines (NULL -> ''), tagged with ``section``."""
     cols = list(columns or [c for c in df.columns if c not in key])
-    text = F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+    text = F.concat_ws("\t", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in cols])
     return df.select(*key, F.lit(section).alias("section"), text.alias("line_no"), text.alias("line"))
 
 

@@ -91,3 +91,24 @@ def test_merge_segments_strips_chr(spark):
                                 "sample_id string, chrom string, seg_start long, seg_end long, num_mark string, seg_mean string")
     out = [r["chrom"] for r in cnv.merge_segments(seg).collect()]
     assert sorted(out) == ["1", "X"]
+
+
+def test_matrix_blocks_nulls_and_order(spark, monkeypatch):
+    """Columns in several blocks, missing values and defaults, order by two keys."""
+    from portalforge.operators import matrix
+    monkeypatch.setattr(matrix, "BLOCK_COLUMNS", 3)
+    monkeypatch.setattr(matrix, "ORDER_PREFIX", 2)
+    rows = [("P", f"S{i}", None if i % 4 == 1 else str(i), f"k{i % 5}", i) for i in range(11)] + [("Q", "S3", "x", None, 0)]
+    samples = spark.createDataFrame(rows, "project string, sample string, fill string, k string, n int")
+    cells = spark.createDataFrame([("A", "S0", 1.5), ("A", "S7", None), ("B", "S3", 2.0), ("C", "zz", 1.0)],
+                                  "gene string, sample string, v double")
+    got = {(r.project, r.gene): r.line for r in matrix.matrix_lines(
+        cells, samples, group=["project"], row="gene", sample="sample", value="v", default="fill", order=["k", "n"]).collect()}
+    order = sorted((r for r in rows if r[0] == "P"), key=lambda r: (r[3], r[4]))
+    want = {}
+    for gene, own in (("A", {"S0": "1.5", "S7": ""}), ("B", {"S3": "2.0"})):
+        want["P", gene] = "\t".join(own.get(r[1], r[2] or "") for r in order)
+    want["Q", "B"] = "2.0"
+    assert got == want
+    head = {r.project: r.line for r in matrix.header_line(samples, group=["project"], sample="sample", order=["k", "n"], first="G").collect()}
+    assert head == {"P": "\t".join(["G"] + [r[1] for r in order]), "Q": "G\tS3"}

@@ -24,9 +24,17 @@ def test_zscore_cases(spark):
     for g, vals in {"G1": (0, 1, 3), "G2": (7, 7, 7), "G3": (10, 0, 2.5)}.items():
         rows += [(f"E_{g}", s, f(v)) for s, v in zip("abc", vals)]
     rows += [("E_G4", "a", f(1)), ("E_G4", "c", f(3))]  # missing in b
-    z = expression.expression_zscore(expression.expression_matrix(_long(spark, rows)))
+    df = _long(spark, rows)
+    z = expression.expression_zscore(expression.expression_matrix(df), df)
     got = {(r.Hugo_Symbol, r.sample): r.zscore for r in z.collect()}
     assert [got[("G1", s)] for s in "abc"] == pytest.approx([-1.2247, 0.0, 1.2247], abs=1e-4)
     assert [got[("G2", s)] for s in "abc"] == [0.0, 0.0, 0.0]
     assert [got[("G3", s)] for s in "abc"] == pytest.approx([1.2060, -1.2427, 0.0366], abs=1e-4)
     assert got[("G4", "a")] == 0.0 and got[("G4", "c")] == 0.0
+
+
+def test_sample_without_representative_genes_counts(spark):
+    """Sample c has only the lower transcript of X: X is missing in it, so X scores 0."""
+    df = _long(spark, [("E1_X", "a", 4.0), ("E1_X", "b", 9.0), ("E2_X", "c", 1.0)])
+    z = expression.expression_zscore(expression.expression_matrix(df), df)
+    assert {(r.sample, r.zscore) for r in z.collect()} == {("a", 0.0), ("b", 0.0)}

@@ -60,8 +60,8 @@ def test_cnv_files(spark, tmpdir_fresh):
 def test_tsv_sink_null_blank_zero_kept(spark, tmpdir_fresh):
     df = spark.createDataFrame([("a", None, 0)], "x string, y string, z int")
     out = os.path.join(tmpdir_fresh, "out")
-    sinks.write_tsv(df, out, single_file=True)
-    text = "".join(open(os.path.join(out, f)).read() for f in sorted(os.listdir(out)) if f.endswith(".csv"))
+    sinks.write_tsv(df, out)
+    text = "".join(open(os.path.join(out, f)).read() for f in sorted(os.listdir(out)) if f.startswith("part"))
     assert text == "x\ty\tz\na\t\t0\n"
 
 
@@ -69,7 +69,7 @@ def test_maf_sink_preamble(spark, tmpdir_fresh):
     df = spark.createDataFrame([("P", "TP53", "S1")], "Cbio_project string, Hugo_Symbol string, Tumor_Sample_Barcode string")
     lines = sinks.maf_lines(df, "#version 2.4", ["Hugo_Symbol", "Tumor_Sample_Barcode"])
     out = os.path.join(tmpdir_fresh, "maf")
-    sinks.write_lines(lines, out, partition_by=["Cbio_project"], single_file=True)
+    sinks.write_lines(lines, out, partition_by=["Cbio_project"])
     part = os.path.join(out, "Cbio_project=P")
     text = "".join(open(os.path.join(part, f)).read() for f in sorted(os.listdir(part)) if f.startswith("part"))
     assert text == "#version 2.4\nHugo_Symbol\tTumor_Sample_Barcode\nTP53\tS1\n"

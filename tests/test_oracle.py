@@ -54,4 +54,6 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    from portalforge.oracle import ORACLE
+    from portalforge.queries import QUERIES
+    assert set(QUERIES) == set(ORACLE)

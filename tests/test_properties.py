@@ -23,7 +23,8 @@ def test_broadcast_equals_binned(spark):
 
 def test_matrix_lines_have_one_value_per_sample(spark):
     lines = QUERIES["cnv_discrete"](spark, SF).collect()
-    n = Bindings(spark, SF).v_segment.select("sample_id").distinct().count()
+    from portalforge.queries import Models
+    n = Models.of(spark, SF).cnv_samples.count()
     for r in lines:
         vals = r.matrix_line.split("\t")
         assert len(vals) == n

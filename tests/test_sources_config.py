@@ -3,6 +3,9 @@
 import json
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 from portalforge.plans import intake
 from portalforge.sources import files, warehouse
 
@@ -41,14 +44,26 @@ def test_forms_to_study_rows(spark, tmpdir_fresh):
     with open(form, "w") as fh:
         fh.write("### Study Description\nA study\n### Study Display Name\nAlpha\n"
                  "### Cancer Study Identifier\nalpha\n### Type of Cancer\nnbl\n### Reference Genome\nhg38\n"
-                 "### Study Manifest\nAlpha Study , dw.m_beta, missing\n### File Types\nmaf, rsem\n"
+                 "### Study Manifest\nAlpha Study , dw.m_beta\n### File Types\nmaf, rsem\n"
                  "### Groups\n_No response_\n")
     lines = files.read_forms(spark, os.path.join(tmpdir_fresh, "*_ticket_contents.txt"))
     study_list = files.read_study_list(spark, sl)
     out = sorted((r.study_name, r.study_id, r.table_name, r.groups, r.file_types)
                  for r in intake.study_intake(lines, study_list).collect())
-    assert out == [("Alpha Study", "SD_1", "dw.m_alpha", "PUBLIC", "maf,rsem"),
-                   ("beta", "SD_2", "dw.m_beta", "PUBLIC", "maf,rsem")]
-    missing = [r.item for r in intake.unresolved_manifests(lines, study_list).collect()]
-    assert missing == ["missing"]
-    assert intake.intake_violations(intake.form_fields(lines)).count() == 0
+    assert out == [("Alpha Study", "SD_1", "dw.m_alpha", "PUBLIC", "annotated_public_outputs,RSEM_gene"),
+                   ("beta", "SD_2", "dw.m_beta", "PUBLIC", "annotated_public_outputs,RSEM_gene")]
+    assert intake.intake_violations(intake.answers(lines)).count() == 0
+    broken = lines.withColumn("line", F.regexp_replace("line", "dw.m_beta", "missing"))
+    assert [r.item for r in intake.unresolved_manifests(broken, study_list).collect()] == ["missing"]
+    assert intake.study_intake(broken, study_list).count() == 0
+    with pytest.raises(ValueError):
+        intake.study_intake(broken, study_list, strict=True)
+
+
+def test_answers_are_consumed(spark):
+    rows = ["Study Description", "Cohort of Type of Cancer nbl", "Type of Cancer", "Study Display Name", "free text",
+            "Groups", "Groups", "Groups", "a", "File Types"]
+    lines = spark.createDataFrame([("f", i, x) for i, x in enumerate(rows)], "form_id string, line_no int, line string")
+    got = sorted((r.line_no, r.field, r.value) for r in intake.answers(lines).collect())
+    assert got == [(0, "description", "Cohort of Type of Cancer nbl"), (2, "type_of_cancer", "Study Display Name"),
+                   (5, "groups", "Groups"), (7, "groups", "a"), (9, "file_types", None)]

@@ -14,7 +14,7 @@ from portalforge.session import build_session  # noqa: E402
 
 def main():
     sf_dir = sys.argv[1]
-    spark = build_session()
+    spark = build_session(master="local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
     for name in sys.argv[2:]:
         df = QUERIES[name](spark, sf_dir)
