@@ -138,3 +138,12 @@ REQUEST_FILE_TYPES = {short: name for name, short in FILE_TYPE_CODES.items()}
 
 FORM_NO_RESPONSE = "_No response_"
 DEFAULT_GROUP = "PUBLIC"
+
+# --- fixed values: file manifest columns --------------------------------------
+MANIFEST_COLUMNS = ("Cbio_project", "T_CL_BS_ID", "Norm_BS_ID", "File_Type", "Cbio_Tumor_Name",
+                    "Cbio_Matched_Normal_Name", "File_Name")
+
+# --- fixed values: keys of a structural variant, and caller file columns -------
+SV_KEYS = ("Sample", "Gene1A", "LeftBreakpoint", "Gene1B", "RightBreakpoint", "Fusion_Type",
+           "JunctionReadCount", "SpanningFragCount", "annots", "FusionName", "Fusion_anno")
+CALLER_FUSION_COLUMNS = (*SV_KEYS[1:], "Caller", "CalledBy")

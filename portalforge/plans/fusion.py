@@ -95,8 +95,7 @@ def fusion_name_violations(table: DataFrame) -> DataFrame:
     return table.filter(F.size(F.split(F.col("Fusion"), "--", -1)) != 2)
 
 
-SV_KEYS = ["Sample", "Gene1A", "LeftBreakpoint", "Gene1B", "RightBreakpoint", "Fusion_Type",
-           "JunctionReadCount", "SpanningFragCount", "annots", "FusionName", "Fusion_anno"]
+SV_KEYS = list(K.SV_KEYS)
 
 
 def sv_table(fusions: DataFrame, fusion_files: DataFrame, *, order: Sequence[str] = ("event_id",),

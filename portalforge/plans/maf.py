@@ -1,10 +1,11 @@
 """Mutation jobs: merged MAF (B14) and panel MAF append (B15).
 
-MAF records arrive as ``fields: map<string,string>`` (header -> value) so
-files with different headers merge without a positional schema
-(``portalforge.sources.files.read_maf`` builds the map per file).  Output
-columns follow a template header, with ``Entrez_Gene_Id`` removed and absent
-columns written as ''.
+MAF records arrive as ``record: array<string>`` in the order of
+``record_layout(template)``: the reader resolves each file's header to
+positions once, so files with different headers merge without a positional
+schema and a template column is one array access.  Output columns follow a
+template header, with ``Entrez_Gene_Id`` removed and absent columns written
+as ''.
 """
 
 from __future__ import annotations
@@ -21,43 +22,46 @@ def template_columns(template: Sequence[str], drop: str = "Entrez_Gene_Id") -> l
     return [c for c in template if c != drop]
 
 
-def keep_variant(fields: str = "fields", excluded: Sequence[str] = K.MAF_EXCLUDED_CLASSES,
+def record_layout(template: Sequence[str]) -> list[str]:
+    """Fields of a record: the ones the filter needs, then the template's."""
+    return list(dict.fromkeys(["Hugo_Symbol", "Variant_Classification", *template_columns(template)]))
+
+
+def keep_variant(record: str = "record", excluded: Sequence[str] = K.MAF_EXCLUDED_CLASSES,
                  keep_gene: str = K.MAF_KEEP_GENE, keep_class: str = K.MAF_KEEP_CLASS) -> Column:
     """Variant class not excluded, or the TERT promoter exception; a
     missing class is kept."""
-    cls = F.col(fields)["Variant_Classification"]
-    gene = F.col(fields)["Hugo_Symbol"]
+    gene, cls = F.get(record, 0), F.get(record, 1)
     return (cls.isNull() | ~cls.isin(*excluded)
             | ((gene == keep_gene) & (cls == keep_class)))
 
 
-def conform(fields: str, template: Sequence[str], overrides: dict[str, Column]) -> list[Column]:
+def conform(record: str, template: Sequence[str], overrides: dict[str, Column]) -> list[Column]:
     """Template projection: overrides, else the record's value, else ''."""
-    out = []
+    out, layout = [], record_layout(template)
     for c in template_columns(template):
-        v = overrides.get(c, F.col(fields)[c])
+        v = overrides.get(c, F.get(record, layout.index(c)))
         out.append(F.coalesce(v, F.lit("")).alias(c))
     return out
 
 
 def merge_maf(maf: DataFrame, maf_files: DataFrame, template: Sequence[str], *,
               file_key: tuple[str, str] = ("T_CL_BS_ID", "file_key"),
-              fields: str = "fields") -> DataFrame:
+              record: str = "record") -> DataFrame:
     """Filtered, renamed, template-conformed MAF rows per project.
 
-    maf: ``file_key`` column + ``fields`` map.  maf_files: one row per
+    maf: ``file_key`` column + ``record``.  maf_files: one row per
     (Cbio_project, Cbio_Tumor_Name) with its file (see
     ``manifest.files_of_type``).  Tumour and normal barcodes are replaced by
-    the portal names.  The file list is small (one row per sample), so it is
-    broadcast after a size check and the large, sample-skewed MAF side is
-    never shuffled.
+    the portal names.  The file list has one row per sample; the planner
+    broadcasts it where its size allows, else AQE splits a hypermutated sample.
     """
     mkey, rkey = file_key
     files = maf_files.select(F.col(mkey).alias("_fk"), "Cbio_project", "Cbio_Tumor_Name",
                              "Cbio_Matched_Normal_Name")
-    rows = maf.filter(keep_variant(fields)).join(
+    rows = maf.filter(keep_variant(record)).join(
         files, F.col(rkey) == F.col("_fk"), "inner")
-    cols = conform(fields, template, {
+    cols = conform(record, template, {
         "Tumor_Sample_Barcode": F.col("Cbio_Tumor_Name"),
         "Matched_Norm_Sample_Barcode": F.coalesce(F.col("Cbio_Matched_Normal_Name"), F.lit("")),
     })
@@ -66,12 +70,12 @@ def merge_maf(maf: DataFrame, maf_files: DataFrame, template: Sequence[str], *,
 
 def panel_maf(panel: DataFrame, panel_files: DataFrame, template: Sequence[str], *,
               file_key: tuple[str, str] = ("T_CL_BS_ID", "file_key"),
-              fields: str = "fields") -> DataFrame:
+              record: str = "record") -> DataFrame:
     """Panel MAF rows: no class filter, only the tumour barcode renamed."""
     mkey, rkey = file_key
     files = panel_files.select(F.col(mkey).alias("_fk"), "Cbio_project", "Cbio_Tumor_Name")
     rows = panel.join(files, F.col(rkey) == F.col("_fk"), "inner")
-    cols = conform(fields, template, {"Tumor_Sample_Barcode": F.col("Cbio_Tumor_Name")})
+    cols = conform(record, template, {"Tumor_Sample_Barcode": F.col("Cbio_Tumor_Name")})
     return rows.select("Cbio_project", *cols)
 
 

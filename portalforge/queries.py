@@ -278,12 +278,10 @@ def expression_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def maf_records(b: Bindings, panel: bool) -> DataFrame:
     m = b.v_maf.filter(F.col("is_panel") == F.lit(panel))
-    fields = F.create_map(
-        F.lit("Hugo_Symbol"), F.col("hugo_symbol"),
-        F.lit("Variant_Classification"), F.col("variant_classification"),
-        F.lit("Start_Position"), F.col("start_position").cast("string"),
-        F.lit("Tumor_Sample_Barcode"), F.col("sample_id"))
-    return m.select(F.col("sample_id").alias("file_key"), fields.alias("fields"))
+    known = {"Hugo_Symbol": F.col("hugo_symbol"), "Variant_Classification": F.col("variant_classification"),
+             "Start_Position": F.col("start_position").cast("string"), "Tumor_Sample_Barcode": F.col("sample_id")}
+    record = F.array(*[known.get(c, F.lit(None).cast("string")) for c in maf.record_layout(BINDING_MAF_TEMPLATE)])
+    return m.select(F.col("sample_id").alias("file_key"), record.alias("record"))
 
 
 def merged_maf_of(b: Bindings, fm: DataFrame) -> DataFrame:
@@ -610,3 +608,58 @@ def file_manifest_two_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Bindings(spark, sf_dir)
     registries = two_registries(b)
     return manifest.file_manifest([b.v_manifest, b.v_manifest_2], b.v_hidden, registries, _two_sheet(b, registries), PROJECT)
+
+
+# ---------------------------------------------------------------- result files as text (S8-S14)
+
+from portalforge.sources import files  # noqa: E402
+
+
+def _file_lines(rows: DataFrame, path, columns: dict, shuffled, head: list[str] = []) -> DataFrame:
+    """Text lines of one file per ``path``, as the readers see them; files of
+    which ``shuffled`` holds have their columns in reverse order."""
+    names = list(columns)
+    text = lambda order: F.concat_ws("\t", *[F.coalesce(columns[c].cast("string"), F.lit("")) for c in order])
+    either = lambda a, b: F.when(shuffled, b).otherwise(a)
+    body = rows.select(path.alias("source_path"), F.lit(1).alias("block"), F.xxhash64(*columns.values()).alias("n"),
+                       either(text(names), text(names[::-1])).alias("value"))
+    tops = rows.select(path.alias("source_path"), shuffled.alias("_shuffled")).distinct()
+    header = F.when(F.col("_shuffled"), "\t".join(names[::-1])).otherwise("\t".join(names))
+    top = F.array(*[F.lit(x) for x in head], header)
+    tops = tops.select("source_path", F.lit(0).alias("block"), F.posexplode(top).alias("n", "value"))
+    lines = body.unionByName(tops.withColumn("n", F.col("n").cast("long")))
+    return lines.select("source_path", F.col("source_path").alias("source_file"),
+                        F.struct(F.col("source_path").alias("path"), "block", "n").alias("row_key"), "value")
+
+
+@register
+def expression_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expression files written from the tables, columns in two orders, and read by name."""
+    v = Bindings(spark, sf_dir).v_expr
+    odd = F.length("specimen_id") % 2 == 1
+    lines = _file_lines(v, F.col("specimen_id"), {"gene_id": F.col("gene_id"), "length": F.lit("1"), "FPKM": F.col("fpkm")}, odd)
+    return files.rsem_rows(lines).select(F.col("source_path").alias("specimen_id"), "gene_id", "fpkm")
+
+
+@register
+def maf_files_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MAF files with differing headers and a version line, merged by name."""
+    b = Bindings(spark, sf_dir)
+    m = b.v_maf.filter(~F.col("is_panel"))
+    columns = {"Hugo_Symbol": F.col("hugo_symbol"), "Entrez_Gene_Id": F.lit("0"), "Start_Position": F.col("start_position"),
+               "Variant_Classification": F.col("variant_classification"), "Tumor_Sample_Barcode": F.col("sample_id")}
+    lines = _file_lines(m, F.col("sample_id"), columns, F.length("sample_id") % 2 == 0, head=["#version 2.4"])
+    records = files.maf_records(lines, maf.record_layout(BINDING_MAF_TEMPLATE))
+    return maf.merge_maf(records, manifest.files_of_type(file_manifest_of(b), "maf"), BINDING_MAF_TEMPLATE,
+                         file_key=("T_CL_BS_ID", "source_path"))
+
+
+@register
+def fusion_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Caller files read by name: callers per fusion in file order, empty fields missing."""
+    v = _fusion_rows(Bindings(spark, sf_dir))
+    names = {"Gene1A": "gene1a", "FusionName": "fusion_name", "Caller": "caller", "Fusion_Type": "fusion_type"}
+    lines = _file_lines(v, F.col("specimen_id"), {k: F.col(c) for k, c in names.items()} | {"event": F.col("event_id")},
+                        F.length("specimen_id") % 2 == 0)
+    return files.fusion_rows(lines, [*names, "event"]).select(F.col("source_path").alias("specimen_id"), *names,
+                                                              F.col("event").cast("long").alias("event_id"))

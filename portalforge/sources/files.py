@@ -15,7 +15,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from portalforge import constants as K
 
@@ -40,33 +39,67 @@ def read_tsv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructTy
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """(source_file, line_no, line) with exact 1-based line numbers; each file
-    is read whole, so use for small files (manifests, forms, info, BED)."""
+    is read whole, so use for per-sample and small files (forms, info, CNV)."""
     raw = spark.read.text(paths if isinstance(paths, str) else list(paths), wholetext=True)
-    raw = raw.withColumn("source_file", _basename())
-    lines = raw.select("source_file", F.posexplode(F.split(F.col("value"), "\n")).alias("pos", "line"))
+    parts = F.split(F.col("value"), "\n")
     # a trailing newline yields one empty last element, which is not a line
-    last = F.max("pos").over(Window.partitionBy("source_file"))
-    return (lines.withColumn("_last", last)
-            .filter(~((F.col("pos") == F.col("_last")) & (F.col("line") == "")))
-            .select("source_file", (F.col("pos") + 1).alias("line_no"),
-                    F.regexp_replace("line", "\r$", "").alias("line")))
+    parts = F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    lines = raw.select(_basename().alias("source_file"), F.posexplode(parts).alias("pos", "line"))
+    return lines.select("source_file", (F.col("pos") + 1).alias("line_no"),
+                        F.regexp_replace("line", "\r$", "").alias("line"))
 
 
-# ------------------------------------------------------------------ manifest
+def text_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(source_path, source_file, row_key, value) of splittable text files.
+
+    ``row_key`` orders rows as the files do: path, block of the file, place in
+    the block; files are told apart by their full path."""
+    return keyed_lines(located(spark.read.text(paths if isinstance(paths, str) else list(paths))))
+
+
+def located(raw: DataFrame) -> DataFrame:
+    """Text rows with the file and block they come from."""
+    return raw.select("value", F.col("_metadata.file_path").alias("source_path"),
+                      F.col("_metadata.file_block_start").alias("block"))
+
+
+def keyed_lines(rows: DataFrame) -> DataFrame:
+    """``located`` rows with their order key (see ``text_lines``)."""
+    return rows.select("source_path", _basename("source_path").alias("source_file"),
+                       F.struct(F.col("source_path").alias("path"), "block",
+                                F.monotonically_increasing_id().alias("n")).alias("row_key"),
+                       F.regexp_replace("value", "\r$", "").alias("value"))
+
+
+def named_rows(lines: DataFrame, columns: Sequence[str], header: DataFrame | None = None) -> DataFrame:
+    """Rows of ``lines`` (``text_lines``) with ``columns`` found by name in each
+    file's own header, as text; a column that a file lacks is NULL, and rows may
+    have more or fewer fields than their header.
+
+    ``header``: (source_path, names, row_key of the header row); by default a
+    file's first row.  A header becomes positions once, not per row."""
+    if header is None:
+        header = lines.groupBy("source_path").agg(
+            F.split(F.min_by("value", "row_key"), "\t", -1).alias("names"), F.min("row_key").alias("_head"))
+    places = F.transform(F.array(*[F.lit(c) for c in columns]), lambda c: (F.array_position("names", c) - 1).cast("int"))
+    header = header.select(F.col("source_path").alias("_path"), "_head", places.alias("_places"))
+    rows = lines.join(header, F.col("source_path") == F.col("_path")).filter(F.col("row_key") != F.col("_head"))
+    cells = F.split("value", "\t", -1)
+    return rows.select("source_path", "source_file", "row_key",
+                       *[F.get(cells, F.get("_places", i)).alias(c) for i, c in enumerate(columns)])
 
-MANIFEST_COLUMNS = ("Cbio_project", "T_CL_BS_ID", "Norm_BS_ID", "File_Type", "Cbio_Tumor_Name",
-                    "Cbio_Matched_Normal_Name", "File_Name")
 
+def _filled(*columns: str):
+    """Empty fields are missing values."""
+    return [F.nullif(F.col(c), F.lit("")).alias(c) for c in columns]
+
+
+# ------------------------------------------------------------------ manifest
 
 def read_file_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """The ETL file manifest TSV with its line number (for last-row-wins);
-    columns are found by header name."""
-    lines = read_lines(spark, path)
-    header = lines.filter(F.col("line_no") == 1).select(
-        "source_file", F.split("line", "\t", -1).alias("_h"))
-    body = lines.filter(F.col("line_no") > 1).join(F.broadcast(header), "source_file")
-    m = F.map_from_arrays(F.col("_h"), F.split("line", "\t", -1))
-    return body.select("line_no", *[F.try_element_at(m, F.lit(c)).alias(c) for c in MANIFEST_COLUMNS])
+    """The ETL file manifest TSV, columns found by header name, with ``row_key``
+    (file order, for last-row-wins)."""
+    return named_rows(text_lines(spark, path), K.MANIFEST_COLUMNS).drop("source_path", "source_file")
 
 
 # ------------------------------------------------------------------ CNV
@@ -100,9 +133,8 @@ def read_ploidy(spark: SparkSession, paths: str | Sequence[str], key: str = K.PL
 
 def read_gene_bed(spark: SparkSession, path: str) -> DataFrame:
     """Gene BED: chrom, start, end, ..., symbol in the last column."""
-    lines = read_lines(spark, path)
-    f = F.split("line", "\t", -1)
-    return lines.filter(F.col("line") != "").select(
+    f = F.split("value", "\t", -1)
+    return text_lines(spark, path).filter(F.col("value") != "").select(
         F.get(f, 0).alias("chrom"), F.get(f, 1).cast("long").alias("gene_start"),
         F.get(f, 2).cast("long").alias("gene_end"), F.element_at(f, -1).alias("symbol"))
 
@@ -110,11 +142,10 @@ def read_gene_bed(spark: SparkSession, path: str) -> DataFrame:
 def read_hugo_entrez(spark: SparkSession, path: str) -> DataFrame:
     """symbol -> entrez map (two tab-separated columns); the last line of a
     repeated symbol wins, as a hash filled in file order does."""
-    lines = read_lines(spark, path)
-    f = F.split("line", "\t", -1)
-    rows = lines.filter(F.col("line") != "").select(
-        "line_no", F.get(f, 0).alias("symbol"), F.get(f, 1).alias("entrez"))
-    return rows.groupBy("symbol").agg(F.max_by("entrez", "line_no").alias("entrez"))
+    f = F.split("value", "\t", -1)
+    rows = text_lines(spark, path).filter(F.col("value") != "").select(
+        "row_key", F.get(f, 0).alias("symbol"), F.get(f, 1).alias("entrez"))
+    return rows.groupBy("symbol").agg(F.max_by("entrez", "row_key").alias("entrez"))
 
 
 SEG_SCHEMA = T.StructType([
@@ -131,39 +162,37 @@ def read_segments(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 # ------------------------------------------------------------------ expression
 
 def read_rsem(spark: SparkSession, paths: str | Sequence[str], value: str = "FPKM") -> DataFrame:
-    """Expression result files: (source_file, gene_id, fpkm); only the two
-    needed columns reach the parsed rows."""
-    df = read_tsv(spark, paths)
-    return df.select("source_file", F.col("gene_id"), F.col(value).cast("double").alias("fpkm"))
+    """Expression result files: (source_file, gene_id, fpkm)."""
+    return rsem_rows(text_lines(spark, paths), value)
+
+
+def rsem_rows(lines: DataFrame, value: str = "FPKM") -> DataFrame:
+    rows = named_rows(lines, ["gene_id", value])
+    return rows.select("source_path", "source_file", "gene_id", F.col(value).try_cast("double").alias("fpkm"))
 
 
 # ------------------------------------------------------------------ MAF
 
-def maf_records(text: DataFrame) -> DataFrame:
-    """(source_file, fields) from MAF text lines (``value``, ``source_file``).
+def maf_records(lines: DataFrame, layout: Sequence[str]) -> DataFrame:
+    """(source_path, source_file, record) of MAF text lines.
 
     Each file's header is the line whose fields include Hugo_Symbol,
-    Variant_Classification and Tumor_Sample_Barcode (found by content, not
-    position, so split files work); ``#`` lines are dropped and every record
-    becomes a ``map<string,string>`` from header name to value.  Headers are
-    one small row per file and are broadcast.
-    """
-    text = text.filter(~F.col("value").startswith("#") & (F.col("value") != ""))
+    Variant_Classification and Tumor_Sample_Barcode (found by content, so
+    split files work); ``#`` lines are dropped.  ``record`` holds the fields
+    of ``layout`` (``plans.maf.record_layout``) in that order."""
+    lines = lines.filter(~F.col("value").startswith("#") & (F.col("value") != ""))
     cells = F.split("value", "\t", -1)
     is_header = (F.array_contains(cells, "Hugo_Symbol") & F.array_contains(cells, "Variant_Classification")
                  & F.array_contains(cells, "Tumor_Sample_Barcode"))
-    headers = (text.filter(is_header).groupBy("source_file")
-               .agg(F.first(F.split("value", "\t", -1)).alias("_h")))
-    rows = text.filter(~is_header).join(F.broadcast(headers), "source_file")
-    return rows.select("source_file", F.map_from_arrays(
-        F.col("_h"), F.split(F.regexp_replace("value", "\r$", ""), "\t", -1)).alias("fields"))
+    header = lines.filter(is_header).groupBy("source_path").agg(
+        F.split(F.min_by("value", "row_key"), "\t", -1).alias("names"), F.min("row_key").alias("_head"))
+    rows = named_rows(lines, layout, header)
+    return rows.select("source_path", "source_file", F.array(*[F.col(f"`{c}`") for c in layout]).alias("record"))
 
 
-def read_maf(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def read_maf(spark: SparkSession, paths: str | Sequence[str], layout: Sequence[str]) -> DataFrame:
     """MAF files whose columns differ from file to file (see ``maf_records``)."""
-    text = spark.read.text(paths if isinstance(paths, str) else list(paths)).withColumn(
-        "source_file", _basename())
-    return maf_records(text)
+    return maf_records(text_lines(spark, paths), layout)
 
 
 def read_template_header(spark: SparkSession, path: str) -> tuple[str, list[str]]:
@@ -175,13 +204,16 @@ def read_template_header(spark: SparkSession, path: str) -> tuple[str, list[str]
 
 # ------------------------------------------------------------------ fusion
 
-def read_fusions(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Caller fusion files (all columns as text) with a row-order key.
+def read_fusions(spark: SparkSession, paths: str | Sequence[str],
+                 columns: Sequence[str] = K.CALLER_FUSION_COLUMNS) -> DataFrame:
+    """Caller fusion files: ``columns`` by name in each file (text, empty is
+    missing) and ``event_id``, the order of rows as the files have it."""
+    return fusion_rows(text_lines(spark, paths), columns)
+
 
-    ``event_id`` increases with the split and the row inside it, i.e. with
-    file order, which is what "first seen caller" needs."""
-    df = read_tsv(spark, paths)
-    return df.withColumn("event_id", F.monotonically_increasing_id())
+def fusion_rows(lines: DataFrame, columns: Sequence[str] = K.CALLER_FUSION_COLUMNS) -> DataFrame:
+    return named_rows(lines, columns).select(
+        "source_path", "source_file", *_filled(*columns), F.col("row_key").alias("event_id"))
 
 
 def read_centers(spark: SparkSession, path: str) -> DataFrame:
@@ -228,9 +260,3 @@ def read_forms(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Request-form text files as (form_id, line_no, line); ``form_id`` is
     the file name, so forms sort by name like the file list does."""
     return read_lines(spark, paths).select(F.col("source_file").alias("form_id"), "line_no", "line")
-
-
-def study_ids(manifests: DataFrame) -> DataFrame:
-    """Unique non-empty study ids of the configured manifests."""
-    return (manifests.select("study_id").filter(F.col("study_id").isNotNull() & (F.col("study_id") != ""))
-            .distinct())

@@ -12,12 +12,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from portalforge.plans.maf import merge_maf
+from portalforge.plans.maf import merge_maf, record_layout
 from portalforge.session import checkpoint_dir
-from portalforge.sources.files import maf_records
+from portalforge.sources.files import keyed_lines, located, maf_records
 
 
 def start_maf_stream(spark: SparkSession, in_dir: str, maf_files: DataFrame, template: Sequence[str],
@@ -37,12 +36,11 @@ def start_maf_stream(spark: SparkSession, in_dir: str, maf_files: DataFrame, tem
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    lines = reader.load(in_dir).withColumn(
-        "source_file", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
-    files = maf_files.cache()
+    lines = located(reader.load(in_dir))
+    files = maf_files
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
-        merged = merge_maf(maf_records(batch), files, template, file_key=("T_CL_BS_ID", "source_file"))
+        merged = merge_maf(maf_records(keyed_lines(batch), record_layout(template)), files, template, file_key=("T_CL_BS_ID", "source_file"))
         merged.write.mode("append").partitionBy("Cbio_project").parquet(out_dir)
 
     writer = lines.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)

@@ -20,17 +20,17 @@ def test_maf_headers_per_file(spark, tmpdir_fresh):
     _write(tmpdir_fresh, "a.maf", "#version 2.4\nHugo_Symbol\tVariant_Classification\tTumor_Sample_Barcode\n"
                                   "TP53\tMissense_Mutation\tBS_1\nMYC\tSilent\tBS_1\n")
     _write(tmpdir_fresh, "b.maf", "#version 2.4\nTumor_Sample_Barcode\tHugo_Symbol\tHotSpotAllele\tVariant_Classification\n"
-                                  "BS_2\tKRAS\tY\tNonsense_Mutation\n")
-    recs = files.read_maf(spark, tmpdir_fresh + "/*.maf")
+                                  "BS_2\tKRAS\tY\tNonsense_Mutation\textra\nBS_2\tshort\n")
+    template = ["Hugo_Symbol", "Entrez_Gene_Id", "Variant_Classification",
+                "Tumor_Sample_Barcode", "Matched_Norm_Sample_Barcode", "HotSpotAllele"]
+    recs = files.read_maf(spark, tmpdir_fresh + "/*.maf", maf.record_layout(template))
     mf = spark.createDataFrame([("P", "S1", "a.maf", None), ("P", "S2", "b.maf", "N2")],
                                "Cbio_project string, Cbio_Tumor_Name string, T_CL_BS_ID string, "
                                "Cbio_Matched_Normal_Name string")
-    out = maf.merge_maf(recs, mf, ["Hugo_Symbol", "Entrez_Gene_Id", "Variant_Classification",
-                                   "Tumor_Sample_Barcode", "Matched_Norm_Sample_Barcode", "HotSpotAllele"],
-                        file_key=("T_CL_BS_ID", "source_file"))
+    out = maf.merge_maf(recs, mf, template, file_key=("T_CL_BS_ID", "source_file"))
     got = sorted(tuple(r) for r in out.collect())
-    assert got == [("P", "KRAS", "Nonsense_Mutation", "S2", "N2", "Y"),
-                   ("P", "TP53", "Missense_Mutation", "S1", "", "")]
+    assert got == [("P", "KRAS", "Nonsense_Mutation", "S2", "N2", "Y"), ("P", "TP53", "Missense_Mutation", "S1", "", ""),
+                   ("P", "short", "", "S2", "N2", "")]
 
 
 def test_manifest_by_header_name(spark, tmpdir_fresh):
@@ -38,8 +38,8 @@ def test_manifest_by_header_name(spark, tmpdir_fresh):
                "File_Name\tCbio_project\tT_CL_BS_ID\tNorm_BS_ID\tFile_Type\tCbio_Tumor_Name\tCbio_Matched_Normal_Name\n"
                "f1\tP\tB1\t\tmaf\tS1\t\nf2\tP\tB2\tN\tcnv\tS2\tN\n")
     m = files.read_file_manifest(spark, p)
-    rows = sorted((r.line_no, r.File_Name, r.File_Type, r.Cbio_Tumor_Name) for r in m.collect())
-    assert rows == [(2, "f1", "maf", "S1"), (3, "f2", "cnv", "S2")]
+    rows = [(r.File_Name, r.File_Type, r.Cbio_Tumor_Name) for r in m.orderBy("row_key").collect()]
+    assert rows == [("f1", "maf", "S1"), ("f2", "cnv", "S2")]
 
 
 def test_cnv_files(spark, tmpdir_fresh):
@@ -100,7 +100,7 @@ def test_fusion_flow_from_files(spark, tmpdir_fresh):
     head = "Gene1A\tGene1B\tFusionName\tCaller\tFusion_Type\n"
     _write(tmpdir_fresh, "f1.tsv", head + "A\tB\tA--B\tarriba\tin-frame\nA\tB\tA--B\tSTARFusion\tin-frame\n"
                                           "A\tB\tA--B\tarriba\tin-frame\n")
-    _write(tmpdir_fresh, "f2.tsv", head + "C\tC\tC--C\tarriba\tframeshift\n")
+    _write(tmpdir_fresh, "f2.tsv", "Fusion_Type\tCaller\tGene1A\tGene1B\tFusionName\nframeshift\tarriba\tC\tC\tC--C\n")
     raw = files.read_fusions(spark, tmpdir_fresh + "/*.tsv")
     fm = spark.createDataFrame([("P", "BS1", "S1", "f1.tsv"), ("P", "BS2", "S2", "f2.tsv")],
                                "Cbio_project string, T_CL_BS_ID string, Cbio_Tumor_Name string, File_Name string")
@@ -119,7 +119,7 @@ def test_expression_flow_from_files(spark, tmpdir_fresh):
     from portalforge.plans import expression
     head = "gene_id\ttranscript_id(s)\tFPKM\n"
     _write(tmpdir_fresh, "a.rsem.genes.results", head + "E1_X\tt\t1.0\nE2_X\tt\t9.0\nE3_Y\tt\t3.0\n")
-    _write(tmpdir_fresh, "b.rsem.genes.results", head + "E1_X\tt\t3.0\nE2_X\tt\t7.0\nE3_Y\tt\t5.0\n")
+    _write(tmpdir_fresh, "b.rsem.genes.results", "FPKM\tgene_id\n3.0\tE1_X\n7.0\tE2_X\n5.0\tE3_Y\n")
     _write(tmpdir_fresh, "c.rsem.genes.results", head + "E1_X\tt\t100.0\nE2_X\tt\t0.0\nE3_Y\tt\t0.0\n")
     raw = files.read_rsem(spark, tmpdir_fresh + "/*.rsem.genes.results")
     # manifest rows in order; c.* repeats sample S2 and is skipped (first file wins)

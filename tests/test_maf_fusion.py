@@ -9,8 +9,8 @@ def test_maf_filter_and_template(spark):
     recs = [("TERT", "5'Flank"), ("MYC", "5'Flank"), ("TERT", "Intron"), ("MYC", "Missense_Mutation"),
             ("MYC", None)]
     df = spark.createDataFrame([("f1", g, c) for g, c in recs], "file_key string, g string, c string")
-    df = df.select("file_key", F.create_map(F.lit("Hugo_Symbol"), "g", F.lit("Variant_Classification"), "c",
-                                            F.lit("Tumor_Sample_Barcode"), F.lit("BS_1")).alias("fields"))
+    blank = F.lit(None).cast("string")
+    df = df.select("file_key", F.array("g", "c", F.lit("BS_1"), blank, blank).alias("record"))
     files = spark.createDataFrame([("P", "S1", "f1", None)],
                                   "Cbio_project string, Cbio_Tumor_Name string, T_CL_BS_ID string, "
                                   "Cbio_Matched_Normal_Name string")
