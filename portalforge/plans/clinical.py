@@ -153,3 +153,15 @@ def clinical_with_header(sheet: DataFrame, header_defs: DataFrame, *,
     body = body.select(F.lit(len(kinds) + 1).alias("section"),
                        F.lit(0).cast("long").alias("line_no"), "line")
     return hdr_lines.unionByName(names).unionByName(body)
+
+
+def sheet_below_rows(sheet: DataFrame, head: DataFrame, order: Sequence[str]) -> DataFrame:
+    """(section, line_no, line): the rows of the header table ``head`` (one value
+    per sheet column, ordered by ``order``), the column names, the data rows."""
+    text = F.concat_ws("\t", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in sheet.columns])
+    top = head.select(F.lit(0).alias("section"), F.row_number().over(Window.orderBy(*order)).cast("long").alias("line_no"),
+                      text.alias("line"))  # a handful of header lines
+    names = sheet.sparkSession.range(1).select(F.lit(1).alias("section"), F.lit(0).cast("long").alias("line_no"),
+                                               F.lit("\t".join(sheet.columns)).alias("line"))
+    return top.unionByName(names).unionByName(
+        sheet.select(F.lit(2).alias("section"), F.lit(0).cast("long").alias("line_no"), text.alias("line")))

@@ -8,6 +8,8 @@ matrix whose absent cells take the sample's ploidy.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -107,10 +109,10 @@ def cnv_cells_long(gene_cn: DataFrame, samples: DataFrame, *, project: str = "Cb
             .withColumn("level", discretize_cn("copy_number", "ploidy", high_gain)))
 
 
-def duplicate_cells(gene_cn: DataFrame) -> DataFrame:
-    """(gene, sample) pairs seen more than once -- an input error."""
-    return (gene_cn.groupBy("Hugo_Symbol", "sample_id").count()
-            .filter(F.col("count") > 1))
+def duplicate_cells(gene_rows: DataFrame, keys: Sequence[str] = ("Cbio_project", "Cbio_Tumor_Name", "Hugo_Symbol")) -> DataFrame:
+    """Cells that gene files give more than once (``n`` times) -- an input error
+    when several files carry one tumour name.  To be asked before last-wins."""
+    return gene_rows.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
 
 
 def merge_segments(segments: DataFrame, names: DataFrame | None = None) -> DataFrame:

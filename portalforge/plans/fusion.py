@@ -45,7 +45,14 @@ def collapse_callers(fusions: DataFrame, order: Sequence[str] = ("event_id",)) -
 
 def fusion_table(fusions: DataFrame, fusion_files: DataFrame, centers: DataFrame, *,
                  mode: str = "annofuse", order: Sequence[str] = ("event_id",)) -> DataFrame:
-    """Cbio_project + the nine portal fusion columns, partner rows included.
+    """Cbio_project + the nine portal fusion columns, partner rows included
+    (see ``project_fusions`` for the arguments)."""
+    return explode_partners(project_fusions(fusions, fusion_files, centers, mode=mode, order=order))
+
+
+def project_fusions(fusions: DataFrame, fusion_files: DataFrame, centers: DataFrame, *,
+                    mode: str = "annofuse", order: Sequence[str] = ("event_id",)) -> DataFrame:
+    """One row per fusion, sample and project, under its full name.
 
     mode='annofuse': ``fusions`` has Gene1A, Sample, FusionName, Caller,
     Fusion_Type and the order columns; callers are collapsed.
@@ -72,8 +79,7 @@ def fusion_table(fusions: DataFrame, fusion_files: DataFrame, centers: DataFrame
         F.col("FusionName").alias("Fusion"), F.lit("no").alias("DNA_support"),
         F.lit("yes").alias("RNA_support"), F.col("Caller").alias("Method"),
         F.col("Fusion_Type").alias("Frame")).distinct()
-    per_project = _fill_na(_project_split(table, fusion_files, "Tumor_Sample_Barcode"))
-    return explode_partners(per_project)
+    return _fill_na(_project_split(table, fusion_files, "Tumor_Sample_Barcode"))
 
 
 def explode_partners(table: DataFrame) -> DataFrame:

@@ -311,13 +311,24 @@ def _fusion_inputs(b: Bindings):
     return m.file_manifest, m.centers
 
 
-def fusion_table_of(b: Bindings) -> DataFrame:
-    fm, centers = _fusion_inputs(b)
-    rows = _fusion_rows(b).select(
+def _caller_rows(b: Bindings) -> DataFrame:
+    return _fusion_rows(b).select(
         F.col("gene1a").alias("Gene1A"), F.col("specimen_id").alias("Sample"),
         F.col("fusion_name").alias("FusionName"), F.col("caller").alias("Caller"),
         F.col("fusion_type").alias("Fusion_Type"), "event_id")
-    return fusion.fusion_table(rows, fm.filter(F.col("File_Type") == "fusion"), centers)
+
+
+@register
+def fusion_name_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fusions whose name is not two genes; they are in no fusion table."""
+    b = Bindings(spark, sf_dir)
+    fm, centers = _fusion_inputs(b)
+    return fusion.fusion_name_violations(fusion.project_fusions(_caller_rows(b), fm.filter(F.col("File_Type") == "fusion"), centers))
+
+
+def fusion_table_of(b: Bindings) -> DataFrame:
+    fm, centers = _fusion_inputs(b)
+    return fusion.fusion_table(_caller_rows(b), fm.filter(F.col("File_Type") == "fusion"), centers)
 
 
 @register
@@ -338,7 +349,16 @@ def fusion_table_premerged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def sv_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = Bindings(spark, sf_dir)
+    return _sv_table(Bindings(spark, sf_dir))
+
+
+@register
+def sv_table_callers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The structural-variant table with its callers kept."""
+    return _sv_table(Bindings(spark, sf_dir), keep_callers=True)
+
+
+def _sv_table(b: Bindings, **options) -> DataFrame:
     fm = file_manifest_of(b)
     rows = _fusion_rows(b).select(
         F.col("specimen_id").alias("file_key"), F.col("gene1a").alias("Gene1A"),
@@ -348,7 +368,7 @@ def sv_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("spanning_frags").cast("string").alias("SpanningFragCount"),
         "annots", F.col("fusion_name").alias("FusionName"), F.col("fusion_anno").alias("Fusion_anno"),
         F.col("caller").alias("Caller"), "event_id")
-    return fusion.sv_table(rows, fm.filter(F.col("File_Type") == "fusion"))
+    return fusion.sv_table(rows, fm.filter(F.col("File_Type") == "fusion"), **options)
 
 
 @register
@@ -663,3 +683,24 @@ def fusion_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.length("specimen_id") % 2 == 0)
     return files.fusion_rows(lines, [*names, "event"]).select(F.col("source_path").alias("specimen_id"), *names,
                                                               F.col("event").cast("long").alias("event_id"))
+
+
+# ---------------------------------------------------------------- input checks
+
+@register
+def duplicate_gene_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Genes that the CNV files of one tumour name give more than once."""
+    b = Bindings(spark, sf_dir)
+    named = file_manifest_of(b).filter(F.col("File_Type") == "cnv").select(
+        "Cbio_project", "Cbio_Tumor_Name", F.col("T_CL_BS_ID").alias("sample_id"), "File_Name")
+    return cnv.duplicate_cells(cnv.cnv_to_genes(b.v_segment, b.v_gene, b.v_hugo).join(named, "sample_id"))
+
+
+@register
+def expression_first_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expression rows of the first file of each tumour name only."""
+    b = Bindings(spark, sf_dir)
+    listed = file_manifest_of(b).filter(F.col("File_Type") == "rsem").select(
+        F.col("Cbio_Tumor_Name").alias("sample"), F.col("T_CL_BS_ID").alias("specimen_id"))
+    return expression.first_file_per_sample(b.v_expr.join(listed, "specimen_id"), file_order="specimen_id").select(
+        "sample", "specimen_id", "gene_id", "fpkm")

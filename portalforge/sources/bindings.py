@@ -156,7 +156,7 @@ SELECT event_id,
        'BS_'||(6*user_id+1) specimen_id,
        'G'||(event_id%9) gene1a,
        'G'||(event_id%6) gene1b,
-       'G'||(event_id%9)||'--G'||(event_id%6) fusion_name,
+       'G'||(event_id%9)||'--G'||(event_id%6)||case when event_id%11=0 then '--G3' else '' end fusion_name,
        case event_id%3 when 0 then 'arriba' when 1 then 'STARFusion' else 'arriba' end caller,
        case event_type when 'view' then 'in-frame' when 'click' then 'frameshift'
             when 'error' then null else 'other' end fusion_type,

@@ -260,3 +260,8 @@ def read_forms(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Request-form text files as (form_id, line_no, line); ``form_id`` is
     the file name, so forms sort by name like the file list does."""
     return read_lines(spark, paths).select(F.col("source_file").alias("form_id"), "line_no", "line")
+
+
+def study_ids(manifests: DataFrame) -> DataFrame:
+    """Unique non-empty study ids of the configured manifests."""
+    return manifests.select("study_id").filter(F.col("study_id").isNotNull() & (F.col("study_id") != "")).distinct()

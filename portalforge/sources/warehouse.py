@@ -23,13 +23,20 @@ def table(spark: SparkSession, name: str, schema: str | None = None, *,
     return spark.table(qualified)
 
 
-def clinical_sheet(spark: SparkSession, study: str, prefix: str, *,
+def clinical_sheet(spark: SparkSession, study: str, prefix: str, header_table: str, *, schema: str | None = None,
                    jdbc: Mapping[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(sheet, header definitions) of ``<study>_data_clinical_<prefix>``;
-    the header table is projected to, and ordered by, the sheet's columns."""
-    sheet = table(spark, f"{study}_data_clinical_{prefix}", jdbc=jdbc)
-    head = table(spark, f"{study}_data_clinical_{prefix}_header", jdbc=jdbc)
-    return sheet, head.select(*[c for c in sheet.columns if c in head.columns])
+    """(sheet, header rows) of ``<schema>.<study>_data_clinical_<prefix>``.
+
+    ``header_table`` is the configured name (``schema.table`` or ``table``);
+    each of its rows is one header line with a value per sheet column.  A
+    sheet column that it lacks is an error: the lines would not fit."""
+    sheet = table(spark, f"{study}_data_clinical_{prefix}", schema, jdbc=jdbc)
+    owner, _, name = header_table.rpartition(".")
+    head = table(spark, name, owner or None, jdbc=jdbc)
+    missing = [c for c in sheet.columns if c not in head.columns]
+    if missing:
+        raise ValueError(f"{header_table} has no column for {', '.join(missing)}")
+    return sheet, head
 
 
 def manifests(spark: SparkSession, tables: Sequence[str], file_types: Sequence[str], *,

@@ -96,3 +96,17 @@ def test_center_map_zip(spark):
     sheet = spark.createDataFrame([("S",)], "SAMPLE_ID string")
     out = sorted((r.BS_ID, r.SQ_ID, r.SQ_Value) for r in clinical.center_map(reg, sheet).collect())
     assert out == [("B1", "NA", "NA"), ("B2", "SC_FAD4KCQG", "BGI")]
+
+
+def test_registry_output_order(spark):
+    from portalforge.plans.cohort import sorted_registry
+    df = spark.createDataFrame([("b",), (None,), ("a",)], "formatted_sample_id string")
+    assert [r[0] for r in sorted_registry(df).collect()] == ["a", "b", None]
+
+
+def test_sheet_below_header_table_rows(spark):
+    from portalforge.plans.clinical import sheet_below_rows
+    sheet = spark.createDataFrame([("P1", None), ("P2", "x")], "ID string, B string")
+    head = spark.createDataFrame([(2, "#d1", "d2"), (1, "#l1", "l2")], "n int, ID string, B string")
+    lines = sheet_below_rows(sheet, head, ["n"]).orderBy("section", "line_no", "line").collect()
+    assert [r.line for r in lines] == ["#l1\tl2", "#d1\td2", "ID\tB", "P1\t", "P2\tx"]

@@ -67,3 +67,8 @@ def test_answers_are_consumed(spark):
     got = sorted((r.line_no, r.field, r.value) for r in intake.answers(lines).collect())
     assert got == [(0, "description", "Cohort of Type of Cancer nbl"), (2, "type_of_cancer", "Study Display Name"),
                    (5, "groups", "Groups"), (7, "groups", "a"), (9, "file_types", None)]
+
+
+def test_study_ids(spark):
+    df = spark.createDataFrame([("a", "SD_1"), ("b", "SD_1"), ("c", ""), ("d", None)], "manifest string, study_id string")
+    assert [r.study_id for r in files.study_ids(df).collect()] == ["SD_1"]
