@@ -19,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from portalforge import constants as K
@@ -30,21 +30,28 @@ CELL_LINE = "Derived Cell Line"
 
 
 def active_manifest(manifest: DataFrame, hidden: DataFrame,
-                    file_types: Sequence[str] = K.GENOMICS_FILE_TYPES) -> DataFrame:
-    """Distinct active manifest rows of the wanted file types, hide list removed."""
+                    file_types: Sequence[str] = K.GENOMICS_FILE_TYPES, distinct: bool = True) -> DataFrame:
+    """Active manifest rows of the wanted file types, hide list removed; the
+    registry gathers sets of them and needs no ``distinct`` of its own."""
     live = manifest.filter((F.col("status") == "active") & F.col("file_type").isin(*file_types))
     # an anti join needs no distinct keys: the hide list is not de-duplicated
     live = anti_join(live, hidden.select("biospecimen_id"), "biospecimen_id")
-    return live.select("biospecimen_id", "normal_id", "file_type", "experiment_strategy").distinct()
+    live = live.select("biospecimen_id", "normal_id", "file_type", "experiment_strategy")
+    return live.distinct() if distinct else live
 
 
 def sequenced_samples(biospecimen: DataFrame, active: DataFrame, cell_line: DataFrame) -> DataFrame:
-    """Visible, typed specimens that appear in the active manifest."""
+    """Visible, typed specimens that appear in the active manifest, one row per
+    experiment strategy, with the set of their normal specimens.
+
+    The manifest is read once: strategies and normals of a specimen are
+    gathered in one aggregate and carried through the join."""
     bs = biospecimen.filter(
         F.col("source_text_tissue_type").isin(*K.TUMOR_TISSUE_SPELLINGS, *K.NORMAL_TISSUE_SPELLINGS)
         & (F.col("analyte_type") != "Not Applicable")
         & (F.col("visible") == F.lit(True)))
-    gm = active.select("biospecimen_id", "experiment_strategy")
+    gm = active.groupBy("biospecimen_id").agg(
+        F.collect_set(F.struct("experiment_strategy")).alias("strategies"), F.collect_set("normal_id").alias("normals"))
     cl = cell_line.select("kf_biospecimen_id", "cell_line_type")
     joined = (bs.join(gm, bs["kf_id"] == gm["biospecimen_id"], "inner")
               .join(cl, bs["kf_id"] == cl["kf_biospecimen_id"], "left"))
@@ -55,37 +62,26 @@ def sequenced_samples(biospecimen: DataFrame, active: DataFrame, cell_line: Data
         "analyte_type", "composition", "cell_line_type",
         F.col("kf_id").alias("specimen_id"),
         "external_aliquot_id", "sequencing_center_id", "method_of_sample_procurement",
-        "experiment_strategy", "collection_event_id",
-    ).distinct()
-
+        "collection_event_id", "normals", F.inline("strategies"))
 
-def pairing_flags(seq: DataFrame) -> DataFrame:
-    """Per sample: paired primary / paired cell line / single analyte.
 
-    One aggregation with conditional distinct counts replaces three grouped
-    sub-queries; it is partially aggregated before its shuffle.
-    """
-    tumor = F.col("source_text_tissue_type") == "Tumor"
+def pairing_flags(tumors: DataFrame) -> DataFrame:
+    """``tumors`` with their sample's flags: paired primary / paired cell line /
+    single analyte.  Window counts over the sample's few specimens, so the rows
+    are neither computed nor shuffled a second time."""
+    smp = Window.partitionBy("sample_id")
     dna_rna = F.col("analyte_type").isin("RNA", "DNA")
-    pri = tumor & dna_rna & (F.col("composition") != CELL_LINE)
-    prc = tumor & dna_rna & (F.col("composition") == CELL_LINE)
-    sim = tumor & F.col("analyte_type").isin("RNA", "DNA", "Virtual")
+    culture = F.col("composition") == CELL_LINE
 
     def n(cond, c):
-        # distinct count as the size of a per-sample set: a handful of
-        # specimens per sample, and no Expand of the input per distinct column
-        return F.size(F.collect_set(F.when(cond, F.col(c))))
-
-    agg = seq.groupBy("sample_id").agg(
-        n(pri, "analyte_type").alias("pa"), n(pri, "specimen_id").alias("ps"),
-        n(prc, "analyte_type").alias("ca"), n(prc, "specimen_id").alias("cs"),
-        n(sim, "analyte_type").alias("sa"))
-    return agg.select(
-        "sample_id",
-        ((F.col("pa") == 2) & (F.col("ps") == 2)).alias("is_pri"),
-        ((F.col("ca") == 2) & (F.col("cs") == 2)).alias("is_prc"),
-        (F.col("sa") == 1).alias("is_sim"),
-    )
+        return F.size(F.collect_set(F.when(cond, F.col(c))).over(smp))
+
+    def pair(cond):
+        return (n(cond, "analyte_type") == 2) & (n(cond, "specimen_id") == 2)
+
+    return tumors.withColumns({
+        "is_pri": pair(dna_rna & ~culture), "is_prc": pair(dna_rna & culture),
+        "is_sim": n(F.col("analyte_type").isin("RNA", "DNA", "Virtual"), "analyte_type") == 1})
 
 
 def formatted_name():
@@ -108,25 +104,22 @@ def sample_registry(biospecimen: DataFrame, active: DataFrame, cell_line: DataFr
     by specimen), normal_bs_id, normal_sample_id (comma lists, NULLs skipped,
     '' when none)."""
     seq = sequenced_samples(biospecimen, active, cell_line)
-    tumors = seq.filter(F.col("source_text_tissue_type") == "Tumor")
-    # every pairing rule counts tumour rows only, so the flags are computed
-    # from the same filtered rows the names are given to (one shared plan)
-    flags = pairing_flags(tumors)
-    normals = (active.select("biospecimen_id", "normal_id")
-               .join(biospecimen.select("kf_id", "external_sample_id"),
-                     F.col("normal_id") == F.col("kf_id"), "inner")
-               .select(F.col("biospecimen_id").alias("_nb"),
-                       F.col("normal_id").alias("normal_bs_id"),
-                       F.col("external_sample_id").alias("normal_sample_id")))
-    formatted = (tumors.join(flags, "sample_id", "left")
-                 .join(normals, F.col("specimen_id") == F.col("_nb"), "left")
-                 .withColumn("formatted_sample_id", formatted_name())
-                 .drop("is_pri", "is_prc", "is_sim", "_nb")
-                 .distinct())
+    # every pairing rule counts tumour rows only
+    named = pairing_flags(seq.filter(F.col("source_text_tissue_type") == "Tumor")).withColumn(
+        "formatted_sample_id", formatted_name())
+    normal = biospecimen.select(F.col("kf_id").alias("normal_bs_id"), F.col("external_sample_id").alias("normal_sample_id"))
+    formatted = (named.withColumn("_normal", F.explode_outer("normals"))
+                 .join(normal, F.col("_normal") == F.col("normal_bs_id"), "left")
+                 .drop("is_pri", "is_prc", "is_sim", "normals", "_normal").distinct())
     item = F.struct("specimen_id", "sequencing_center_id", "analyte_type",
                     "normal_bs_id", "normal_sample_id")
     grouped = formatted.groupBy("participant_id", "collection_event_id", "formatted_sample_id").agg(
         F.array_sort(F.collect_list(item)).alias("_items"))
+    # a normal that is no specimen counts only as "none": its row goes when the
+    # specimen has another, known normal
+    known = F.transform(F.filter("_items", lambda x: x["normal_bs_id"].isNotNull()), lambda x: x["specimen_id"])
+    grouped = grouped.withColumn("_known", known).withColumn("_items", F.filter("_items", lambda x: (
+        x["normal_bs_id"].isNotNull() | ~F.array_contains("_known", x["specimen_id"]))))
     it = F.col("_items")
     return grouped.select(
         "participant_id",

@@ -184,7 +184,7 @@ def matrix_columns(file_manifest: DataFrame, file_type: str) -> DataFrame:
 
 def build_registry(b: Bindings) -> DataFrame:
     """The registry plan itself, for queries that read it once (no self-join)."""
-    return cohort.sample_registry(biospecimen(b), cohort.active_manifest(b.v_manifest, b.v_hidden),
+    return cohort.sample_registry(biospecimen(b), cohort.active_manifest(b.v_manifest, b.v_hidden, distinct=False),
                                   cell_lines(b))
 
 
@@ -603,7 +603,7 @@ def merged_segments_named(spark: SparkSession, sf_dir: str) -> DataFrame:
 def two_registries(b: Bindings) -> DataFrame:
     """The union of the registries of both manifests."""
     return cohort.merged_registry([
-        cohort.sample_registry(biospecimen(b), cohort.active_manifest(m, b.v_hidden), cell_lines(b))
+        cohort.sample_registry(biospecimen(b), cohort.active_manifest(m, b.v_hidden, distinct=False), cell_lines(b))
         for m in (b.v_manifest, b.v_manifest_2)])
 
 
