@@ -704,3 +704,10 @@ def expression_first_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("Cbio_Tumor_Name").alias("sample"), F.col("T_CL_BS_ID").alias("specimen_id"))
     return expression.first_file_per_sample(b.v_expr.join(listed, "specimen_id"), file_order="specimen_id").select(
         "sample", "specimen_id", "gene_id", "fpkm")
+
+
+@register
+def cnv_gene_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Name of the gene-level file of each CNV file in the manifest."""
+    files_ = manifest.files_of_type(file_manifest_of(Bindings(spark, sf_dir)), "cnv")
+    return files_.select("Cbio_project", "Cbio_Tumor_Name", cnv.gene_file_name(suffix_re=r"\.txt$").alias("gene_file"))

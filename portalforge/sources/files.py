@@ -265,3 +265,44 @@ def read_forms(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 def study_ids(manifests: DataFrame) -> DataFrame:
     """Unique non-empty study ids of the configured manifests."""
     return manifests.select("study_id").filter(F.col("study_id").isNotNull() & (F.col("study_id") != "")).distinct()
+
+
+# ------------------------------------------------------------------ package and default configuration
+
+def _json_entries(spark: SparkSession, path: str) -> DataFrame:
+    """(key, body): the top-level entries of a JSON object file, in file order
+    (``entry_no``); nested objects stay JSON text."""
+    raw = spark.read.text(path, wholetext=True)
+    return raw.select(F.posexplode(F.from_json("value", "map<string,string>")).alias("entry_no", "key", "body"))
+
+
+def read_package_config(spark: SparkSession, path: str) -> DataFrame:
+    """One row per output of the package configuration: (section, dir, dtype,
+    ext, cbio_name, meta map).  Entries whose name starts with ``_`` are remarks."""
+    entries = _json_entries(spark, path).filter(F.get_json_object("body", "$.dtypes").isNotNull())
+    kinds = F.from_json(F.get_json_object("body", "$.dtypes"), "map<string,string>")
+    rows = entries.filter(~F.col("key").startswith("_")).select(
+        F.col("key").alias("section"), F.get_json_object("body", "$.dir").alias("dir"), F.explode(kinds).alias("dtype", "_d"))
+    return rows.filter(~F.col("dtype").startswith("_")).select(
+        "section", "dir", "dtype", F.get_json_object("_d", "$.ext").alias("ext"),
+        F.get_json_object("_d", "$.cbio_name").alias("cbio_name"),
+        F.from_json(F.get_json_object("_d", "$.meta_file_attr"), "map<string,string>").alias("meta"))
+
+
+def read_case_list_config(spark: SparkSession, path: str) -> dict[str, dict[str, str]]:
+    """Attributes of each configured case list, in file order, as
+    ``caselists.case_list_lines`` takes them (a handful of short texts)."""
+    entries = _json_entries(spark, path).filter(F.col("key").startswith("cases_"))
+    found = entries.select("key", F.from_json("body", "map<string,string>").alias("attrs")).orderBy("entry_no").collect()
+    return {r["key"]: {k: v for k, v in r["attrs"].items() if not k.startswith("_")} for r in found}
+
+
+def read_default_config(spark: SparkSession, path: str) -> dict[str, str]:
+    """Default settings as text by name; a nested setting is ``outer.inner``."""
+    entries = _json_entries(spark, path)
+    inner = F.when(F.col("body").startswith("{"), F.from_json("body", "map<string,string>"))
+    flat = entries.select("key", "body", inner.alias("inner")).collect()
+    out: dict[str, str] = {}
+    for r in flat:
+        out |= {f"{r['key']}.{k}": v for k, v in r["inner"].items()} if r["inner"] else {r["key"]: r["body"]}
+    return out

@@ -72,3 +72,22 @@ def test_answers_are_consumed(spark):
 def test_study_ids(spark):
     df = spark.createDataFrame([("a", "SD_1"), ("b", "SD_1"), ("c", ""), ("d", None)], "manifest string, study_id string")
     assert [r.study_id for r in files.study_ids(df).collect()] == ["SD_1"]
+
+
+def test_package_and_default_config(spark, tmpdir_fresh):
+    p = os.path.join(tmpdir_fresh, "package.json")
+    with open(p, "w") as fh:
+        json.dump({"_doc": {"dtypes": {}}, "merged_x": {"dir": "x", "dtypes": {
+            "_comment": "c", "linear": {"ext": "txt", "cbio_name": "data_x.txt", "meta_file_attr": {"stable_id": "s", "datatype": "D"}},
+            "discrete": {"ext": "d.txt", "cbio_name": "data_d.txt"}}},
+            "cases_b": {"stable_id": "b", "case_list_name": "B"}, "cases_a": {"stable_id": "a", "_comment": "no"}}, fh)
+    rows = {(r.section, r.dir, r.dtype, r.ext, r.cbio_name): r.meta for r in files.read_package_config(spark, p).collect()}
+    assert rows == {("merged_x", "x", "linear", "txt", "data_x.txt"): {"stable_id": "s", "datatype": "D"},
+                    ("merged_x", "x", "discrete", "d.txt", "data_d.txt"): None}
+    lists = files.read_case_list_config(spark, p)
+    assert list(lists) == ["cases_b", "cases_a"] and list(lists["cases_b"].items()) == [("stable_id", "b"), ("case_list_name", "B")]
+    assert lists["cases_a"] == {"stable_id": "a"}
+    d = os.path.join(tmpdir_fresh, "default.json")
+    with open(d, "w") as fh:
+        json.dump({"sample_head": {"table": "w.head"}, "cnv_min_len": 50000, "flag": "x"}, fh)
+    assert files.read_default_config(spark, d) == {"sample_head.table": "w.head", "cnv_min_len": "50000", "flag": "x"}
