@@ -47,7 +47,7 @@ SHINGLE = 5
 SIMILAR = 0.8
 BANDS, ROWS = 20, 5
 REGISTERS = BANDS * ROWS
-BLOCK = 64  # documents of a block when a bucket needs all its pairs checked
+BLOCK = 256  # documents of a block when a bucket needs all its pairs checked
 FOLLOWERS = 512  # members that one task checks against one leader
 
 
@@ -189,6 +189,28 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.select("a", "b", "text").mapInArrow(_check_followers, "a long, b long")
 
 
+def _shared_weight(sets: list[tuple[np.ndarray, np.ndarray]], columns: int = 1024) -> np.ndarray:
+    """Share of each text's weight (row) that lies in shingles it has in common
+    with another (column); by matrix products over the shingles that occur more
+    than once."""
+    n = len(sets)
+    doc = np.repeat(np.arange(n), [len(h) for h, _ in sets])
+    weight = np.concatenate([c / c.sum() if len(c) else c for _, c in sets]).astype(np.float32)
+    _, column, seen = np.unique(np.concatenate([h for h, _ in sets]), return_inverse=True, return_counts=True)
+    number = np.cumsum(seen > 1) - 1
+    keep = seen[column] > 1
+    doc, weight, column = doc[keep], weight[keep], number[column[keep]]
+    order = np.argsort(column, kind="stable")
+    doc, weight, column = doc[order], weight[order], column[order]
+    shared = np.zeros((n, n), np.float32)
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, columns):
+        part = slice(*np.searchsorted(column, [lo, lo + columns]))
+        dense = np.zeros((n, columns), np.float32)
+        dense[doc[part], column[part] - lo] = weight[part]
+        shared += dense @ (dense > 0).astype(np.float32).T
+    return shared
+
+
 def _check_blocks(key: tuple, group: pa.Table) -> pa.Table:
     """Links between members of different components in two blocks."""
     _, left, right = (k.as_py() for k in key)
@@ -204,14 +226,22 @@ def _check_blocks(key: tuple, group: pa.Table) -> pa.Table:
         return x
 
     a, b = [], []
-    for i in range(len(node)):
-        for j in range(i):
-            if left != right and block[i] == block[j] or find(of[i]) == find(of[j]):
-                continue
-            if probability_jaccard(sets[i], sets[j], SIMILAR) >= SIMILAR:
-                root[find(of[i])] = find(of[j])
-                a.append(node[i])
-                b.append(node[j])
+    # texts without repeated shingles: the products count common shingles, which
+    # gives the similarity; for others the smaller share is an upper bound
+    share = _shared_weight(sets)
+    size = np.array([max(len(h), 1) for h, _ in sets])
+    plain = np.array([bool((c == 1).all()) for _, c in sets])
+    both = plain[:, None] & plain[None, :]
+    common = np.rint(share * size[:, None])
+    similar = np.where(both, common / (size[:, None] + size[None, :] - common) >= SIMILAR,
+                       np.minimum(share, share.T) >= SIMILAR - 1e-4)
+    for i, j in zip(*np.nonzero(np.tril(similar, -1))):
+        if left != right and block[i] == block[j] or find(of[i]) == find(of[j]):
+            continue
+        if both[i, j] or probability_jaccard(sets[i], sets[j], SIMILAR) >= SIMILAR:
+            root[find(of[i])] = find(of[j])
+            a.append(node[i])
+            b.append(node[j])
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
