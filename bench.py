@@ -3,10 +3,10 @@
 Prints one JSON line: {"metric", "value" (sum of per-query seconds), "unit",
 "queries": {name: seconds}, "sf", "cold_queries"}.  Each query is run to
 completion with a no-op sink (``write.format("noop")``), so the whole plan
-executes without collecting to the driver.  Every query runs twice from a
-clean state (shared models rebuilt, cache cleared); "queries" reports the
-second run, whose time excludes first-use code generation and JIT warm-up,
-and "cold_queries" the first.
+executes without collecting to the driver.  Every query runs 1 + $BENCH_RUNS
+times from a clean state (shared models rebuilt, cache cleared); "queries"
+reports the median of the later runs, without first-use code generation and
+JIT warm-up, and "cold_queries" the first run.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ import os
 import re
 import sys
 import time
+from statistics import median
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -40,15 +41,18 @@ def main() -> None:
     # warm-up: JVM start and first-scan costs are not a query's time
     QUERIES["cnv_length_counters"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times, cold = {}, {}
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     for name in names:
-        for store in (cold, times):
+        taken = []
+        for _ in range(1 + runs):
             # no reuse between runs: shared models (registry, sheets, file
             # manifest) are rebuilt inside the query that needs them
             reset_models()
             spark.catalog.clearCache()
             t0 = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            store[name] = round(time.perf_counter() - t0, 3)
+            taken.append(time.perf_counter() - t0)
+        cold[name], times[name] = round(taken[0], 3), round(median(taken[1:] or taken), 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": float(m.group(1)) if m else sf_dir,
