@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from portalforge.llm.common import text_bytes
+from portalforge.llm.common import text_slices
 
 ROUNDS = 10
 DEMO_KEY = b"replace this key"  # callers pass their own secret
@@ -260,19 +260,17 @@ def mask(docs: DataFrame, *, key: bytes = DEMO_KEY, column: str = "text", report
 
     def swap_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         feistel = Feistel(key, inverse=restore)
-        for batch in batches:
+        for batch, raw, offsets in text_slices(batches, column):
             at = batch.schema.get_field_index(column)
-            texts = batch.column(at)
-            raw, offsets = text_bytes(texts)
             hints = np.concatenate(([0], np.cumsum(_HINTS[raw], dtype=np.int64)))
             hit = np.flatnonzero(hints[offsets[1:]] > hints[offsets[:-1]])
-            out, counts = texts.to_pylist(), [{}] * len(texts)
-            for i in hit.tolist():
-                out[i], found = pseudonymise(out[i], feistel)
-                counts[i] = dict(found)
-            columns = list(batch.columns)
-            columns[at] = pa.array(out, texts.type)
-            names = batch.schema.names
+            columns, names, counts = list(batch.columns), batch.schema.names, [{}] * batch.num_rows
+            if len(hit):
+                out = columns[at].to_pylist()
+                for i in hit.tolist():
+                    out[i], found = pseudonymise(out[i], feistel)
+                    counts[i] = dict(found)
+                columns[at] = pa.array(out, columns[at].type)
             if report:
                 columns.append(pa.array([list(c.items()) for c in counts], kinds))
                 names = [*names, report]
