@@ -35,6 +35,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = [n for n in (sys.argv[1:] or HEADLINE) if n in QUERIES]
+    os.environ.setdefault("SPARK_DRIVER_MEMORY", "16g")  # local mode: the one JVM of this run
     spark = build_session(master=f"local[{cpus}]", app="portalforge-bench",
                           shuffle_partitions=int(os.environ.get("SHUFFLE_PARTITIONS", cpus)))
     spark.sparkContext.setLogLevel("ERROR")

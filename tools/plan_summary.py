@@ -4,6 +4,7 @@ usage: python tools/plan_summary.py [sf_dir] name ...
 """
 
 import re
+import os
 import sys
 
 sys.path.insert(0, ".")
@@ -14,6 +15,7 @@ from portalforge.session import build_session  # noqa: E402
 
 def main():
     sf_dir = sys.argv[1]
+    os.environ.setdefault("SPARK_DRIVER_MEMORY", "8g")
     spark = build_session(master="local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
     for name in sys.argv[2:]:
