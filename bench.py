@@ -3,10 +3,9 @@
 Prints one JSON line: {"metric", "value" (sum of per-query seconds), "unit",
 "queries": {name: seconds}, "sf", "cold_queries"}.  Each query is run to
 completion with a no-op sink (``write.format("noop")``), so the whole plan
-executes without collecting to the driver.  Every query runs 1 + $BENCH_RUNS
-times from a clean state (shared models rebuilt, cache cleared); "queries"
-reports the median of the later runs, without first-use code generation and
-JIT warm-up, and "cold_queries" the first run.
+executes without collecting to the driver.  Every query runs $BENCH_RUNS times
+(three by default) from a clean state (shared models rebuilt, cache cleared);
+"queries" reports the median and "cold_queries" the first run.
 """
 
 from __future__ import annotations
@@ -45,7 +44,7 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     for name in names:
         taken = []
-        for _ in range(1 + runs):
+        for _ in range(max(runs, 1)):
             # no reuse between runs: shared models (registry, sheets, file
             # manifest) are rebuilt inside the query that needs them
             reset_models()
@@ -53,7 +52,7 @@ def main() -> None:
             t0 = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             taken.append(time.perf_counter() - t0)
-        cold[name], times[name] = round(taken[0], 3), round(median(taken[1:] or taken), 3)
+        cold[name], times[name] = round(taken[0], 3), round(median(taken), 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": float(m.group(1)) if m else sf_dir,
