@@ -24,6 +24,17 @@ Kinds and their checks:
 Numbers that fail their check (a 16-digit number without a Luhn digit) are not
 personal numbers and stay as they are.
 
+Cards, IBANs and phones may hold blanks, so a number next to them can look like
+one more group.  A candidate that fails is tried again without its last groups,
+then as the other kinds, and the search goes on one group after its start.  A
+candidate does not take the first groups of a value that stands behind it, and
+groups of a usual card layout or of the country's IBAN length come first.
+
+Where groups of digits adjoin, a pseudonym could be read together with them as
+another value.  Then the permutation is applied again, to that stretch only,
+until the result reads as the text did; so ``restore`` is exact, but there
+(and only there) equal values can get different pseudonyms.
+
 Defined cases: null and empty texts stay; a value is replaced wherever it
 occurs, in texts of any length; other columns pass through unchanged, whatever
 their names.
@@ -51,17 +62,29 @@ DEMO_KEY = b"replace this key"  # callers pass their own secret
 _FIRST_DAY, _LAST_DAY = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
 
 _L, _R = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
-# Alternatives in order of precedence at one position.
-PATTERN = re.compile(
-    rf"(?P<email>(?<![\w.%+-])[\w%+-](?:[\w.%+-]{{0,62}}[\w%+-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{{0,61}}[A-Za-z0-9])?\.)+[A-Za-z]{{2,24}}{_R})"
-    rf"|(?P<iban>{_L}[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?{_R})"
-    rf"|(?P<phone>(?<![0-9A-Za-z+])\+[0-9]{{1,3}}(?:[ .-]?\([0-9]{{1,4}}\)|[ .-]?[0-9]{{1,12}})(?:[ .-]?[0-9]{{2,12}}){{0,5}}{_R})"
-    rf"|(?P<ssn>(?<![0-9A-Za-z-])[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}(?![0-9A-Za-z]|-[0-9]))"
-    rf"|(?P<date>(?<![0-9A-Za-z./-])(?:[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}|[0-9]{{2}}\.[0-9]{{2}}\.[0-9]{{4}})(?![0-9]|[./-][0-9]))"
-    rf"|(?P<ipv4>(?<![0-9A-Za-z.])[0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{3}}(?![0-9A-Za-z]|\.[0-9]))"
-    rf"|(?P<card>(?<![0-9A-Za-z-])[0-9](?:[ -]?[0-9]){{12,18}}(?![0-9A-Za-z]))"
-    r"|(?P<secret>(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)[\"']?\s{0,4}[:=]\s{0,4}[\"']?)(?P<secret_value>[0-9A-Za-z_+/-]{16,256})"
-)
+# In order of precedence at one position.
+_SHAPES = {
+    "email": rf"(?<![\w.%+-])[\w%+-](?:[\w.%+-]{{0,62}}[\w%+-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{{0,61}}[A-Za-z0-9])?\.)+[A-Za-z]{{2,24}}{_R}",
+    "iban": rf"{_L}[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?{_R}",
+    "phone": rf"(?<![0-9A-Za-z+])\+[0-9]{{1,3}}(?:[ .-]?\([0-9]{{1,4}}\)|[ .-]?[0-9]{{1,12}})(?:[ .-]?[0-9]{{2,12}}){{0,5}}{_R}",
+    "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
+    "date": r"(?<![0-9A-Za-z./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[./-][0-9])",
+    "ipv4": r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])",
+    "card": r"(?<![0-9A-Za-z-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
+    "secret": r"(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)[\"']?\s{0,4}[:=]\s{0,4}[\"']?"
+              r"(?P<secret_value>[0-9A-Za-z_+/-]{16,}(?:\.[0-9A-Za-z_+/-]+)*)",
+}
+PATTERN = re.compile("|".join(f"(?P<{kind}>{shape})" for kind, shape in _SHAPES.items()))
+_ONE = {kind: re.compile(shape) for kind, shape in _SHAPES.items()}
+_ORDER = list(_SHAPES)
+_GROUP = re.compile(r"\+?[0-9A-Za-z]+|.", re.S)
+_USUAL_CARD = re.compile(r"[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{3})?|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5}")
+_IBAN_LENGTH = {c: int(n) for n, cs in {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD FK", 19: "MK SI", 20: "AT BA EE KZ LT LU XK MN", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM TL SO", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU"}.items() for c in cs.split()}
+SECRET_BLOCK = 256  # characters permuted together
 # A text without any of these bytes holds none of the kinds.
 _HINTS = np.zeros(256, bool)
 _HINTS[[*range(0x30, 0x3A), 0x40, 0x3A, 0x3D]] = True
@@ -75,7 +98,10 @@ class Feistel:
 
     def _round(self, tweak: bytes, i: int, value: int, size: int) -> int:
         text = b"%s|%d|%d" % (tweak, i, value)
-        return int.from_bytes(hashlib.blake2b(text, key=self.key, digest_size=32).digest(), "big") % size
+        digest = hashlib.blake2b(text, key=self.key, digest_size=32).digest()
+        for more in range((size.bit_length() + 63) // 256):  # a step must reach the first digits of a long value too
+            digest += hashlib.blake2b(b"%s|%d" % (text, more), key=self.key, digest_size=32).digest()
+        return int.from_bytes(digest, "big") % size
 
     def permute(self, tweak: str, digits: list[int], radices: list[int]) -> list[int]:
         """A permutation of the vectors with 0 <= digits[i] < radices[i]."""
@@ -223,32 +249,138 @@ def _email(text: str, f: Feistel) -> str | None:
 def _secret(text: str, f: Feistel) -> str | None:
     if not re.search(r"[0-9]", text) or len(set(text)) < 6:
         return None
-    if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", text):  # hexadecimal stays hexadecimal
-        new = f.permute("hex", [int(c, 16) for c in text], [16] * len(text))
-        return "".join(("%X" if text.isupper() else "%x") % d for d in new)
-    return _classes(text, f, "secret")
+    hexadecimal = re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", text)  # stays hexadecimal
+    out = []
+    for lo in range(0, len(text), SECRET_BLOCK):
+        part, mark = text[lo:lo + SECRET_BLOCK], str(lo or "")
+        if hexadecimal:
+            new = f.permute("hex" + mark, [int(c, 16) for c in part], [16] * len(part))
+            out.append("".join(("%X" if text.isupper() else "%x") % d for d in new))
+        else:
+            out.append(_classes(part, f, "secret" + mark))
+    return "".join(out)
 
 
-_KINDS = {"card": _card, "iban": _iban, "ssn": _ssn, "phone": _phone, "ipv4": _ipv4, "date": _date, "email": _email}
+_KINDS = {"card": _card, "iban": _iban, "ssn": _ssn, "phone": _phone, "ipv4": _ipv4, "date": _date, "email": _email, "secret": _secret}
 
 
-def pseudonymise(text: str, feistel: Feistel) -> tuple[str, Counter]:
-    """The text with every validated value replaced, and counts by kind."""
-    found: Counter = Counter()
+def _strict(text: str, at: int, f: Feistel) -> int:
+    """The end of a valid value of fixed layout that starts at ``at`` (0: none)."""
+    for kind in ("email", "iban", "ssn", "date", "ipv4", "card"):
+        m = _ONE[kind].match(text, at)
+        if not m:
+            continue
+        ends = _ends(text, m, kind) if kind in ("iban", "card") else [m.end()]
+        for end in ends:
+            value = text[at:end]
+            fixed = _USUAL_CARD.fullmatch(value) if kind == "card" else kind != "iban" or _usual_iban(value)
+            if fixed and _KINDS[kind](value, f) is not None:
+                return end
+    return 0
+
+
+def _usual_iban(value: str) -> bool:
+    return len(value.replace(" ", "")) == _IBAN_LENGTH.get(value[:2])
+
 
-    def swap(m: re.Match) -> str:
-        if m["secret"]:
-            kind, new = "secret", _secret(m["secret_value"], feistel)
-            new = new and m["secret"] + new
+def _ends(text: str, m: re.Match, kind: str) -> list[int]:
+    """Ends of the match and of its prefixes of whole groups, longest first."""
+    shape, lo, out = _ONE[kind], m.start(), [m.end()]
+    for e in range(m.end() - 1, lo, -1):
+        if text[e] in " .-(" and text[e - 1] not in " .-(" and shape.fullmatch(text, lo, e):
+            out.append(e)
+    return out
+
+
+def _value_at(text: str, m: re.Match, f: Feistel) -> tuple[int, int, str] | None:
+    """(start, end, kind) of the value that starts where ``m`` does."""
+    at = m.start()
+    for kind in _ORDER[_ORDER.index(m.lastgroup):]:
+        own = _ONE[kind].match(text, at)
+        if not own:
+            continue
+        if kind == "secret":
+            if _secret(own["secret_value"], f) is not None:
+                return (*own.span("secret_value"), kind)
+            continue
+        if kind not in ("iban", "phone", "card"):
+            if _KINDS[kind](own[0], f) is not None:
+                return at, own.end(), kind
+            continue
+        ends = _ends(text, own, kind)
+        usual = {e for e in ends if kind == "card" and _USUAL_CARD.fullmatch(text, at, e) or kind == "iban" and _usual_iban(text[at:e])}
+        if kind != "iban":  # by layout alone: the next value's groups are not this one's
+            for e in reversed(ends[1:]):
+                if (kind == "card" or _KINDS[kind](text[at:e], f) is not None) and any(
+                        _ONE[k].match(text, e + 1) for k in ("email", "ssn", "date", "ipv4", "card")):
+                    ends = [x for x in ends if x <= e]
+                    break
+        for end in sorted(ends, key=lambda e: (e not in usual, -e)):
+            if _KINDS[kind](text[at:end], f) is None:
+                continue
+            if end not in usual:
+                starts = [g for g in range(at + 1, end) if text[g - 1] in " .-(" and text[g].isalnum()]
+                reach = [r for r in (_strict(text, g, f) for g in starts) if r]
+                if reach and (kind == "card" or max(reach) > end):
+                    continue
+            return at, end, kind
+    return None
+
+
+def _find(text: str, f: Feistel) -> list[tuple[int, int, str]]:
+    """The valid values of a text, in order."""
+    out, at = [], 0
+    while m := PATTERN.search(text, at):
+        value = _value_at(text, m, f)
+        if value:
+            out.append(value)
+            at = value[1]
         else:
-            kind = m.lastgroup
-            new = _KINDS[kind](m[0], feistel)
-        if new is None:
-            return m[0]
-        found[kind] += 1
-        return new
-
-    return PATTERN.sub(swap, text), found
+            at = _GROUP.match(text, m.start()).end()
+    return out
+
+
+def _put(text: str, values: list[tuple[int, int, str]], f: Feistel) -> tuple[str, list[tuple[int, int, str]]]:
+    """The text with its values replaced, and where they are now."""
+    parts, now, at, size = [], [], 0, 0
+    for lo, hi, kind in values:
+        new = _KINDS[kind](text[lo:hi], f)
+        parts += [text[at:lo], new]
+        size += lo - at
+        now.append((size, size + len(new), kind))
+        size += len(new)
+        at = hi
+    return "".join([*parts, text[at:]]), now
+
+
+def pseudonymise(text: str, feistel: Feistel) -> tuple[str, Counter]:
+    """The text with every validated value replaced, and counts by kind."""
+    values = _find(text, feistel)
+    found = Counter(kind for _, _, kind in values)
+    if not values:
+        return text, found
+    out, now = _put(text, values, feistel)
+    if _find(out, feistel) == now:
+        return out, found
+    # values with only digits, capitals and marks between them are read together
+    stretches = [[values[0]]]
+    for before, value in zip(values, values[1:]):
+        if re.search(r"[a-z\n]", text[before[1]:value[0]]):
+            stretches.append([])
+        stretches[-1].append(value)
+    parts, at = [], 0
+    for k, own in enumerate(stretches):
+        lo, hi = own[0][0], own[-1][1]
+        stop = stretches[k + 1][0][0] if k + 1 < len(stretches) else len(text)
+        now = [(a - at, b - at, kind) for a, b, kind in own]
+        alone = _find(text[at:stop], feistel) == now
+        part, now = _put(text[at:stop], now, feistel)
+        while alone and _find(part, feistel) != now:
+            part, now = _put(part, now, feistel)
+        tail = len(part) - (stop - hi)
+        parts.append(part[:tail])
+        at = hi
+    return "".join([*parts, text[at:]]), found
 
 
 def mask(docs: DataFrame, *, key: bytes = DEMO_KEY, column: str = "text", report: str | None = None,

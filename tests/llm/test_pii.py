@@ -2,6 +2,7 @@
 import datetime as dt
 import random
 import re
+from collections import Counter
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -46,6 +47,56 @@ def test_invalid_values_stay():
         assert pseudonymise(text, F) == (text, {}), v
 
 
+def test_values_next_to_each_other_are_all_replaced():
+    for a, firsts in VALID.items():
+        for b, seconds in VALID.items():
+            for x in firsts:
+                for y in seconds:
+                    text = f"{x} {y}"
+                    out, found = pseudonymise(text, F)
+                    assert found == Counter([a, b]), (text, found)
+                    shown = [v.split('"')[1] if '"' in v else v.split(": ")[-1] for v in (x, y)]
+                    assert not any(v in out for v in shown), (text, out)
+                    assert pseudonymise(out, BACK)[0] == text
+
+
+def test_numbers_and_capitals_beside_a_value_do_not_hide_it():
+    beside = ["2", "12/25", "2 items", "190", "AB12", "AB12 CDEF", "FROM", "1234 5678", "2023-02-30", "999.9.9.9", "12345678", "+1"]
+    for kind, values in VALID.items():
+        for v in values:
+            shown = v.split('"')[1] if '"' in v else v.split(": ")[-1]
+            for n in beside:
+                for text in (f"{v} {n}", f"{n} {v}", f"{n} {v} {n}"):
+                    out, found = pseudonymise(text, F)
+                    assert (found[kind] or n == "+1" and found["phone"]) and shown not in out, (text, out, found)
+                    assert pseudonymise(out, BACK)[0] == text, text
+
+
+def test_the_documents_of_the_review():
+    for phone, address in (("+1 (826) 555-4081", "190.137.223.204"), ("+1 (843) 555-7672", "170.106.47.218")):
+        out, found = pseudonymise(f"call {phone} {address} now", F)
+        assert found == {"phone": 1, "ipv4": 1} and phone not in out and address not in out
+
+
+def test_restoring_is_exact_whatever_numbers_adjoin():
+    draw = random.Random(3)
+    for _ in range(3000):
+        parts = [draw.choice(draw.choice(list(VALID.values()))) if draw.random() < .5 else
+                 "".join(draw.choice("0123456789") for _ in range(draw.randrange(1, 8))) for _ in range(draw.randrange(2, 7))]
+        text = " ".join(parts)
+        assert pseudonymise(pseudonymise(text, F)[0], BACK)[0] == text, text
+
+
+def test_a_long_secret_is_replaced_to_its_end():
+    draw = random.Random(4)
+    for n in (256, 257, 300, 5000):
+        value = "".join(draw.choice("abcdefghijklmnopqrstuvwxyzABCDEFGH0123456789") for _ in range(n))
+        for v in (value, value + ".eyJzdWIiOjEyMzQ1fQ.c2ln"):
+            out, found = pseudonymise(f"token={v} end", F)
+            assert found == {"secret": 1} and not any(v[i:i + 8] in out for i in range(len(v) - 8))
+            assert v[-4:] != out[-8:-4] and pseudonymise(out, BACK)[0] == f"token={v} end"
+
+
 def test_dates_stay_linked_across_formats():
     one = pseudonymise("2020-12-25", F)[0]
     two = pseudonymise("25.12.2020", F)[0]
