@@ -19,7 +19,7 @@ size is bounded by the parameter.  Candidates are streamed from the scan.
 Defined cases: vectors that are null, or hold null or non-finite components,
 and rows without an id take no part; shorter vectors count as padded with
 zeros; rows that repeat an id are each a candidate, but no row answers a query
-of its own id, and a query id asks once (with its row of the greatest vector);
+of its own id, and a query id asks once (with its greatest usable vector);
 queries with fewer than k candidates return all; empty tables return nothing.
 Scores beyond 63 bits raise an error.
 """
@@ -98,7 +98,9 @@ def top_k(vectors: DataFrame, *, k: int = 5, every: int = 50, id_column: str = "
     """query_id, rank, vec_id, score: the k best rows of each query, where
     queries are the rows whose id is divisible by ``every``."""
     rows = vectors.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector_column).alias("embedding"))
-    asked = rows.filter(f"vec_id % {int(every)} = 0").groupBy("vec_id").agg(F.max("embedding").alias("embedding"))
+    # of a repeated query id, one of its usable vectors asks
+    usable = F.forall("embedding", lambda x: F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False)))
+    asked = rows.filter(f"vec_id % {int(every)} = 0").filter(usable).groupBy("vec_id").agg(F.max("embedding").alias("embedding"))
     asked = asked.withColumn("part", F.expr("0"))
     n_blocks = max(1, -(-asked.count() // block))
     if n_blocks > 1:  # blocks of about equal size by a hash of the id

@@ -49,6 +49,15 @@ def test_few_candidates_and_empty(spark):
     assert topk.top_k(df.filter("vec_id = 0")).count() == 0
 
 
+def test_a_repeated_query_asks_with_a_usable_vector(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [nan, nan]), (0, [0.5, 1.0]), (50, [inf, 0.0]), (50, [1.0, -1.0]), (100, [9.0, None]), (100, [0.25, 2.0]),
+            (150, None), (150, [1.5, 0.0]), (200, [-inf, 1.0]), (200, [nan, 2.0]), (3, [0.25, 0.25]), (4, [2.0, -0.5])]
+    df = spark.createDataFrame([(i, v, None, None) for i, v in rows], SCHEMA)
+    got = sorted(map(tuple, topk.top_k(df).collect()))
+    assert got == brute(rows, 5) and {r[0] for r in got} == {0, 50, 100, 150}
+
+
 def test_large_components_stay_exact(spark):
     rows = [(i, [float(2 ** 18 + i * 3), float(2 ** 19 - i)]) for i in range(120)]
     df = spark.createDataFrame([(i, v, None, None) for i, v in rows], SCHEMA)
