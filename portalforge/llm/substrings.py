@@ -1,7 +1,9 @@
-"""Substring dedup: relative Lempel-Ziv factors of at least WINDOW words.
+"""Substring dedup: passages of at least WINDOW words that occur elsewhere.
 
-Every document serves as reference and every document is factored against all
-of it.  The reference is cut into blocks by content: each window of WINDOW
+Every document serves as reference for every document.  Counts of equal blocks
+and windows stand in place of a relative Lempel-Ziv parse: the windows that
+occur more than once cover the words that its factors of WINDOW words or more
+would cover.  The reference is cut into blocks by content: each window of WINDOW
 consecutive words has an anchor, the run of SEED words in it with the smallest
 fingerprint, and the consecutive windows that share an anchor form a block.
 Equal windows have equal anchors wherever they stand, so the index of blocks
@@ -16,9 +18,10 @@ entry for a dozen words.
    so a factor ends exactly where the copy ends, also across the boundary of
    two blocks.
 
-A document's copied windows are then parsed greedily from the left: a factor
-runs on as long as the next window continues at the same place of the
-reference.  All words of factors go.  Comparison is by counts of fingerprints
+A document's copied runs, each with one fixed reference, are then merged from
+the left to factors: a factor runs on as long as the next run continues at the
+same place of the same reference.  It is not the longest match: it breaks where
+the next run refers to another document.  All words of factors go.  Comparison is by counts of fingerprints
 with partial aggregation (a passage in a third of all documents is one hot
 key of counts, never a group of rows in one task); fingerprints are 64-bit
 windows under 64-bit anchors.
