@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portalforge.llm import decontam, language, mixing, neardup, pii, quality, substrings, tokencounts, topk, toxicity
+from portalforge.llm import decontam, language, merkle, mixing, neardup, pii, quality, substrings, tokencounts, topk, toxicity
 from portalforge.llm.common import shared_dir, stored, table
 
 
@@ -64,6 +64,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals()
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_probminhash_neardup": op2_probminhash_neardup,
@@ -75,6 +79,7 @@ QUERIES = {
     "op8_source_mixing": op8_source_mixing,
     "op9_latent_decontamination": op9_latent_decontamination,
     "op10_token_counts": op10_token_counts,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 _WORDS = r"[^\x20\x09-\x0D]+"
@@ -165,8 +170,65 @@ SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_
 FROM t GROUP BY ALL HAVING count(*) <> 0 OR sum(n) <> 0
 """
 
+def _crc32(text: str) -> str:
+    """crc32 of a text of ASCII characters, bit by bit."""
+    shift = "list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))"
+    codes = f"list_transform(range(1, length({text}) + 1), lambda p: ascii(substr({text}, p, 1))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b: {shift}), 4294967295)"
+
+
+def _leaf_sql(text: str) -> str:
+    fields = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({f})::VARCHAR || ':' || {f}, '-')" for f in fields) + ")"
+
+
+# Trees are climbed node by node; every leaf then walks up its own path.
+_MERKLE_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce('=' || lang, '-') AS tree, {_leaf_sql("text")} AS leaf,
+    CASE WHEN ({_crc32("doc_id::VARCHAR")}) % 3 = 0
+      THEN {_leaf_sql("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS changed
+  FROM documents
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY tree) AS n FROM d
+), up AS (
+  SELECT tree, 0 AS level, pos, leaf AS h, n FROM placed
+  UNION ALL
+  SELECT tree, level + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)), max((n + 7) // 8)
+  FROM up WHERE n > 1 GROUP BY tree, level, pos // 8
+), sub AS (SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1),
+top AS (
+  SELECT 0 AS level, pos, h, n FROM sub
+  UNION ALL
+  SELECT level + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)), max((n + 7) // 8) FROM top WHERE n > 1 GROUP BY level, pos // 8
+), nodes AS (
+  SELECT tree, level, pos, h, n FROM up UNION ALL SELECT '', level, pos, h, n FROM top
+), runs AS (
+  SELECT tree, level, pos // 8 AS run, list(h ORDER BY pos) AS hs FROM nodes WHERE n > 1 GROUP BY ALL
+), walk AS (
+  SELECT tree AS home, pos AS leaf_pos, tree, 0 AS level, pos, coalesce(changed, leaf) AS folded, '' AS proof, n FROM placed
+  UNION ALL
+  SELECT w.home, w.leaf_pos, CASE WHEN w.n = 1 THEN '' ELSE w.tree END, CASE WHEN w.n = 1 THEN 0 ELSE w.level + 1 END,
+    CASE WHEN w.n = 1 THEN s.pos ELSE w.pos // 8 END,
+    CASE WHEN w.n = 1 THEN w.folded ELSE
+      sha256(array_to_string(r.hs[:w.pos % 8], '') || w.folded || array_to_string(r.hs[w.pos % 8 + 2:], '')) END,
+    CASE WHEN w.n = 1 THEN w.proof ELSE
+      w.proof || array_to_string(r.hs[:w.pos % 8], '') || array_to_string(r.hs[w.pos % 8 + 2:], '') END,
+    CASE WHEN w.n = 1 THEN s.n ELSE (w.n + 7) // 8 END
+  FROM walk w LEFT JOIN runs r ON r.tree = w.tree AND r.level = w.level AND r.run = w.pos // 8
+    LEFT JOIN sub s ON s.tree = w.tree
+  WHERE w.n > 1 OR w.tree <> ''
+)
+SELECT p.doc_id, p.leaf, s.h AS subroot, t.h AS root, sha256(w.proof) AS proof_sha256, w.folded AS folded_root,
+  w.folded = t.h AS verified
+FROM placed p JOIN walk w ON w.home = p.tree AND w.leaf_pos = p.pos AND w.tree = '' AND w.n = 1
+JOIN sub s ON s.tree = p.tree JOIN top t ON t.n = 1
+"""
+
 ORACLE = {
     "op5_exact_topk": _TOPK_SQL,
     "op8_source_mixing": _MIX_SQL,
     "op10_token_counts": _TOKENS_SQL,
+    "op13_merkle_manifest": _MERKLE_SQL,
 }
