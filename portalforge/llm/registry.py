@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portalforge.llm import decontam, language, merkle, mixing, neardup, pii, quality, substrings, tokencounts, topk, toxicity
+from portalforge.llm import decontam, language, merkle, mixing, neardup, pii, quality, repair, substrings, tokencounts, topk, toxicity
 from portalforge.llm.common import shared_dir, stored, table
 
 
@@ -64,6 +64,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals()
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(table(spark, sf_dir, "conversations"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified_manifest(table(spark, sf_dir, "documents"))
 
@@ -79,6 +83,7 @@ QUERIES = {
     "op8_source_mixing": op8_source_mixing,
     "op9_latent_decontamination": op9_latent_decontamination,
     "op10_token_counts": op10_token_counts,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -226,9 +231,72 @@ FROM placed p JOIN walk w ON w.home = p.tree AND w.leaf_pos = p.pos AND w.tree =
 JOIN sub s ON s.tree = p.tree JOIN top t ON t.n = 1
 """
 
+# Row by row: the cheapest, then least audit of getting to each state.
+_REPAIR_SQL = rf"""
+WITH RECURSIVE k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS ckey FROM conversations
+), kinds AS (SELECT *, ({_crc32("ckey")}) % 20 AS kind FROM k),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM kinds WHERE kind <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS pos FROM damaged
+), faults AS (
+  SELECT conv_id, turn, role, text, pos, left(role, 1) AS ini,
+    CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'd'
+      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 't' ELSE '.' END AS fault,
+    left(lag(role) OVER (PARTITION BY conv_id ORDER BY pos), 1) || left(role, 1) AS pair
+  FROM placed
+), counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (WHERE fault = 'b') AS blank, count(*) FILTER (WHERE fault = 'd') AS duplicate,
+    count(*) FILTER (WHERE fault = 't') AS truncated,
+    count(*) FILTER (WHERE pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM faults GROUP BY conv_id
+), ins(q, q2, cost, audit, txt) AS (
+  VALUES ('e', 'e', 0, '', ''), ('s', 's', 0, '', ''), ('u', 'u', 0, '', ''), ('a', 'a', 0, '', ''),
+    ('e', 'u', 3, 'I', chr(10) || 'user:'), ('s', 'u', 3, 'I', chr(10) || 'user:'), ('a', 'u', 3, 'I', chr(10) || 'user:'),
+    ('u', 'a', 3, 'I', chr(10) || 'assistant:'), ('e', 'a', 6, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+    ('s', 'a', 6, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')
+), row_edges AS (
+  SELECT f.conv_id, f.pos, e.q, e.q2,
+    e.cost + CASE WHEN e.op <> 'D' AND fault = 't' THEN 3 ELSE 0 END AS cost, e.op,
+    CASE e.op WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || role || ':' || text
+      ELSE chr(10) || CASE e.q2 WHEN 'u' THEN 'user' ELSE 'assistant' END || ':' || text END AS txt
+  FROM faults f JOIN (VALUES ('e', 'e', 4, 'D', ''), ('s', 's', 4, 'D', ''), ('u', 'u', 4, 'D', ''), ('a', 'a', 4, 'D', ''),
+    ('e', 's', 0, 'K', 's'), ('e', 'u', 0, 'K', 'u'), ('s', 'u', 0, 'K', 'u'), ('a', 'u', 0, 'K', 'u'), ('u', 'a', 0, 'K', 'a'),
+    ('e', 'u', 3, 'R', ''), ('s', 'u', 3, 'R', ''), ('a', 'u', 3, 'R', ''), ('u', 'a', 3, 'R', '')) e(q, q2, cost, op, ini)
+  ON (e.op = 'D' OR f.fault NOT IN ('b', 'd')) AND (e.op <> 'K' OR e.ini = f.ini)
+), best AS (
+  SELECT conv_id, 0::BIGINT AS pos, 'e' AS q, {{'cost': 0, 'audit': '', 'txt': ''}} AS b FROM counts
+  UNION ALL
+  SELECT x.conv_id, x.pos + 1, r.q2,
+    min({{'cost': x.b.cost + i.cost + r.cost, 'audit': x.b.audit || i.audit || r.op, 'txt': x.b.txt || i.txt || r.txt}})
+  FROM best x JOIN ins i ON i.q = x.q
+    JOIN row_edges r ON r.conv_id IS NOT DISTINCT FROM x.conv_id AND r.pos = x.pos + 1 AND r.q = i.q2
+  GROUP BY x.conv_id, x.pos, r.q2
+), done AS (
+  SELECT x.conv_id, min({{'cost': x.b.cost + i.cost, 'audit': x.b.audit || i.audit, 'txt': x.b.txt || i.txt}}) AS b
+  FROM best x JOIN counts c ON c.conv_id IS NOT DISTINCT FROM x.conv_id AND c.n = x.pos
+    JOIN ins i ON i.q = x.q AND i.q2 IN ('e', 'a')
+  GROUP BY x.conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(d.b.cost, 0)::BIGINT AS cost,
+  coalesce(d.b.audit, '') AS audit, sha256(coalesce(substr(d.b.txt, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
 ORACLE = {
     "op5_exact_topk": _TOPK_SQL,
     "op8_source_mixing": _MIX_SQL,
     "op10_token_counts": _TOKENS_SQL,
+    "op12_conversation_repair": _REPAIR_SQL,
     "op13_merkle_manifest": _MERKLE_SQL,
 }
