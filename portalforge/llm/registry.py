@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portalforge.llm import decontam, language, merkle, mixing, neardup, pii, quality, repair, substrings, tokencounts, topk, toxicity
+from portalforge.llm import decontam, language, lmscore, merkle, mixing, neardup, pii, quality, repair, substrings, tokencounts, topk, toxicity
 from portalforge.llm.common import shared_dir, stored, table
 
 
@@ -64,6 +64,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals()
 
 
+def op11_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.scores(table(spark, sf_dir, "documents"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(table(spark, sf_dir, "conversations"))
 
@@ -83,6 +87,7 @@ QUERIES = {
     "op8_source_mixing": op8_source_mixing,
     "op9_latent_decontamination": op9_latent_decontamination,
     "op10_token_counts": op10_token_counts,
+    "op11_lm_scores": op11_lm_scores,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
