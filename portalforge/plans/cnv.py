@@ -17,7 +17,7 @@ from portalforge import constants as K
 from portalforge.functions.exprs import discretize_cn
 from portalforge.operators.intervals import overlap_join
 from portalforge.operators.matrix import matrix_lines
-from portalforge.operators.ordered import keep_last
+from portalforge.operators.ordered import keep_last, packed_order
 
 
 def length_counters(segments: DataFrame, *, start: str = "seg_start", end: str = "seg_end",
@@ -28,8 +28,13 @@ def length_counters(segments: DataFrame, *, start: str = "seg_start", end: str =
                         F.count_if(short).alias("short_cnvs"))
 
 
+# Widths of a segment's order (line, start, end, copy number) as one number.
+ORDER_BITS = (31, 33, 33, 29)
+
+
 def cnv_to_genes(segments: DataFrame, genes: DataFrame, hugo_entrez: DataFrame, *,
-                 min_len: int = K.CNV_MIN_LEN, strategy: str = "binned") -> DataFrame:
+                 min_len: int = K.CNV_MIN_LEN, strategy: str = "binned",
+                 order_bits: Sequence[int] | None = ORDER_BITS) -> DataFrame:
     """Gene-level copy number per sample.
 
     segments: sample_id, line_no, chrom, seg_start, seg_end, cn
@@ -41,20 +46,32 @@ def cnv_to_genes(segments: DataFrame, genes: DataFrame, hugo_entrez: DataFrame,
     when they share >= 1 base on the same chromosome; genes without an Entrez
     id are dropped; when several segments hit a symbol, the last in file
     order (line_no, then coordinates and value as a total tie-break) wins.
+
+    A segment's order is packed into one number before the overlap join, so
+    the hits are reduced by a hash aggregate before they are shuffled.  Fields
+    wider than ``order_bits`` (a line number of 2**31, say) stop the job;
+    ``order_bits=None`` orders by structs of any size instead.
     """
-    segs = (segments.filter((F.col("seg_end") - F.col("seg_start")) >= min_len)
-            .select("sample_id", "line_no", F.col("chrom").alias("s_chrom"),
-                    "seg_start", "seg_end", "cn"))
-    # genes without an Entrez id never reach the overlap join
+    segs = segments.filter((F.col("seg_end") - F.col("seg_start")) >= min_len)
+    order = ["line_no", "seg_start", "seg_end", "cn"]
+    if order_bits is not None:
+        segs = segs.withColumn("_order", packed_order(order, order_bits))
+    segs = segs.select("sample_id", F.col("chrom").alias("s_chrom"), "seg_start", "seg_end", "cn",
+                       "line_no" if order_bits is None else "_order")
+    # One Entrez id per symbol; genes without one never reach the overlap join.
+    entrez = hugo_entrez.groupBy("symbol").agg(F.max("entrez").alias("entrez"))
     mapped = (genes.select(F.col("chrom").alias("g_chrom"), "gene_start", "gene_end", "symbol")
-              .join(hugo_entrez.select("symbol", "entrez"), "symbol", "inner"))
+              .join(hugo_entrez.select("symbol"), "symbol", "left_semi"))
     hits = overlap_join(segs, mapped, left_cols=("s_chrom", "seg_start", "seg_end"),
                         right_cols=("g_chrom", "gene_start", "gene_end"), strategy=strategy)
-    last = keep_last(hits, keys=["sample_id", "symbol"],
-                     order=["line_no", "seg_start", "seg_end", "cn"], values=["entrez", "cn"])
-    return last.select("sample_id", F.col("symbol").alias("Hugo_Symbol"),
-                       F.col("entrez").cast("string").alias("Entrez_Gene_Id"),
-                       F.col("cn").cast("int").alias("copy_number"))
+    keys = ["sample_id", "symbol"]
+    if order_bits is None:
+        last = keep_last(hits, keys=keys, order=order, values=["cn"])
+    else:
+        last = hits.groupBy(*keys).agg(F.max_by("cn", "_order").alias("cn"))
+    return last.join(entrez, "symbol").select(
+        "sample_id", F.col("symbol").alias("Hugo_Symbol"), F.col("entrez").cast("string").alias("Entrez_Gene_Id"),
+        F.col("cn").cast("int").alias("copy_number"))
 
 
 def sample_ploidy(samples: DataFrame, info: DataFrame | None, *,

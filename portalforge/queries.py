@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portalforge import constants as K
+from portalforge.operators.intervals import overlap_join
 from portalforge.plans import cnv
 from portalforge.session import materialize
 from portalforge.sources.bindings import Bindings
@@ -40,6 +41,16 @@ def cnv_length_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cnv.length_counters(Bindings(spark, sf_dir).v_segment)
 
 
+@register
+def segment_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Genes hit by each segment, chromosome-long segments beside short ones."""
+    b = Bindings(spark, sf_dir)
+    hits = overlap_join(b.v_segment_mixed.withColumnRenamed("chrom", "s_chrom"), b.v_gene.withColumnRenamed("chrom", "g_chrom"),
+                        left_cols=("s_chrom", "seg_start", "seg_end"), right_cols=("g_chrom", "gene_start", "gene_end"))
+    return hits.groupBy("sample_id", "line_no").agg(
+        F.count("*").alias("n_genes"), F.min("gene_no").alias("first_gene"), F.sum("gene_no").alias("gene_no_sum"))
+
+
 def _cnv_samples(b: Bindings) -> DataFrame:
     return Models.of(b.spark, b.sf_dir).cnv_samples
 

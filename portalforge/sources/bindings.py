@@ -113,6 +113,15 @@ SELECT 'BS_'||l_orderkey sample_id,
        l_partkey*1000 seg_start,
        l_partkey*1000+cast(l_quantity as bigint)*5000 seg_end,
        (l_partkey+l_suppkey)%9 cn
+  FROM {lineitem}""",
+    # whole-chromosome and 9 Mb segments among the short ones
+    "v_segment_mixed": """
+SELECT 'BS_'||l_orderkey sample_id,
+       l_linenumber line_no,
+       'chr'||(l_suppkey%23+1) chrom,
+       case when l_orderkey%100=1 then 0 when l_orderkey%100=2 then l_partkey*500 else l_partkey*1000 end seg_start,
+       case when l_orderkey%100=1 then 250000000 when l_orderkey%100=2 then l_partkey*500+9000000
+            else l_partkey*1000+cast(l_quantity as bigint)*5000 end seg_end
   FROM {lineitem}""",
     "v_gene": """
 SELECT p_partkey gene_no,
