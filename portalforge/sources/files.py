@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,19 +71,31 @@ def keyed_lines(rows: DataFrame) -> DataFrame:
                        F.regexp_replace("value", "\r$", "").alias("value"))
 
 
-def named_rows(lines: DataFrame, columns: Sequence[str], header: DataFrame | None = None) -> DataFrame:
+def file_headers(lines: DataFrame, is_header: Column | None = None) -> DataFrame:
+    """(source_path, header): the first line of each file, or the first one for
+    which ``is_header`` holds.  Only lines of a file's first block are looked
+    at; the blocks after it are read once, for their rows."""
+    top = lines.filter(F.col("row_key.block") == 0)
+    top = top if is_header is None else top.filter(is_header)
+    return top.groupBy("source_path").agg(F.min_by("value", "row_key").alias("header"))
+
+
+def named_rows(lines: DataFrame, columns: Sequence[str], headers: DataFrame | None = None) -> DataFrame:
     """Rows of ``lines`` (``text_lines``) with ``columns`` found by name in each
     file's own header, as text; a column that a file lacks is NULL, and rows may
-    have more or fewer fields than their header.
-
-    ``header``: (source_path, names, row_key of the header row); by default a
-    file's first row.  A header becomes positions once, not per row."""
-    if header is None:
-        header = lines.groupBy("source_path").agg(
-            F.split(F.min_by("value", "row_key"), "\t", -1).alias("names"), F.min("row_key").alias("_head"))
-    places = F.transform(F.array(*[F.lit(c) for c in columns]), lambda c: (F.array_position("names", c) - 1).cast("int"))
-    header = header.select(F.col("source_path").alias("_path"), "_head", places.alias("_places"))
-    rows = lines.join(header, F.col("source_path") == F.col("_path")).filter(F.col("row_key") != F.col("_head"))
+    have more or fewer fields than their header.  A line equal to its file's
+    header is no row.
+
+    ``headers``: (source_path, header); by default a file's first line.  Many
+    files share few headers: a file carries the number of its header, and the
+    texts and column positions are a dictionary of the distinct ones."""
+    headers = file_headers(lines) if headers is None else headers
+    numbered = headers.select(F.col("source_path").alias("_path"), "header", F.sha2("header", 256).alias("_number"))
+    names = F.split("header", "\t", -1)
+    places = F.transform(F.array(*[F.lit(c) for c in columns]), lambda c: (F.array_position(names, c) - 1).cast("int"))
+    dictionary = numbered.select(F.col("_number").alias("_entry"), "header").distinct().withColumn("_places", places)
+    rows = lines.join(numbered.select("_path", "_number"), F.col("source_path") == F.col("_path"))
+    rows = rows.join(dictionary, F.col("_number") == F.col("_entry")).filter(F.col("value") != F.col("header"))
     cells = F.split("value", "\t", -1)
     return rows.select("source_path", "source_file", "row_key",
                        *[F.get(cells, F.get("_places", i)).alias(c) for i, c in enumerate(columns)])
@@ -177,16 +189,14 @@ def maf_records(lines: DataFrame, layout: Sequence[str]) -> DataFrame:
     """(source_path, source_file, record) of MAF text lines.
 
     Each file's header is the line whose fields include Hugo_Symbol,
-    Variant_Classification and Tumor_Sample_Barcode (found by content, so
-    split files work); ``#`` lines are dropped.  ``record`` holds the fields
+    Variant_Classification and Tumor_Sample_Barcode, in its first block;
+    ``#`` lines are dropped.  ``record`` holds the fields
     of ``layout`` (``plans.maf.record_layout``) in that order."""
     lines = lines.filter(~F.col("value").startswith("#") & (F.col("value") != ""))
     cells = F.split("value", "\t", -1)
     is_header = (F.array_contains(cells, "Hugo_Symbol") & F.array_contains(cells, "Variant_Classification")
                  & F.array_contains(cells, "Tumor_Sample_Barcode"))
-    header = lines.filter(is_header).groupBy("source_path").agg(
-        F.split(F.min_by("value", "row_key"), "\t", -1).alias("names"), F.min("row_key").alias("_head"))
-    rows = named_rows(lines, layout, header)
+    rows = named_rows(lines, layout, file_headers(lines, is_header))
     return rows.select("source_path", "source_file", F.array(*[F.col(f"`{c}`") for c in layout]).alias("record"))
 
 

@@ -132,3 +132,36 @@ def test_expression_flow_from_files(spark, tmpdir_fresh):
     long = expression.expression_matrix(rows)
     got = sorted((r.Hugo_Symbol, r.sample, r.fpkm) for r in long.collect())
     assert got == [("X", "S1", 9.0), ("X", "S2", 7.0), ("Y", "S1", 3.0), ("Y", "S2", 5.0)]
+
+
+def test_headers_come_from_first_blocks_and_bodies_are_scanned_once(spark):
+    """Lines of later blocks are no part of the header side of the plan."""
+    rows = spark.range(1000).select((F.col("id") % 7).cast("string").alias("source_path"), F.col("id").cast("string").alias("cell"))
+    body = rows.select("source_path", F.lit(1).cast("long").alias("block"), F.lit(0).cast("long").alias("n"),
+                       F.concat_ws("\t", "cell", F.lit("body_marker")).alias("value"))
+    heads = spark.createDataFrame([(str(i), 0, n, v) for i in range(7) for n, v in ((5, "a\tb" if i % 2 else "b\ta"), (6, "x\ty"))],
+                                  "source_path string, block long, n long, value string")
+    lines = body.unionByName(heads).select("source_path", F.col("source_path").alias("source_file"),
+                                           F.struct("source_path", "block", "n").alias("row_key"), "value")
+    out = files.named_rows(lines, ["b", "none"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("body_marker") == 1
+    got = out.groupBy("source_path").agg(F.count("*").alias("n"), F.sum((F.col("b") == "body_marker").cast("int")).alias("m"),
+                                         F.count("none").alias("z")).collect()
+    for r in got:
+        i = int(r.source_path)
+        assert (r.m, r.z) == (r.n - 1 if i % 2 else 0, 0) and r.n == len(range(i, 1000, 7)) + 1
+
+
+def test_blocks_of_a_large_file_find_the_header(spark, tmpdir_fresh):
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        with open(f"{tmpdir_fresh}/big.tsv", "w") as f:
+            f.write("Gene\tFPKM\n" + "".join(f"G{i}\t{i}\n" for i in range(5000)))
+        lines = files.text_lines(spark, tmpdir_fresh)
+        assert lines.rdd.getNumPartitions() > 5
+        rows = files.named_rows(lines, ["FPKM", "Gene"])
+        assert rows.filter("Gene = concat('G', FPKM)").count() == rows.count() == 5000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)

@@ -47,7 +47,7 @@ def _cnv_inputs(spark, n=300):
     genes = [(f"chr{rng.randrange(3)}", g := rng.randrange(10**8), g + rng.randrange(1, 10**6), f"G{i % 40}") for i in range(80)]
     return (spark.createDataFrame(segs, "sample_id string, line_no int, chrom string, seg_start long, seg_end long, cn int"),
             spark.createDataFrame(genes, "chrom string, gene_start long, gene_end long, symbol string"),
-            spark.createDataFrame([(f"G{i}", str(i)) for i in range(30)] + [("G1", "99")], "symbol string, entrez string"))
+            spark.createDataFrame([(f"G{i}", i) for i in range(30)] + [("G1", 99)], "symbol string, entrez long"))
 
 
 def test_gene_copy_number_is_a_hash_aggregate_and_agrees_with_struct_order(spark):
