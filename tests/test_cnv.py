@@ -97,7 +97,6 @@ def test_matrix_blocks_nulls_and_order(spark, monkeypatch):
     """Columns in several blocks, missing values and defaults, order by two keys."""
     from portalforge.operators import matrix
     monkeypatch.setattr(matrix, "BLOCK_COLUMNS", 3)
-    monkeypatch.setattr(matrix, "ORDER_PREFIX", 2)
     rows = [("P", f"S{i}", None if i % 4 == 1 else str(i), f"k{i % 5}", i) for i in range(11)] + [("Q", "S3", "x", None, 0)]
     samples = spark.createDataFrame(rows, "project string, sample string, fill string, k string, n int")
     cells = spark.createDataFrame([("A", "S0", 1.5), ("A", "S7", None), ("B", "S3", 2.0), ("C", "zz", 1.0)],

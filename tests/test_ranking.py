@@ -34,3 +34,15 @@ def test_no_range_holds_a_group_whose_ids_share_a_prefix(spark):
     sizes = df.repartitionByRange(8, "k").groupBy(F.spark_partition_id()).count().collect()
     assert max(r["count"] for r in sizes) < 1500
     assert running_totals(df, group=[], order=["k"], parts=8).filter("before <> cast(substr(k, 21) as int)").count() == 0
+
+
+def test_matrix_columns_whose_ids_share_a_prefix_are_numbered_in_ranges(spark):
+    from portalforge.operators.matrix import numbered_columns
+
+    ids = [f"BS_SAME_PREFIX_OF_20_{i:05d}" for i in range(3000)]
+    samples = spark.createDataFrame([("p", s) for s in reversed(ids)], "project string, sample string")
+    out = numbered_columns(samples, group=["project"], order=["sample"])
+    assert [r["sample"] for r in sorted(out.collect(), key=lambda r: (r._block, r._slot))] == ids
+    # the window that places columns works inside (project, range): no range holds the project
+    sizes = samples.repartitionByRange(8, "project", "sample").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert sizes < 1000
