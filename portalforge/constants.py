@@ -147,3 +147,17 @@ MANIFEST_COLUMNS = ("Cbio_project", "T_CL_BS_ID", "Norm_BS_ID", "File_Type", "Cb
 SV_KEYS = ("Sample", "Gene1A", "LeftBreakpoint", "Gene1B", "RightBreakpoint", "Fusion_Type",
            "JunctionReadCount", "SpanningFragCount", "annots", "FusionName", "Fusion_anno")
 CALLER_FUSION_COLUMNS = (*SV_KEYS[1:], "Caller", "CalledBy")
+
+
+# Folder and file ending of each merged file of a project, as the
+# portal's package configuration names them.
+PACKAGE_FILES = {
+    "mutation": ("merged_mafs", "maf"),
+    "linear": ("merged_cnvs", "predicted_cnv.txt"),
+    "discrete": ("merged_cnvs", "discrete_cnvs.txt"),
+    "seg": ("merged_cnvs", "merged_seg.txt"),
+    "counts": ("merged_rsem", "rsem_merged.txt"),
+    "zscores": ("merged_rsem", "rsem_merged_zscore.txt"),
+    "fusion": ("merged_fusion", "fusions.txt"),
+    "sv": ("merged_sv", "fusions.txt"),
+}

@@ -3,14 +3,13 @@
 One call renders the jobs' DataFrames into the package's files with the
 sinks: clinical sheets with their header rows, merged MAF with version line
 and template header, CNV / discrete / expression / z-score matrices, merged
-segments, fusion and SV tables (one folder per project) and case lists.
+segments, fusion and SV tables (one file per project) and case lists.
 Shared models are materialised once by the caller (see
 ``portalforge.queries.Models``).
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -18,7 +17,7 @@ from pyspark.sql import functions as F
 
 from portalforge.operators.matrix import header_line, matrix_lines
 from portalforge.plans import caselists
-from portalforge.sources import sinks
+from portalforge.sources import outputs, sinks
 
 
 def matrix_file(cells: DataFrame, samples: DataFrame, *, value: str, default: str,
@@ -41,43 +40,35 @@ def write_package(out_dir: str, *, patient: DataFrame, sample: DataFrame, header
                   order: Sequence[str] = ("T_CL_BS_ID", "File_Name"),
                   case_list_attrs: Mapping[str, Mapping[str, str]] | None = None,
                   study_id: str = "study") -> list[str]:
-    """Write every package file under ``out_dir``; returns the folders.
+    """Write every package file under ``out_dir``; returns the files' paths.
 
-    Folders hold one ``Cbio_project=<name>`` sub-folder per project where
-    the file is per project.  Matrices: absent CNV cells are the sample's
+    Files carry the names the portal expects: ``<folder>/<project>.<ending>``
+    (``constants.PACKAGE_FILES``), ``<study>_data_clinical_<prefix>.txt`` and
+    ``case_lists/<list>.txt``.  Matrices: absent CNV cells are the sample's
     ploidy, absent expression cells '', absent z-scores '0.0000'.
     """
     from portalforge.plans.clinical import clinical_with_header
     from portalforge.plans.maf import template_columns
 
-    written = []
-
-    def path(name):
-        p = os.path.join(out_dir, name)
-        written.append(p)
-        return p
-
-    sinks.write_lines(clinical_with_header(patient, header_defs), path("data_clinical_patient"))
-    sinks.write_lines(clinical_with_header(sample, sample_header_defs), path("data_clinical_sample"))
-    sinks.write_lines(sinks.maf_lines(maf, maf_version, template_columns(maf_template)),
-                      path("merged_mafs"), partition_by=["Cbio_project"])
-    sinks.write_lines(matrix_file(gene_cn, cnv_samples, value="copy_number", default="ploidy", order=order),
-                      path("merged_cnvs_linear"), partition_by=["Cbio_project"])
     zero = cnv_samples.withColumn("_zero", F.lit(0))
-    sinks.write_lines(matrix_file(discrete_cells, zero, value="level", default="_zero", order=order),
-                      path("merged_cnvs_discrete"), partition_by=["Cbio_project"])
-    sinks.write_tsv(segments, path("merged_seg"), partition_by=["Cbio_project"])
     blank = expr_samples.withColumn("_blank", F.lit(""))
-    sinks.write_lines(matrix_file(expr_cells, blank, value="fpkm", default="_blank",
-                                  sample="sample", name="sample", order=order),
-                      path("merged_rsem"), partition_by=["Cbio_project"])
     zcells = zscore_cells.withColumn("z_text", F.format_string("%.4f", F.col("zscore")))
     zdef = expr_samples.withColumn("_z", F.lit("0.0000"))
-    sinks.write_lines(matrix_file(zcells, zdef, value="z_text", default="_z", sample="sample",
-                                  name="sample", order=order),
-                      path("merged_rsem_zscore"), partition_by=["Cbio_project"])
-    sinks.write_tsv(fusions, path("merged_fusion"), partition_by=["Cbio_project"])
-    sinks.write_tsv(sv, path("merged_sv"), partition_by=["Cbio_project"])
+    files = {
+        "mutation": sinks.maf_lines(maf, maf_version, template_columns(maf_template)),
+        "linear": matrix_file(gene_cn, cnv_samples, value="copy_number", default="ploidy", order=order),
+        "discrete": matrix_file(discrete_cells, zero, value="level", default="_zero", order=order),
+        "seg": sinks.tsv_lines(segments, key=["Cbio_project"]),
+        "counts": matrix_file(expr_cells, blank, value="fpkm", default="_blank", sample="sample", name="sample", order=order),
+        "zscores": matrix_file(zcells, zdef, value="z_text", default="_z", sample="sample", name="sample", order=order),
+        "fusion": sinks.tsv_lines(fusions, key=["Cbio_project"]),
+        "sv": sinks.tsv_lines(sv, key=["Cbio_project"]),
+    }
+    written = []
+    for prefix, sheet, defs in (("patient", patient, header_defs), ("sample", sample, sample_header_defs)):
+        written += sinks.write_lines(clinical_with_header(sheet, defs), out_dir, outputs.sheet_name(study_id, prefix))
+    for kind, lines in files.items():
+        written += sinks.write_lines(lines, out_dir, outputs.file_name(kind))
     if case_list_attrs:
         muts = maf.select(F.col("Tumor_Sample_Barcode").alias("sample"))
         cna = cnv_samples.select(F.col("Cbio_Tumor_Name").alias("sample"))
@@ -85,7 +76,6 @@ def write_package(out_dir: str, *, patient: DataFrame, sample: DataFrame, header
         svs = fusions.select(F.col("Tumor_Sample_Barcode").alias("sample"))
         lists = caselists.case_lists(muts, cna, rna, svs)
         lines = caselists.case_list_lines(lists, study_id, case_list_attrs)
-        sinks.write_lines(lines.withColumn("section", F.lit(0)).withColumn(
-            "line_no", F.format_string("%03d", "line_no")), path("case_lists"),
-            partition_by=["case_list"])
+        written += sinks.write_lines(lines.withColumn("section", F.lit(1)).withColumn(
+            "line_no", F.format_string("%03d", "line_no")), out_dir, F.concat(F.lit("case_lists/"), F.col("case_list"), F.lit(".txt")))
     return written

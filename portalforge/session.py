@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 
 from pyspark import StorageLevel
@@ -51,6 +52,18 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return configured or None
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder that every executor and the driver can reach: under
+    ``spark.checkpoint.dir``, or under this machine's temporary folder where
+    the session runs on this machine alone."""
+    base = checkpoint_dir(spark)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="portalforge-")
+    return f"{base.rstrip('/')}/portalforge/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, name: str = "model") -> DataFrame:
     """Keep a model that several jobs read (sample registry, sheets, file
     manifest) so it is computed once.

@@ -1,42 +1,46 @@
-"""Writers for the package files.
-
-Every file is text: (section, line_no, line) rows, range-partitioned on that
-key (after the project, where there is one folder per project) and sorted
-inside the parts.  The preamble is the start of the first part, parts follow
-each other in order, and no task writes more than its range, so a file of any
-size is written in parallel; concatenating a folder's parts in name order
-gives the file.  Fields are written as they are, without quoting; NULL is ''.
+"""Lines of the package files, and their writers.
+
+Every file is text.  A job is rendered as (section, line_no, line) rows: section
+0 is the heading, ``line_no`` a short order key (empty where rows are in order
+of their text).  ``outputs`` writes them as one named file per project.  Fields
+are written as they are, without quoting; NULL is ''.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from portalforge.sources import outputs
+
+
+def write_lines(lines: DataFrame, out_dir: str, name: str | Column, *, mode: str = "errorifexists") -> list[str]:
+    """Pre-rendered lines as the files ``name`` (one text, or a column of the
+    lines) under ``out_dir``; returns the paths."""
+    file = F.lit(name) if isinstance(name, str) else name
+    key = F.col("line_no")
+    if dict(lines.dtypes)["line_no"] != "string":
+        key = F.lpad(key.cast("string"), 12, "0")
+    return outputs.write_files(lines.select(file.alias("file"), "section", key.alias("line_no"), "line"), out_dir, mode=mode)
+
 
-def write_lines(lines: DataFrame, path: str, *, order: Sequence[str] = ("section", "line_no", "line"),
-                partition_by: Sequence[str] = (), mode: str = "errorifexists") -> None:
-    """Text sink for pre-rendered lines, in ``order``."""
-    keys = [*partition_by, *order]
-    df = lines.repartitionByRange(*[F.col(c) for c in keys]).sortWithinPartitions(*keys)
-    w = df.select(*partition_by, "line").write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.text(path)
+def write_tsv(df: DataFrame, out_dir: str, name: str | Column, *, key: Sequence[str] = (), header: bool = True,
+              mode: str = "errorifexists") -> list[str]:
+    """The column names, then the rows sorted by their text.  ``key`` columns
+    choose the file and are not written."""
+    return write_lines(tsv_lines(df, key=key, header=header), out_dir, name, mode=mode)
 
 
-def write_tsv(df: DataFrame, path: str, *, partition_by: Sequence[str] = (), header: bool = True,
-              mode: str = "errorifexists") -> None:
-    """TSV sink: the column names, then the rows sorted by their text."""
-    columns = [c for c in df.columns if c not in partition_by]
-    lines = table_lines(df, columns, section=1, key=partition_by)
-    if header:
-        groups = df.select(*partition_by).distinct() if partition_by else df.sparkSession.range(1)
-        lines = lines.unionByName(groups.select(
-            *partition_by, F.lit(0).alias("section"), F.lit("").alias("line_no"), F.lit("\t".join(columns)).alias("line")))
-    write_lines(lines, path, partition_by=partition_by, mode=mode)
+def tsv_lines(df: DataFrame, *, key: Sequence[str] = (), header: bool = True) -> DataFrame:
+    columns = [c for c in df.columns if c not in key]
+    lines = table_lines(df, columns, section=1, key=key)
+    if not header:
+        return lines
+    groups = df.select(*key).distinct() if key else df.sparkSession.range(1)
+    return lines.unionByName(groups.select(
+        *key, F.lit(0).alias("section"), F.lit("").alias("line_no"), F.lit("\t".join(columns)).alias("line")))
 
 
 def table_lines(df: DataFrame, columns: Sequence[str] | None = None, *, section: int = 2,
@@ -44,7 +48,7 @@ def table_lines(df: DataFrame, columns: Sequence[str] | None = None, *, section:
     """Rows as tab-joined text lines (NULL -> ''), tagged with ``section``."""
     cols = list(columns or [c for c in df.columns if c not in key])
     text = F.concat_ws("\t", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in cols])
-    return df.select(*key, F.lit(section).alias("section"), text.alias("line_no"), text.alias("line"))
+    return df.select(*key, F.lit(section).alias("section"), F.lit("").alias("line_no"), text.alias("line"))
 
 
 def maf_lines(maf: DataFrame, version_line: str, template_cols: Sequence[str]) -> DataFrame:

@@ -6,7 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 from portalforge.plans import maf
-from portalforge.sources import files, sinks
+from portalforge.sources import files, outputs, sinks
 
 
 def _write(d, name, text):
@@ -59,20 +59,17 @@ def test_cnv_files(spark, tmpdir_fresh):
 
 def test_tsv_sink_null_blank_zero_kept(spark, tmpdir_fresh):
     df = spark.createDataFrame([("a", None, 0)], "x string, y string, z int")
-    out = os.path.join(tmpdir_fresh, "out")
-    sinks.write_tsv(df, out)
-    text = "".join(open(os.path.join(out, f)).read() for f in sorted(os.listdir(out)) if f.startswith("part"))
-    assert text == "x\ty\tz\na\t\t0\n"
+    [path] = sinks.write_tsv(df, tmpdir_fresh, "out.txt")
+    assert open(path).read() == "x\ty\tz\na\t\t0\n"
+    assert os.listdir(tmpdir_fresh) == ["out.txt"]
 
 
 def test_maf_sink_preamble(spark, tmpdir_fresh):
     df = spark.createDataFrame([("P", "TP53", "S1")], "Cbio_project string, Hugo_Symbol string, Tumor_Sample_Barcode string")
     lines = sinks.maf_lines(df, "#version 2.4", ["Hugo_Symbol", "Tumor_Sample_Barcode"])
-    out = os.path.join(tmpdir_fresh, "maf")
-    sinks.write_lines(lines, out, partition_by=["Cbio_project"])
-    part = os.path.join(out, "Cbio_project=P")
-    text = "".join(open(os.path.join(part, f)).read() for f in sorted(os.listdir(part)) if f.startswith("part"))
-    assert text == "#version 2.4\nHugo_Symbol\tTumor_Sample_Barcode\nTP53\tS1\n"
+    [path] = sinks.write_lines(lines, tmpdir_fresh, outputs.file_name("mutation"))
+    assert path.endswith("/merged_mafs/P.maf")
+    assert open(path).read() == "#version 2.4\nHugo_Symbol\tTumor_Sample_Barcode\nTP53\tS1\n"
 
 
 def test_cnv_flow_from_files(spark, tmpdir_fresh):

@@ -1,6 +1,5 @@
 """End-to-end package rendering on sf0.001."""
 
-import glob
 import os
 
 from portalforge.queries import write_testdata_package
@@ -9,26 +8,26 @@ ATTRS = {"cases_all": {"stable_id": "all", "case_list_name": "All", "case_list_d
                        "case_list_category": "all_cases_in_study"}}
 
 
-def _read(folder):
-    parts = sorted(glob.glob(os.path.join(folder, "part-*")))
-    return "".join(open(p).read() for p in parts)
-
-
 def test_write_package(spark, tmpdir_fresh):
     out = os.path.join(tmpdir_fresh, "pkg")
     written = write_testdata_package(spark, "/root/testdata/sf0.001", out, ATTRS)
-    assert all(os.path.isdir(p) for p in written)
-    patient = _read(os.path.join(out, "data_clinical_patient")).splitlines()
+    assert all(os.path.isfile(p) for p in written)
+    assert not [f for _, _, names in os.walk(out) for f in names if f.startswith((".", "part-"))]
+
+    def lines(name):
+        return open(os.path.join(out, name)).read().splitlines()
+
+    patient = lines("study_x_data_clinical_patient.txt")
     assert [line[0] for line in patient[:4]] == ["#"] * 4
     assert patient[4].startswith("PATIENT_ID\t")
-    maf = _read(os.path.join(out, "merged_mafs", "Cbio_project=study_x")).splitlines()
-    assert maf[0] == "#version 2.4" and maf[1].startswith("Hugo_Symbol\t")
-    cnv = _read(os.path.join(out, "merged_cnvs_linear", "Cbio_project=study_x")).splitlines()
+    maf = lines("merged_mafs/study_x.maf")
+    assert maf[0] == "#version 2.4" and maf[1].startswith("Hugo_Symbol\t") and maf[2:] == sorted(maf[2:])
+    cnv = lines("merged_cnvs/study_x.predicted_cnv.txt")
     width = len(cnv[0].split("\t"))
     assert cnv[0].startswith("Hugo_Symbol\t") and all(len(line.split("\t")) == width for line in cnv)
-    z = _read(os.path.join(out, "merged_rsem_zscore", "Cbio_project=study_x")).splitlines()
+    z = lines("merged_rsem/study_x.rsem_merged_zscore.txt")
     assert all(len(line.split("\t")) == len(z[0].split("\t")) for line in z)
-    cases = _read(os.path.join(out, "case_lists", "case_list=cases_all")).splitlines()
+    cases = lines("case_lists/cases_all.txt")
     assert cases[0] == "cancer_study_identifier: study_x"
     assert cases[1] == "stable_id: study_x_all"
     assert cases[3].startswith("case_list_description: All samples (")
