@@ -3,20 +3,20 @@
 Every reader returns a long DataFrame and, where the sample identity lives
 in the manifest rather than in the file, a ``source_file`` column (from
 Spark's ``_metadata``) to join the manifest on.  Schemas are explicit; no
-inference.  Line numbers are exact only where a rule depends on file order
-(last/first wins, value-after-label): those small files are read whole
-(``wholetext``) and split with ``posexplode``.
+inference.  Files stay splittable, also where a rule needs line numbers (last
+or first wins, value after label): see ``numbered_lines``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from portalforge import constants as K
+from portalforge.operators.ranking import running_totals
 
 
 def _basename(c: str = "_metadata.file_path"):
@@ -37,24 +37,47 @@ def read_tsv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructTy
     return df
 
 
-def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """(source_file, line_no, line) with exact 1-based line numbers; each file
-    is read whole, so use for per-sample and small files (forms, info, CNV)."""
-    raw = spark.read.text(paths if isinstance(paths, str) else list(paths), wholetext=True)
-    parts = F.split(F.col("value"), "\n")
-    # a trailing newline yields one empty last element, which is not a line
-    parts = F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
-    lines = raw.select(_basename().alias("source_file"), F.posexplode(parts).alias("pos", "line"))
-    return lines.select("source_file", (F.col("pos") + 1).alias("line_no"),
-                        F.regexp_replace("line", "\r$", "").alias("line"))
+def _text(spark: SparkSession, paths: str | Sequence[str], suffix: str | None = None, recursive: bool = False) -> DataFrame:
+    """Lines of text files; a folder's files in folders below it too
+    (``recursive``), and only those whose name ends in ``suffix``."""
+    r = spark.read.option("lineSep", "\n").option("recursiveFileLookup", str(recursive).lower())
+    if suffix is not None:
+        r = r.option("pathGlobFilter", f"*{suffix}")
+    return r.text(paths if isinstance(paths, str) else list(paths))
 
 
-def text_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """(source_path, source_file, row_key, value) of splittable text files.
+def numbered_lines(spark: SparkSession, paths: str | Sequence[str], *, suffix: str | None = None,
+                   recursive: bool = False) -> DataFrame:
+    """(source_path, source_file, line_no, line) with exact 1-based line numbers.
+
+    Files stay splittable: a line's number is its place in its block plus the
+    lines of the blocks before it, so the largest unit of work is one block
+    and no file is held as one value.  Places are taken inside a block of the
+    same scan; only line counts are taken from another."""
+    raw = located(_text(spark, paths, suffix, recursive))
+    counts = raw.groupBy("source_path", "block").agg(F.count("*").alias("_lines"))
+    earlier = Window.partitionBy("source_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col("source_path").alias("_path"), F.col("block").alias("_block"),
+                            F.coalesce(F.sum("_lines").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("source_path", "block").orderBy("_n")
+    rows = raw.withColumn("_n", F.monotonically_increasing_id()).withColumn("_place", F.row_number().over(inside))
+    rows = rows.join(offsets, (F.col("source_path") == F.col("_path")) & (F.col("block") == F.col("_block")))
+    return rows.select("source_path", _basename("source_path").alias("source_file"), (F.col("_before") + F.col("_place")).alias("line_no"),
+                       F.regexp_replace("value", "\r$", "").alias("line"))
+
+
+def read_lines(spark: SparkSession, paths: str | Sequence[str], **where) -> DataFrame:
+    """(source_file, line_no, line), see ``numbered_lines``."""
+    return numbered_lines(spark, paths, **where).select("source_file", "line_no", "line")
+
+
+def text_lines(spark: SparkSession, paths: str | Sequence[str], **where) -> DataFrame:
+    """(source_path, source_file, row_key, value) of splittable text files
+    (``where``: suffix, recursive).
 
     ``row_key`` orders rows as the files do: path, block of the file, place in
     the block; files are told apart by their full path."""
-    return keyed_lines(located(spark.read.text(paths if isinstance(paths, str) else list(paths))))
+    return keyed_lines(located(_text(spark, paths, **where)))
 
 
 def located(raw: DataFrame) -> DataFrame:
@@ -122,10 +145,10 @@ CNV_PVAL_SCHEMA = T.StructType([
     T.StructField("status", T.StringType())])
 
 
-def read_cnv_pvalues(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def read_cnv_pvalues(spark: SparkSession, paths: str | Sequence[str], **where) -> DataFrame:
     """CNV p-value files: header skipped, columns 0-4 by position; keeps the
     line number so "last segment wins" follows file order."""
-    lines = read_lines(spark, paths).filter(F.col("line_no") > 1)
+    lines = read_lines(spark, paths, **where).filter(F.col("line_no") > 1)
     f = F.split("line", "\t", -1)
     return lines.select(
         "source_file", "line_no",
@@ -134,10 +157,10 @@ def read_cnv_pvalues(spark: SparkSession, paths: str | Sequence[str]) -> DataFra
         F.get(f, 4).alias("status"))
 
 
-def read_ploidy(spark: SparkSession, paths: str | Sequence[str], key: str = K.PLOIDY_KEY) -> DataFrame:
+def read_ploidy(spark: SparkSession, paths: str | Sequence[str], key: str = K.PLOIDY_KEY, **where) -> DataFrame:
     """(source_file, ploidy): the ``Output_Ploidy`` value of each info file;
     the caller defaults files without one to 2."""
-    lines = read_lines(spark, paths)
+    lines = read_lines(spark, paths, **where)
     kv = F.split("line", "\t", -1)
     hit = lines.filter(F.col("line").startswith(key) & (F.size(kv) == 2))
     return hit.groupBy("source_file").agg(F.min_by(F.get(kv, 1), F.col("line_no")).alias("ploidy"))
@@ -266,10 +289,13 @@ def study_manifests(config: DataFrame) -> DataFrame:
         "manifest", "m.study_id", "m.table", "m.file_type")
 
 
-def read_forms(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Request-form text files as (form_id, line_no, line); ``form_id`` is
-    the file name, so forms sort by name like the file list does."""
-    return read_lines(spark, paths).select(F.col("source_file").alias("form_id"), "line_no", "line")
+def read_forms(spark: SparkSession, paths: str | Sequence[str], **where) -> DataFrame:
+    """Request-form text files as (form_id, form_no, line_no, line): ``form_id``
+    is the file name and ``form_no`` its place among the names in order, as
+    a sorted file list has it."""
+    lines = read_lines(spark, paths, **where).withColumnRenamed("source_file", "form_id")
+    forms = running_totals(lines.select("form_id").distinct(), group=[], order=["form_id"], before="form_no")
+    return lines.join(forms, "form_id").select("form_id", (F.col("form_no") + 1).alias("form_no"), "line_no", "line")
 
 
 def study_ids(manifests: DataFrame) -> DataFrame:

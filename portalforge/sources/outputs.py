@@ -116,7 +116,8 @@ def assemble(spark: SparkSession, folders: Sequence[str], out_dir: str) -> list[
     rows = [(name, f"{out_dir.rstrip('/')}/{name}", p[HEAD] + p[BODY]) for name, p in sorted(parts.items())]
     if not rows:
         return []
-    jobs = spark.createDataFrame(rows, "file string, target string, parts array<string>").repartition(len(rows), "file")
+    jobs = spark.createDataFrame(rows, "file string, target string, parts array<string>").repartition(
+        min(len(rows), 4 * spark.sparkContext.defaultParallelism))
     done = jobs.mapInArrow(_join_parts, "file string, target string, bytes long").collect()  # one row per file
     return sorted(r["target"] for r in done)
 
