@@ -150,11 +150,12 @@ def read_cnv_pvalues(spark: SparkSession, paths: str | Sequence[str], **where) -
     line number so "last segment wins" follows file order."""
     lines = read_lines(spark, paths, **where).filter(F.col("line_no") > 1)
     f = F.split("line", "\t", -1)
-    return lines.select(
-        "source_file", "line_no",
-        F.get(f, 0).alias("chrom"), F.get(f, 1).cast("long").alias("seg_start"),
-        F.get(f, 2).cast("long").alias("seg_end"), F.get(f, 3).cast("int").alias("cn"),
-        F.get(f, 4).alias("status"))
+
+    def field(i: int, kind: str):  # a filter on a value must not be asked of the header line
+        return F.when(F.col("line_no") > 1, F.get(f, i)).cast(kind)
+
+    return lines.select("source_file", "line_no", field(0, "string").alias("chrom"), field(1, "long").alias("seg_start"),
+                        field(2, "long").alias("seg_end"), field(3, "int").alias("cn"), field(4, "string").alias("status"))
 
 
 def read_ploidy(spark: SparkSession, paths: str | Sequence[str], key: str = K.PLOIDY_KEY, **where) -> DataFrame:
