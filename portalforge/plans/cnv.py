@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from portalforge import constants as K
 from portalforge.functions.exprs import discretize_cn
+from portalforge.operators.checks import counted, require, unique_rows
 from portalforge.operators.intervals import overlap_join
 from portalforge.operators.matrix import matrix_lines
 from portalforge.operators.ordered import keep_last, packed_order
@@ -34,7 +35,8 @@ ORDER_BITS = (31, 33, 33, 29)
 
 def cnv_to_genes(segments: DataFrame, genes: DataFrame, hugo_entrez: DataFrame, *,
                  min_len: int = K.CNV_MIN_LEN, strategy: str = "binned",
-                 order_bits: Sequence[int] | None = ORDER_BITS) -> DataFrame:
+                 order_bits: Sequence[int] | None = ORDER_BITS,
+                 counters: Observation | None = None) -> DataFrame:
     """Gene-level copy number per sample.
 
     segments: sample_id, line_no, chrom, seg_start, seg_end, cn
@@ -51,7 +53,12 @@ def cnv_to_genes(segments: DataFrame, genes: DataFrame, hugo_entrez: DataFrame,
     the hits are reduced by a hash aggregate before they are shuffled.  Fields
     wider than ``order_bits`` (a line number of 2**31, say) stop the job;
     ``order_bits=None`` orders by structs of any size instead.
+
+    ``counters`` observes ``total_cnvs`` and ``short_cnvs`` (``length_counters``)
+    on the segments as they pass.
     """
+    too_short = (F.col("seg_end") - F.col("seg_start")) < min_len
+    segments = counted(segments, counters, total_cnvs=F.count(F.lit(1)), short_cnvs=F.count_if(too_short))
     segs = segments.filter((F.col("seg_end") - F.col("seg_start")) >= min_len)
     order = ["line_no", "seg_start", "seg_end", "cn"]
     if order_bits is not None:
@@ -75,16 +82,22 @@ def cnv_to_genes(segments: DataFrame, genes: DataFrame, hugo_entrez: DataFrame,
 
 
 def sample_ploidy(samples: DataFrame, info: DataFrame | None, *,
-                  default: int = K.DEFAULT_PLOIDY) -> DataFrame:
+                  default: int = K.DEFAULT_PLOIDY, strict: bool = False,
+                  counters: Observation | None = None) -> DataFrame:
     """Attach each sample's ploidy (``info``: sample_id, ploidy); default 2.
 
-    Non-integer ploidy values fall back to the default.
+    Non-integer ploidy values fall back to the default.  Samples without an
+    info row do, too; ``counters`` observes their number (``missing_info``)
+    and ``strict`` fails the job at the first one.
     """
     if info is None:
         return samples.withColumn("ploidy", F.lit(default))
-    p = info.select("sample_id", F.col("ploidy").cast("string").alias("_p"))
-    return (samples.join(p, "sample_id", "left")
-            .withColumn("ploidy", F.coalesce(F.expr("try_cast(_p as int)"), F.lit(default)))
+    p = info.select("sample_id", F.col("ploidy").cast("string").alias("_p"), F.lit(True).alias("_info"))
+    rows = samples.join(p, "sample_id", "left")
+    rows = counted(rows, counters, missing_info=F.count_if(F.col("_info").isNull()))
+    if strict:
+        rows = require(rows, F.col("_info").isNotNull(), "no info file for specimen ", F.col("sample_id"))
+    return (rows.drop("_info").withColumn("ploidy", F.coalesce(F.expr("try_cast(_p as int)"), F.lit(default)))
             .drop("_p"))
 
 
@@ -128,10 +141,18 @@ def cnv_cells_long(gene_cn: DataFrame, samples: DataFrame, *, project: str = "Cb
 
 def duplicate_cells(gene_rows: DataFrame, keys: Sequence[str] = ("Cbio_project", "Cbio_Tumor_Name", "Hugo_Symbol")) -> DataFrame:
     """Cells that gene files give more than once (``n`` times) -- an input error
-    when several files carry one tumour name.  To be asked before last-wins."""
+    when several files carry one tumour name.  To be asked before last-wins;
+    ``gene_cells`` asks inside the run."""
     return gene_rows.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
 
 
+def gene_cells(gene_rows: DataFrame, keys: Sequence[str] = ("sample_id", "Hugo_Symbol"), *, value: str = "copy_number",
+               strict: bool = True, counters: Observation | None = None) -> DataFrame:
+    """One cell per ``keys`` from the rows of gene files; a cell that is given
+    more than once fails the job (``strict``) or is counted (``repeated``)."""
+    return unique_rows(gene_rows, keys, [value], what="gene copy number", strict=strict, counters=counters)
+
+
 def merge_segments(segments: DataFrame, names: DataFrame | None = None) -> DataFrame:
     """Merged segment table: ID := sample name, every ``chr`` removed.
 

@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from portalforge import constants as K
+from portalforge.operators.checks import counted, require
 from portalforge.functions.exprs import split_part0
 from portalforge.operators.ordered import ordered_join
 
@@ -163,14 +164,21 @@ def sample_lookup(manifest: DataFrame, order: Sequence[str] = ("T_CL_BS_ID", "Fi
                  .alias("Cbio_Tumor_Name")))
 
 
-def panel_fusions(panel: DataFrame, lookup: DataFrame, *, merged_form: bool = True) -> DataFrame:
+def panel_fusions(panel: DataFrame, lookup: DataFrame, *, merged_form: bool = True, strict: bool = False,
+                  counters: Observation | None = None) -> DataFrame:
     """Curated panel fusions in the portal layout: Method := DGD_curated,
     Tumor_Sample_Barcode := the specimen's tumour name.  The pre-merged form
     lacks Entrez_Gene_Id, which is inserted blank.  Unknown specimens are
-    left out (see ``panel_fusion_violations``)."""
+    left out (see ``panel_fusion_violations``); ``counters`` observes how many
+    rows that are (``unknown_specimens``) and ``strict`` fails the job."""
     rows = panel if not merged_form else panel.withColumn("Entrez_Gene_Id", F.lit(""))
+    checked = strict or counters is not None
     j = rows.join(lookup.select(F.col("T_CL_BS_ID").alias("_s"), "Cbio_Tumor_Name"),
-                  rows["Tumor_Sample_Barcode"] == F.col("_s"), "inner")
+                  rows["Tumor_Sample_Barcode"] == F.col("_s"), "left" if checked else "inner")
+    if checked:
+        known = F.col("_s").isNotNull()
+        j = counted(j, counters, unknown_specimens=F.count_if(~known))
+        j = require(j, known, "panel specimen not in the manifest: ", F.col("Tumor_Sample_Barcode")) if strict else j.filter(known)
     j = (j.withColumn("Method", F.lit(K.PANEL_FUSION_METHOD))
          .withColumn("Tumor_Sample_Barcode", F.col("Cbio_Tumor_Name")))
     return j.select(*K.FUSION_COLUMNS)

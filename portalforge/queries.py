@@ -287,6 +287,29 @@ def expression_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zscores_of(Models.of(spark, sf_dir))
 
 
+def _expression_by_project(m: Models) -> DataFrame:
+    """Expression rows with their project; the manifest's one project is cut
+    into three by the specimen's number."""
+    columns = matrix_columns(m.file_manifest, "rsem")
+    part = F.substring("sample_id", 4, 20).cast("long") % 3
+    names = columns.select(F.concat_ws("_", "Cbio_project", part.cast("string")).alias("Cbio_project"),
+                           F.col("Cbio_Tumor_Name").alias("sample"), "sample_id").distinct()
+    return m.b.v_expr.join(names, F.col("specimen_id") == F.col("sample_id")).select("Cbio_project", "sample", "gene_id", "fpkm")
+
+
+@register
+def expression_by_project(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expression matrix cells with the representative genes of each project."""
+    return expression.expression_matrix(_expression_by_project(Models.of(spark, sf_dir)), by=["Cbio_project"])
+
+
+@register
+def zscore_by_project(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """z-scores within each project."""
+    rows = _expression_by_project(Models.of(spark, sf_dir))
+    return expression.expression_zscore(expression.expression_matrix(rows, by=["Cbio_project"]), rows, by=["Cbio_project"])
+
+
 def maf_records(b: Bindings, panel: bool) -> DataFrame:
     m = b.v_maf.filter(F.col("is_panel") == F.lit(panel))
     known = {"Hugo_Symbol": F.col("hugo_symbol"), "Variant_Classification": F.col("variant_classification"),
