@@ -14,14 +14,16 @@ a task passes on at most k tied ids of a query, which are the only ones that
 can be among the k smallest.
 
 Queries are handled in blocks of ``block`` rows, whose matrix is broadcast: its
-size is bounded by the parameter.  Candidates are streamed from the scan.
+size is bounded by the parameter.  A block's answer is stored and its broadcasts
+are dropped before the next block starts.  Candidates are streamed from the scan.
 
 Defined cases: vectors that are null, or hold null or non-finite components,
 and rows without an id take no part; shorter vectors count as padded with
 zeros; rows that repeat an id are each a candidate, but no row answers a query
 of its own id, and a query id asks once (with its greatest usable vector);
 queries with fewer than k candidates return all; empty tables return nothing.
-Scores beyond 63 bits raise an error.
+Components and partial sums may be of any size; only a score among the k best
+of a query that does not fit 63 bits raises an error.
 """
 
 from __future__ import annotations
@@ -38,6 +40,7 @@ BLOCK = 4096  # queries scored together; BLOCK x dimension doubles are broadcast
 CHUNK = 1024  # candidates scored together
 SCALE = 256
 EXACT = float(2 ** 53)
+FULL = 2 ** 63 - 1
 
 
 def _matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -59,17 +62,35 @@ def _matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _scores(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Exact integer inner products; doubles where they are exact."""
+    """Integer inner products, exact where they fit 63 bits; others are set to
+    the nearest bound (``FULL``) and so rank where they belong."""
     d = min(queries.shape[1], vectors.shape[1])
     q, v = queries[:, :d], vectors[:, :d]
     if not d or not len(v):
         return np.zeros((len(q), len(v)), np.int64)
-    bound = np.abs(q).max() * np.abs(v).max() * d
-    if bound < EXACT:
-        return (q @ v.T).astype(np.int64)
-    if bound >= 2.0 ** 63:
-        raise ValueError("inner products exceed 63 bits")
-    return q.astype(np.int64) @ v.astype(np.int64).T
+    with np.errstate(all="ignore"):
+        bound = np.outer(np.abs(q).max(axis=1), np.abs(v).max(axis=1)) * d
+        dots = q @ v.T  # exact for the pairs below EXACT
+    if bound.max() < EXACT:
+        return dots.astype(np.int64)
+    out = np.where(bound < EXACT, dots, 0).astype(np.int64)
+    wide = (bound >= EXACT) & (bound < 2.0 ** 62)
+    if wide.any():
+        r, c = np.flatnonzero(wide.any(axis=1)), np.flatnonzero(wide.any(axis=0))
+        fits = (np.abs(q[r]) < 2.0 ** 62).all(axis=1)[:, None] & (np.abs(v[c]) < 2.0 ** 62).all(axis=1)[None, :]
+        small = np.where(np.abs(q[r]) < 2.0 ** 62, q[r], 0).astype(np.int64) @ np.where(np.abs(v[c]) < 2.0 ** 62, v[c], 0).astype(np.int64).T
+        cell = wide[np.ix_(r, c)] & fits
+        part = out[np.ix_(r, c)]
+        part[cell] = small[cell]
+        out[np.ix_(r, c)] = part
+        wide[np.ix_(r, c)] &= ~fits
+    whole = {}
+    for i, j in zip(*np.nonzero(wide | (bound >= 2.0 ** 62))):  # beyond 62 bits: whole numbers of any size
+        for m, k, x in ((0, i, q), (1, j, v)):
+            if (m, k) not in whole:
+                whole[m, k] = [int(y) for y in x[k]]
+        out[i, j] = max(min(sum(a * b for a, b in zip(whole[0, i], whole[1, j])), FULL), -FULL)
+    return out
 
 
 def _candidates(batches, id_column: str, vector_column: str):
@@ -88,9 +109,14 @@ def _plain(column):
     return pa.concat_arrays([column]) if column.offset else column
 
 
+def _apart(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """high - low >= 0, which may need all 64 bits."""
+    return high.astype(np.uint64) - low.astype(np.uint64)
+
+
 def _bin_edges(low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Bin width per query so that BINS bins cover low..high."""
-    return (high - low) // BINS + 1
+    return np.where(high > low, _apart(high, low), np.uint64(0)) // np.uint64(BINS) + np.uint64(1)
 
 
 def top_k(vectors: DataFrame, *, k: int = 5, every: int = 50, id_column: str = "vec_id",
@@ -172,7 +198,7 @@ def _block_top_k(rows: DataFrame, asked: DataFrame, k: int) -> DataFrame | None:
                 s = _scores(q[picked], vectors)
                 inside = (s >= lo[picked, None]) & (s <= hi[picked, None]) & (q_ids[picked, None] != c_ids[None, :])
                 r, c = np.nonzero(inside)
-                cell = r * BINS + (s[r, c] - lo[picked][r]) // st[picked][r]
+                cell = r * BINS + (_apart(s[r, c], lo[picked][r]) // st[picked][r]).astype(np.int64)
                 counts += np.bincount(cell, minlength=counts.size).reshape(counts.shape)
             r, b = np.nonzero(counts)
             yield pa.RecordBatch.from_pydict({"q": pa.array(picked[r], pa.int32()), "bin": pa.array(b, pa.int32()), "n": counts[r, b]})
@@ -183,10 +209,12 @@ def _block_top_k(rows: DataFrame, asked: DataFrame, k: int) -> DataFrame | None:
         above = counts[:, ::-1].cumsum(axis=1)[:, ::-1]  # scores in this bin or a higher one
         target = BINS - 1 - np.argmax(above[:, ::-1] >= wanted[:, None], axis=1)  # highest bin that reaches k
         higher = np.where(target + 1 < BINS, above[np.arange(len(ids)), np.minimum(target + 1, BINS - 1)], 0)
-        new_low = low + target * step
+        new_low = (low.astype(np.uint64) + target.astype(np.uint64) * step).astype(np.int64)
         wanted = np.where(open_, wanted - higher, wanted)
-        high = np.where(open_, np.minimum(high, new_low + step - 1), high)
+        new_high = (new_low.astype(np.uint64) + np.minimum(_apart(high, new_low), step - np.uint64(1))).astype(np.int64)
+        high = np.where(open_, new_high, high)
         low = np.where(open_, new_low, low)
+        now.destroy()
 
     limits = spark.sparkContext.broadcast((low, wanted))
 
@@ -209,11 +237,17 @@ def _block_top_k(rows: DataFrame, asked: DataFrame, k: int) -> DataFrame | None:
             keep = np.arange(len(tie_q)) - first < ties_wanted[tie_q]
             tie_q, tie_id = tie_q[keep], tie_id[keep]
         r = np.concatenate([*out_q, tie_q]).astype(np.int64)
+        best = np.concatenate([*out_s, kth[tie_q]]).astype(np.int64)
+        if (np.abs(np.where(best == -FULL - 1, -FULL, best)) == FULL).any():
+            raise ValueError("an inner product among the best of a query exceeds 63 bits")
         yield pa.RecordBatch.from_pydict({
             "query_id": q_ids[r], "vec_id": np.concatenate([*out_id, tie_id]).astype(np.int64),
-            "score": np.concatenate([*out_s, kth[tie_q]]).astype(np.int64)})
+            "score": best})
 
     won = rows.mapInArrow(winners, "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return won.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(
-        "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    found = stored(won.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(
+        "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"), "topk-block")
+    shared.destroy()
+    limits.destroy()
+    return found

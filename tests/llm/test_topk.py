@@ -62,3 +62,37 @@ def test_large_components_stay_exact(spark):
     rows = [(i, [float(2 ** 18 + i * 3), float(2 ** 19 - i)]) for i in range(120)]
     df = spark.createDataFrame([(i, v, None, None) for i, v in rows], SCHEMA)
     assert sorted(map(tuple, topk.top_k(df).collect())) == brute(rows, 5)
+
+
+def test_only_a_score_that_does_not_fit_is_an_error(spark):
+    """Large components whose products fit, sums that cancel, and one outlier."""
+    double = SCHEMA.replace("float", "double")
+    rows = [(0, [1e7, 0.0]), (50, [0.0, 1e7]), (3, [1e7, 1e7]), (100, [1e15, -1e15]), (7, [1e15, 1e15]), (8, [2.0 ** 45, 1.0])]
+    df = spark.createDataFrame([(i, v, None, None) for i, v in rows], double)
+    got = sorted(map(tuple, topk.top_k(df.filter("vec_id in (0, 50, 3)")).collect()))
+    assert got == brute([r for r in rows if r[0] in (0, 50, 3)], 5)
+    with pytest.raises(Exception, match="exceeds 63 bits"):
+        topk.top_k(df).collect()
+    # the product that does not fit is no answer: five better ones fit
+    rows = [(0, [1e15, 1.0]), (9, [-1e15, 0.0])] + [(i, [i / 256, 2.0]) for i in range(1, 8)]
+    df = spark.createDataFrame([(i, v, None, None) for i, v in rows], double)
+    assert sorted(map(tuple, topk.top_k(df).collect())) == brute(rows, 5)
+
+
+def test_scores_over_the_whole_range_of_longs(spark):
+    draw = random.Random(3)
+    rows = [(i, [draw.choice([-1, 1]) * draw.uniform(0, 5e6) for _ in range(3)]) for i in range(150)]
+    df = spark.createDataFrame([(i, v, None, None) for i, v in rows], SCHEMA.replace("float", "double"))
+    assert sorted(map(tuple, topk.top_k(df, k=4).collect())) == brute(rows, 4)
+
+
+def test_no_broadcast_outlives_its_block(spark, monkeypatch):
+    made = []
+    original = spark.sparkContext.broadcast
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda value: made.append(original(value)) or made[-1])
+    draw = random.Random(8)
+    rows = [(i, _vector(draw)) for i in range(400)]
+    df = spark.createDataFrame([(i, v, None, None) for i, v in rows], SCHEMA)
+    out = topk.top_k(df, block=2)
+    assert len(made) > 8 and all(not b._jbroadcast.isValid() for b in made)
+    assert sorted(map(tuple, out.collect())) == brute(rows, 5)
