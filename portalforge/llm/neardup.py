@@ -154,9 +154,9 @@ def _sign(batches):
         has = np.array([len(h) > 0 for h, _ in sets])
         ends = np.concatenate(([0], np.cumsum(has * BANDS))).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(keys[:, 0].copy()), pa.array(keys[:, 1].copy()),
+            [batch.column(0), batch.column(2), pa.array(keys[:, 0].copy()), pa.array(keys[:, 1].copy()),
              pa.ListArray.from_arrays(ends, pa.array(bucket[has].reshape(-1).astype(np.int64)))],
-            names=["doc_id", "key1", "key2", "buckets"])
+            names=["doc_id", "exact", "key1", "key2", "buckets"])
 
 
 def _check_followers(batches):
@@ -265,35 +265,37 @@ def _across(members: DataFrame, known: DataFrame, texts: DataFrame) -> DataFrame
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id -> class_id (smallest id of the class); every row of ``docs``."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    given = rows.filter("doc_id IS NOT NULL AND text IS NOT NULL")
-    signed = stored(given.mapInArrow(_sign, "doc_id long, key1 long, key2 long, buckets array<long>"), "neardup-signed")
-    distinct = signed.groupBy("key1", "key2").agg(F.min("doc_id").alias("node"), F.first("buckets").alias("buckets"))
-    in_bucket = stored(distinct.select("node", "key1", "key2", F.explode_outer("buckets").alias("bucket")), "neardup-buckets")
-    nodes = in_bucket.select("key1", "key2", "node").distinct()
-
-    spots = in_bucket.filter("bucket IS NOT NULL").select("bucket", "node").distinct()
+    given = rows.filter("doc_id IS NOT NULL AND text IS NOT NULL").withColumn("exact", F.unhex(F.md5("text")))
+    signed = stored(given.select("doc_id", "text", "exact").mapInArrow(
+        _sign, "doc_id long, exact binary, key1 long, key2 long, buckets array<long>"), "neardup-signed")
+    # A node is a text; one row that holds it stands for it.
+    distinct = signed.groupBy("key1", "key2").agg(F.min(F.struct("doc_id", "exact")).alias("row"), F.first("buckets").alias("buckets"))
+    distinct = stored(distinct.select(F.monotonically_increasing_id().alias("node"), "key1", "key2", "row.*", "buckets"), "neardup-nodes")
+    nodes = distinct.select("node", "key1", "key2")
+
+    spots = distinct.select("node", F.explode("buckets").alias("bucket")).distinct()
     shared = spots.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("size")).filter("size > 1")
     members = stored(spots.join(shared, "bucket"), "neardup-members")
     pairs = stored(members.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "neardup-pairs")
-    wanted = members.select("node").distinct()
-    texts = stored(given.join(wanted, F.col("doc_id") == F.col("node")).select("node", "text").groupBy("node").agg(
-        F.max("text").alias("text")), "neardup-texts")
+    wanted = distinct.select("node", "doc_id", "exact").join(members.select("node").distinct(), "node")
+    texts = stored(given.join(wanted, ["doc_id", "exact"]).groupBy("node").agg(F.max("text").alias("text")), "neardup-texts")
 
     links = stored(_verified(pairs, texts), "neardup-links")
-    # rows that repeat an id with other texts link the texts' nodes
-    repeated = signed.join(nodes, ["key1", "key2"]).filter("doc_id <> node").select(
-        F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    repeated = repeated.join(nodes.select(F.col("node").alias("a")), "a", "left_semi")
-    links = links.unionByName(repeated)
+    # the texts of one id are linked, each to the least of them
+    held = stored(signed.select("doc_id", "key1", "key2").distinct().join(nodes, ["key1", "key2"]).select("doc_id", "node"), "neardup-held")
+    least = held.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a < z")
+    links = links.unionByName(held.join(least.select("doc_id", "a"), "doc_id").select("a", F.col("node").alias("b")))
     known = stored(components(links), "neardup-components")
     more = stored(_across(members, known, texts), "neardup-more")
     if not more.isEmpty():
         known = components(links.unionByName(more))
 
-    named = signed.select("doc_id", "key1", "key2").distinct().join(nodes, ["key1", "key2"]).join(known, "node", "left").groupBy("doc_id").agg(
-        F.min(F.coalesce("component", "node")).alias("found"))
-    return rows.select("doc_id").join(named, "doc_id", "left").select(
-        "doc_id", F.coalesce("found", "doc_id").alias("class_id"))
+    of = stored(held.join(known, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component")).distinct(), "neardup-of")
+    names = of.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n")).filter("n > 1")
+    named = of.join(stored(names.select("component", "class_id"), "neardup-names"), "component").select(
+        F.col("doc_id").alias("id"), "class_id")
+    return rows.select("doc_id").join(named, F.col("doc_id") == F.col("id"), "left").select(
+        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
 
 
 def representatives(docs: DataFrame) -> DataFrame:

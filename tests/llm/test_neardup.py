@@ -102,3 +102,27 @@ def test_defined_cases(awkward, clashing):
     assert sorted(x for x in ids if x is not None) == sorted(set(want.values()))
     assert sum(x is None for x in ids) == 2
     assert neardup.classes(awkward.limit(0)).count() == 0
+
+
+def test_every_text_of_a_repeated_id_is_compared_and_links_its_id(documents):
+    """A near copy of either text of an id; two texts that meet in an id only."""
+    draw = random.Random(12)
+    a, b, c, d = ([f"{x}{draw.randrange(10 ** 5)}" for _ in range(120)] for x in "abcd")
+    texts = {x: " ".join(w) for x, w in zip("ABCD", (a, b, c, d))}
+    near = {x: _edited(draw, w, 1) for x, w in zip("AB", (a, b))}
+    for rows in ([(1, texts["A"]), (1, texts["B"]), (2, near["A"]), (3, near["B"]), (4, texts["C"])],
+                 [(5, texts["A"]), (5, texts["B"]), (1, texts["A"]), (2, texts["B"]), (9, texts["C"])],
+                 [(7, texts["A"]), (7, texts["C"]), (8, texts["C"]), (8, texts["B"]), (6, near["B"]), (6, texts["D"]), (3, texts["D"])],
+                 [(7, texts["A"])] * 3 + [(7, texts["A"].upper()), (2, texts["A"]), (7, None), (7, "")]):
+        docs = documents([(i, t, "en", "s") for i, t in rows])
+        want = brute(rows)
+        got = neardup.classes(docs).collect()
+        assert len(got) == len(rows) and {r.doc_id: r.class_id for r in got} == want
+        kept = sorted(r.doc_id for r in neardup.representatives(docs).collect())
+        assert kept == sorted(set(want.values()))
+
+
+def test_an_id_with_very_many_texts_is_one_class(documents):
+    rows = [(5, " ".join(f"w{i}x{j}" for j in range(8))) for i in range(300)] + [(1, rows_text) for rows_text in [" ".join(f"w7x{j}" for j in range(8))]]
+    got = neardup.classes(documents([(i, t, "en", "s") for i, t in rows])).collect()
+    assert {(r.doc_id, r.class_id) for r in got} == {(5, 1), (1, 1)}
