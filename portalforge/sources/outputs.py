@@ -60,6 +60,46 @@ def _hadoop(spark: SparkSession, path: str):
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
 
 
+def read_record(spark: SparkSession, path: str) -> str:
+    """The text of a small record, empty if there is none."""
+    fs, place = _hadoop(spark, path)
+    if not fs.exists(place):
+        return ""
+    stream = fs.open(place)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def claim_record(spark: SparkSession, record: str, text: str) -> bool:
+    """Create a small record; False if another writer created it first."""
+    fs, place = _hadoop(spark, record)
+    fs.mkdirs(place.getParent())
+    if urlsplit(record).scheme in ("", "file"):
+        try:
+            handle = os.open(urlsplit(record).path, os.O_CREAT | os.O_EXCL | os.O_WRONLY)
+        except FileExistsError:
+            return False
+        with os.fdopen(handle, "w") as out:
+            out.write(text)
+        return True
+    try:
+        stream = fs.create(place, False)
+    except Exception:
+        if fs.exists(place):
+            return False
+        raise
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    return True
+
+
+def record_names(spark: SparkSession, folder: str) -> list[str]:
+    """Paths of the records in a folder, in name order."""
+    return _children(spark, folder)
+
+
 def _children(spark: SparkSession, path: str) -> list[str]:
     fs, place = _hadoop(spark, path)
     return sorted(x.getPath().toString() for x in fs.listStatus(place)) if fs.exists(place) else []
@@ -149,48 +189,15 @@ class MergedOutput:
     def _record(self, batch_id: str) -> str:
         return f"{self.folder}/ledger/{batch_id}"
 
-    def _read(self, path: str) -> str:
-        fs, place = _hadoop(self.spark, path)
-        if not fs.exists(place):
-            return ""
-        stream = fs.open(place)
-        try:
-            return self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-
     def ledger(self) -> list[tuple[int, str, str]]:
         """(number, batch id, parts folder) of every committed batch, in order."""
         found = []
         for path in _children(self.spark, f"{self.folder}/ledger"):
-            number, _, parts = self._read(path).partition(" ")
+            number, _, parts = read_record(self.spark, path).partition(" ")
             if parts:
                 found.append((int(number), unquote(os.path.basename(path)), parts))
         return sorted(found)
 
-    def _claim(self, batch_id: str, text: str) -> bool:
-        """Create the batch's record; False if another writer was first."""
-        record = self._record(batch_id)
-        fs, place = _hadoop(self.spark, record)
-        fs.mkdirs(place.getParent())
-        if urlsplit(record).scheme in ("", "file"):
-            try:
-                handle = os.open(urlsplit(record).path, os.O_CREAT | os.O_EXCL | os.O_WRONLY)
-            except FileExistsError:
-                return False
-            with os.fdopen(handle, "w") as out:
-                out.write(text)
-            return True
-        try:
-            stream = fs.create(place, False)
-        except Exception:
-            if fs.exists(place):
-                return False
-            raise
-        stream.write(bytearray(text.encode()))
-        stream.close()
-        return True
-
     def _headings(self, folder: str) -> dict[str, list[str]]:
         """The heading lines of each file (a few short lines a file)."""
         found = {}
@@ -216,7 +223,7 @@ class MergedOutput:
         for name, heading in self._headings(parts).items():
             if known.get(name, heading) != heading:
                 raise ValueError(f"{name}: the batch {batch_id!r} has another heading than the file")
-        return self._claim(batch_id, f"{len(before) + 1} {parts}")
+        return claim_record(self.spark, self._record(batch_id), f"{len(before) + 1} {parts}")
 
     def assemble(self, out_dir: str) -> list[str]:
         """The files of all committed batches; returns their paths."""
