@@ -4,11 +4,12 @@ maintained by signed changes.
 An event is a signed statement about one document under one tokenizer
 version: ``insert`` adds its count, ``delete`` takes it back, ``revise`` moves
 from ``old_tokens`` to ``n_tokens``.  Events of a batch are added up per
-(source, lang, tokenizer) and only these sums are written, one folder per
-batch id.  Because the sums are additive, totals are the sum over committed
-batches in any order.  A batch counts once its folder holds Spark's _SUCCESS
-file; committing an id again does nothing, and a batch whose writer died is
-simply written anew, so retries and replays cannot count twice.
+(source, lang, tokenizer) and only these sums are written.  Because the sums are
+additive, totals are the sum over committed batches in any order, and any of
+them can be put into one snapshot.  A batch counts from the moment its record
+is created in the ledger; committing an id again does nothing, and a batch
+whose writer died is simply written anew, so retries, replays and concurrent
+drivers cannot count twice.
 
 Tokenizers are regular expressions counted inside Spark, or a public BPE
 vocabulary read from a path that the caller gives (never copied here).
@@ -23,6 +24,8 @@ nothing.
 from __future__ import annotations
 
 import base64
+import json
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,7 +33,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from portalforge.llm.common import WORD_REGEX
+from portalforge.llm.common import WORD_REGEX, stored
+from portalforge.sources.outputs import claim_record, read_record, record_names
 
 KEYS = ("source", "lang", "tokenizer")
 
@@ -86,7 +90,14 @@ def signed_sums(events: DataFrame) -> DataFrame:
 
 
 class Rollup:
-    """Totals kept as one folder of signed sums per committed batch."""
+    """Totals kept as signed sums per committed batch, below ``folder``:
+
+    ``sums/<uuid>``       the sums of one batch, or of a snapshot
+    ``ledger/<batch id>`` created once, names the sums of a committed batch
+    ``snapshots/<n>``     created once, names sums and the batches in them
+
+    A record is created after what it names is written, by one writer only, so
+    a batch counts wholly or not at all however many drivers deliver it."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
@@ -96,29 +107,58 @@ class Rollup:
         place = jvm.org.apache.hadoop.fs.Path(path)
         return place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), place
 
+    def _write(self, sums: DataFrame) -> str:
+        path = f"{self.folder}/sums/{uuid.uuid4().hex}"
+        sums.write.parquet(path)
+        return path
+
     def committed(self, batch_id: str) -> bool:
-        fs, place = self._fs(f"{self.folder}/batch={batch_id}/_SUCCESS")
-        return fs.exists(place)
+        return bool(read_record(self.spark, f"{self.folder}/ledger/{batch_id}"))
 
     def commit(self, batch_id: str, events: DataFrame) -> bool:
         """Add a batch once; False when its id was committed before."""
         if self.committed(batch_id):
             return False
-        signed_sums(events).write.mode("overwrite").parquet(f"{self.folder}/batch={batch_id}")
-        return True
+        return claim_record(self.spark, f"{self.folder}/ledger/{batch_id}", self._write(signed_sums(events)))
+
+    def batches(self) -> dict[str, str]:
+        """Committed batch id -> its sums."""
+        paths = record_names(self.spark, f"{self.folder}/ledger")
+        found = {path.rsplit("/", 1)[1]: read_record(self.spark, path) for path in paths}
+        return {name: sums for name, sums in found.items() if sums}
+
+    def _state(self) -> tuple[int, list[str], list[str]]:
+        """Number of the last snapshot, the batches in it, and all sums that
+        make up the totals."""
+        number, covered, parts = 0, [], []
+        for path in record_names(self.spark, f"{self.folder}/snapshots"):
+            text = read_record(self.spark, path)
+            n = int(path.rsplit("/", 1)[1])
+            if text and n > number:
+                saved = json.loads(text)
+                number, covered, parts = n, saved["batches"], [saved["sums"]]
+        rest = {name: sums for name, sums in self.batches().items() if name not in set(covered)}
+        return number, sorted([*covered, *rest]), [*parts, *rest.values()]
+
+    def compact(self) -> bool:
+        """Put the sums of all committed batches into one snapshot, so totals
+        read one folder; False if another writer was first.  The batches stay
+        in the ledger, and so count once for ever."""
+        number, batches, parts = self._state()
+        if len(parts) < 2:
+            return False
+        record = json.dumps({"sums": self._write(self._added(parts)), "batches": batches})
+        return claim_record(self.spark, f"{self.folder}/snapshots/{number + 1:09d}", record)
 
-    def batches(self) -> list[str]:
-        fs, place = self._fs(f"{self.folder}/batch=*/_SUCCESS")
-        found = fs.globStatus(place) or []
-        return sorted(x.getPath().getParent().toString() for x in found)
+    def _added(self, parts: list[str]) -> DataFrame:
+        sums = self.spark.read.schema(SUMS).parquet(*parts)
+        return sums.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
 
     def totals(self) -> DataFrame:
-        paths = self.batches()
-        if not paths:
+        parts = self._state()[2]
+        if not parts:
             return self.spark.createDataFrame([], SUMS)
-        sums = self.spark.read.schema(SUMS).parquet(*paths)
-        return sums.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")) \
-            .filter("n_docs <> 0 OR n_tokens <> 0")
+        return self._added(parts).filter("n_docs <> 0 OR n_tokens <> 0")
 
 
 def counted_documents(docs: DataFrame) -> DataFrame:
@@ -142,7 +182,9 @@ def document_events(counted: DataFrame) -> dict[str, DataFrame]:
         F.lit(op).alias("op"), "source", "lang", F.lit(name).alias("tokenizer"), F.col(n).alias("n_tokens"),
         (F.col(old) if old else F.lit(None).cast("long")).alias("old_tokens"))
     first = counted.groupBy("text_key").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
-    shared = first.filter("copies > 1 AND text_key IS NOT NULL")
+    # stored, so that the joins below are not tied to the aggregate's partitions:
+    # a text in a third of all documents is split, or the table is broadcast
+    shared = stored(first.filter("copies > 1 AND text_key IS NOT NULL"), "token-copies")
     copies = counted.join(shared, "text_key", "inner").filter("doc_id > first_id")
     kept = counted.join(shared, "text_key", "left").filter("first_id IS NULL OR doc_id IS NULL OR doc_id <= first_id")
     return {

@@ -93,3 +93,28 @@ def test_public_vocabulary(spark, awkward):
     got = tc.bpe_tokens(awkward.filter("doc_id <> 5 AND doc_id <> 6"), path, vocabulary.PATTERN).collect()
     for r in got:
         assert r.n_tokens == len(enc.encode_ordinary(r.text or ""))
+
+
+def test_snapshots_keep_totals_and_what_was_committed(spark):
+    roll = _rollup(spark)
+    event = lambda n: spark.createDataFrame([("insert", "a", "en", "v", n, None)], EVENT)
+    assert not roll.compact()
+    for i in range(3):
+        roll.commit(f"b{i}", event(10 ** i))
+    assert roll.compact() and len(roll._state()[2]) == 1
+    assert _totals(roll) == {("a", "en", "v"): (3, 111)}
+    assert not roll.commit("b1", event(7)) and roll.commit("b3", event(1000))
+    assert len(roll._state()[2]) == 2 and not tc.Rollup(spark, roll.folder).commit("b0", event(7))
+    assert _totals(roll) == {("a", "en", "v"): (4, 1111)}
+    assert roll.compact() and not roll.compact()
+    assert _totals(roll) == {("a", "en", "v"): (4, 1111)}
+
+
+def test_two_drivers_with_one_batch(spark, monkeypatch):
+    """Both look before either commits: one record, one count."""
+    one = _rollup(spark)
+    two = tc.Rollup(spark, one.folder)
+    events = spark.createDataFrame([("insert", "a", "en", "v", 3, None)], EVENT)
+    monkeypatch.setattr(tc.Rollup, "committed", lambda self, batch_id: False)
+    assert [one.commit("x", events), two.commit("x", events)] == [True, False]
+    assert _totals(two) == {("a", "en", "v"): (1, 3)}
