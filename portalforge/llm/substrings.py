@@ -170,7 +170,8 @@ def copied_runs(rows: DataFrame, packed: DataFrame) -> DataFrame:
     """Runs of copied windows: id, key, start, count, ref_id, ref_start."""
     blocks = stored(rows.filter("text IS NOT NULL").mapInArrow(
         _blocks, "id long, key long, anchor long, block long, start int, count int"), "substring-blocks")
-    often = blocks.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    # stored, so that the join below is free to split an anchor that occurs in very many places
+    often = stored(blocks.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"), "substring-often")
     indexed = stored(blocks.join(often, "anchor", "left_semi"), "substring-index")
 
     place = F.struct("id", "start", "key", "count")
@@ -198,7 +199,7 @@ def copied_runs(rows: DataFrame, packed: DataFrame) -> DataFrame:
     ref = F.when(own, F.col("hi")).otherwise(F.col("lo"))
     ends = ends.select("id", "key", F.col("at").alias("start"), F.lit(1).alias("count"),
                        ref["id"].alias("ref_id"), ref["at"].alias("ref_start"))
-    return full.unionByName(ends)
+    return full.unionByName(ends).distinct()  # equal rows (id and text) have equal runs
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:

@@ -57,3 +57,16 @@ def test_defined_cases(awkward, clashing):
 
 def test_real_documents(spark):
     _compare(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+
+
+def test_a_row_repeated_many_times_has_its_runs_once(spark, documents):
+    """Rows of one id and text, or of none, are as cheap as copies under ids of their own."""
+    from pyspark.sql import functions as F
+    text = " ".join(f"w{i}" for i in range(600))
+    other = " ".join(f"v{i}" for i in range(100)) + " " + text[:300]
+    docs = documents([(None, text, "en", "s")] * 150 + [(4, text, "en", "s")] * 150 + [(5, other, "en", "s")])
+    _compare(docs)
+    rows = docs.select(F.coalesce("doc_id", F.lit(-1)).alias("id"), F.xxhash64("text").alias("key"), "text")
+    packed = rows.mapInArrow(substrings._pack, "id long, key long, packed binary")
+    per_document = substrings.copied_runs(rows, packed).groupBy("id", "key").count().agg(F.max("count")).first()[0]
+    assert per_document <= 600
