@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
 import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
@@ -21,13 +24,17 @@ WORD_REGEX = r"[^\x20\x09-\x0D]+"
 
 # Text handed to one numpy step; bounds a worker's memory whatever the batch holds.
 SLICE_BYTES = 1 << 20
+MAPPED_BYTES = 4 << 20  # buffers of this size or more are mapped by themselves
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share (``spark.checkpoint.dir``); where the
-    setting is missing, as in tests, a fresh folder of this machine."""
+    setting is missing and the session runs on this machine alone, as in tests,
+    a fresh folder of it."""
     base = checkpoint_dir(spark)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="llm-shared-")
         spark.sparkContext.setCheckpointDir(base)
         base = checkpoint_dir(spark)
@@ -59,6 +66,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@lru_cache(maxsize=1)
+def _libc():
+    """The C library of this process, told to map large buffers by themselves,
+    so that they leave the process when they are freed (None where it differs)."""
+    try:
+        libc = ctypes.CDLL(ctypes.util.find_library("c") or "libc.so.6")
+        libc.mallopt(-3, MAPPED_BYTES)  # M_MMAP_THRESHOLD
+        return libc
+    except (OSError, AttributeError):
+        return None
+
+
+def give_back() -> None:
+    """Return freed buffers to the machine.  Workers are kept from stage to
+    stage; without this each would hold on to its largest stage's memory."""
+    pa.default_memory_pool().release_unused()
+    libc = _libc()
+    if libc is not None:
+        libc.malloc_trim(0)
+
+
 def text_bytes(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(utf-8 bytes, n+1 offsets) of a string column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -88,12 +116,15 @@ def row_slices(offsets: np.ndarray, max_bytes: int = SLICE_BYTES) -> Iterator[tu
 
 def text_slices(batches, column: str = "text", max_bytes: int = SLICE_BYTES, lower: bool = False):
     """(batch slice, bytes, offsets) over Arrow batches, each of bounded text."""
+    _libc()
     for batch in batches:
         col = batch.column(batch.schema.get_field_index(column))
         raw, offsets = text_bytes(col, lower)
         for lo, hi in row_slices(offsets, max_bytes):
             yield (batch.slice(lo, hi - lo), raw[offsets[lo]:offsets[hi]],
                    offsets[lo:hi + 1] - offsets[lo])
+        del batch, col, raw, offsets
+        give_back()
 
 
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
