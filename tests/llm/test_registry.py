@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(registry.ORACLE))
 def test_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = registry.QUERIES[name](spark, SF)
     want = con.execute(registry.ORACLE[name]).fetchall()
@@ -28,13 +28,20 @@ def test_equals_sql(spark, name):
 
 def test_every_operator_is_registered():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert any(x.startswith(f"op{n}_") for x in names)
     assert "pipeline" in names
 
 
 def test_contract_columns(spark):
-    expect = {"op1_toxicity": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
+    expect = {"op11_lm_scores": {"doc_id": "bigint", "held_out": "boolean", "n_tokens": "bigint", "n_known": "bigint",
+                                 "train_tokens": "bigint", "base_score": "double", "score": "double", "bits_per_byte": "double"},
+              "op12_conversation_repair": {"conv_id": "bigint", "gaps": "bigint", "blank": "bigint", "duplicate": "bigint",
+                                           "truncated": "bigint", "illegal": "bigint", "cost": "bigint", "audit": "string",
+                                           "repaired_sha256": "string"},
+              "op13_merkle_manifest": {"doc_id": "bigint", "leaf": "string", "subroot": "string", "root": "string",
+                                       "proof_sha256": "string", "folded_root": "string", "verified": "boolean"},
+              "op1_toxicity": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
               "op2_probminhash_neardup": {"doc_id": "bigint", "class_id": "bigint"},
               "op3_substring_dedup": {"doc_id": "bigint", "n_words": "bigint", "n_removed": "bigint", "kept_sha256": "string"},
               "op5_exact_topk": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "bigint"},
