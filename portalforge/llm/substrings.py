@@ -199,7 +199,14 @@ def copied_runs(rows: DataFrame, packed: DataFrame) -> DataFrame:
     ref = F.when(own, F.col("hi")).otherwise(F.col("lo"))
     ends = ends.select("id", "key", F.col("at").alias("start"), F.lit(1).alias("count"),
                        ref["id"].alias("ref_id"), ref["at"].alias("ref_start"))
-    return full.unionByName(ends).distinct()  # equal rows (id and text) have equal runs
+    return full.unionByName(ends)
+
+
+def document_runs(rows: DataFrame, packed: DataFrame) -> DataFrame:
+    """id, key and the document's runs; equal rows (id and text) have equal
+    runs, and each is held once, already before the shuffle."""
+    run = F.struct("start", "count", "ref_id", "ref_start")
+    return copied_runs(rows, packed).groupBy("id", "key").agg(F.collect_set(run).alias("runs"))
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
@@ -208,8 +215,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("id"),
                        F.xxhash64("text").alias("key"), F.col("text").cast("string").alias("text"))
     packed = rows.mapInArrow(_pack, "id long, key long, packed binary")
-    runs = copied_runs(rows, packed)
-    runs = runs.groupBy("id", "key").agg(F.collect_list(F.struct("start", "count", "ref_id", "ref_start")).alias("runs"))
+    runs = document_runs(rows, packed)
     out = packed.join(runs, ["id", "key"], "left").select("id", "key", "packed", "runs").mapInArrow(
         _cut, f"id long, kept string, n_words long, n_removed long, factors {_FACTOR}")
     return out.select(F.when(F.col("id") != _NO_ID, F.col("id")).alias("doc_id"), "kept", "n_words", "n_removed", "factors")
