@@ -82,3 +82,23 @@ def test_no_interval_is_listed_more_than_twice_a_level(spark):
     df = spark.createDataFrame(_intervals(rng, 500, [1, 10**5, 10**7, 25 * 10**7, 10**10]), "i long, c string, s long, e long")
     most = binned(df, "s", "e", bin_size=1000).groupBy("i").count().agg(F.max("count")).first()[0]
     assert most <= 2 * LEVELS
+
+
+def test_listed_features_are_not_broadcast_on_an_estimate(spark):
+    a = spark.createDataFrame([(i, "c", i * 1000, i * 1000 + 50_000) for i in range(50)], "i int, lc string, ls long, le long")
+    b = spark.createDataFrame([(j, "c", j * 700, j * 700 + 900) for j in range(50)], "j int, rc string, rs long, re long")
+    cols = {"left_cols": ("lc", "ls", "le"), "right_cols": ("rc", "rs", "re")}
+    plan = overlap_join(a, b, **cols)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and ", Inner, BuildRight" not in plan and ", Inner, BuildLeft" not in plan
+    assert "BroadcastHashJoin" in overlap_join(a, b, strategy="broadcast", **cols)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_that_straddle_bins_of_every_level_meet_once(spark):
+    edges = [w for w in (1_000, 8_000, 64_000, 512_000, 4_096_000, 9_000_000)]
+    spans = [(e + d, e + d + n) for e in edges for d in (-3, 0, 3) for n in (2, 5, 900, 7_000, 60_000, 500_000, 4_000_000, 9_000_000)]
+    a = spark.createDataFrame([(i, "c", *s) for i, s in enumerate(spans)], "i int, lc string, ls long, le long")
+    b = spark.createDataFrame([(i, "c", *s) for i, s in enumerate(spans)], "j int, rc string, rs long, re long")
+    hits = overlap_join(a, b, left_cols=("lc", "ls", "le"), right_cols=("rc", "rs", "re"), bin_size=1000)
+    got = sorted((r.i, r.j) for r in hits.collect())
+    want = sorted((i, j) for i, x in enumerate(spans) for j, y in enumerate(spans) if x[0] < y[1] and y[0] < x[1])
+    assert got == want
