@@ -33,7 +33,7 @@ def _tsv(rows: DataFrame, file: Column, columns: list[Column], order: Column, he
 
 def _written(lines: DataFrame, name: str) -> str:
     folder = shared_folder(lines.sparkSession, name)
-    outputs.write_files(lines, folder)
+    outputs.put_files(lines, folder)
     return folder
 
 

@@ -295,7 +295,8 @@ def read_forms(spark: SparkSession, paths: str | Sequence[str], **where) -> Data
     is the file name and ``form_no`` its place among the names in order, as
     a sorted file list has it."""
     lines = read_lines(spark, paths, **where).withColumnRenamed("source_file", "form_id")
-    forms = running_totals(lines.select("form_id").distinct(), group=[], order=["form_id"], before="form_no")
+    names = located(_text(spark, paths, **where)).select(_basename("source_path").alias("form_id")).distinct()  # no numbers needed
+    forms = running_totals(names, group=[], order=["form_id"], before="form_no")
     return lines.join(forms, "form_id").select("form_id", (F.col("form_no") + 1).alias("form_no"), "line_no", "line")
 
 
