@@ -109,16 +109,15 @@ def named_rows(lines: DataFrame, columns: Sequence[str], headers: DataFrame | No
     have more or fewer fields than their header.  A line equal to its file's
     header is no row.
 
-    ``headers``: (source_path, header); by default a file's first line.  Many
-    files share few headers: a file carries the number of its header, and the
-    texts and column positions are a dictionary of the distinct ones."""
+    ``headers``: (source_path, header); by default a file's first line.  A
+    file's header and column positions are joined by its path only: few headers
+    are shared by many files, so a join by header would put most rows in one
+    task."""
     headers = file_headers(lines) if headers is None else headers
-    numbered = headers.select(F.col("source_path").alias("_path"), "header", F.sha2("header", 256).alias("_number"))
     names = F.split("header", "\t", -1)
     places = F.transform(F.array(*[F.lit(c) for c in columns]), lambda c: (F.array_position(names, c) - 1).cast("int"))
-    dictionary = numbered.select(F.col("_number").alias("_entry"), "header").distinct().withColumn("_places", places)
-    rows = lines.join(numbered.select("_path", "_number"), F.col("source_path") == F.col("_path"))
-    rows = rows.join(dictionary, F.col("_number") == F.col("_entry")).filter(F.col("value") != F.col("header"))
+    tops = headers.select(F.col("source_path").alias("_path"), "header", places.alias("_places"))
+    rows = lines.join(tops, F.col("source_path") == F.col("_path")).filter(F.col("value") != F.col("header"))
     cells = F.split("value", "\t", -1)
     return rows.select("source_path", "source_file", "row_key",
                        *[F.get(cells, F.get("_places", i)).alias(c) for i, c in enumerate(columns)])

@@ -162,3 +162,18 @@ def test_blocks_of_a_large_file_find_the_header(spark, tmpdir_fresh):
         assert rows.filter("Gene = concat('G', FPKM)").count() == rows.count() == 5000
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_rows_are_not_dealt_by_their_header(spark):
+    rows = [(f"f{i}", "a\tb" if n == 0 else f"{i}\t{n}", n) for i in range(40) for n in range(4)]
+    lines = files.keyed_lines(spark.createDataFrame([(v, f, n) for f, v, n in rows], "value string, source_path string, block long")
+                              .withColumn("block", F.lit(0).cast("long")))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = files.named_rows(lines, ["b"])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert sorted(int(r.b) for r in out.collect()) == sorted([1, 2, 3] * 40)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("SortMergeJoin") == 1 and "hashpartitioning(_number" not in plan
