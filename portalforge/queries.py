@@ -162,19 +162,25 @@ class Models:
         return self._keep("cnv_samples", lambda: cnv.sample_ploidy(
             matrix_columns(self.file_manifest, "cnv"), self.b.v_ploidy), durable=False)
 
+    @property
+    def expression_rows(self) -> DataFrame:
+        """The rows of the expression files; their jobs read them several times
+        (means, cells, samples)."""
+        return self._keep("expression", lambda: self.b.v_expr)
+
     @property
     def expression(self) -> DataFrame:
         """Expression rows under portal tumour names, all projects together:
         sample, gene_id, fpkm (a file in several projects counts once)."""
         names = matrix_columns(self.file_manifest, "rsem").select("Cbio_Tumor_Name", "sample_id").distinct()
-        rows = self.b.v_expr.join(names, F.col("specimen_id") == F.col("sample_id"))
+        rows = self.expression_rows.join(names, F.col("specimen_id") == F.col("sample_id"))
         return rows.select(F.col("Cbio_Tumor_Name").alias("sample"), "gene_id", "fpkm")
 
     @property
     def expression_samples(self) -> DataFrame:
         """Expression matrix columns in manifest order."""
         return matrix_columns(self.file_manifest, "rsem").join(
-            self.b.v_expr.select(F.col("specimen_id").alias("sample_id")).distinct(), "sample_id").select(
+            self.expression_rows.select(F.col("specimen_id").alias("sample_id")).distinct(), "sample_id").select(
             "Cbio_project", F.col("Cbio_Tumor_Name").alias("sample"), *MANIFEST_ORDER)
 
     @property
@@ -294,7 +300,7 @@ def _expression_by_project(m: Models) -> DataFrame:
     part = F.substring("sample_id", 4, 20).cast("long") % 3
     names = columns.select(F.concat_ws("_", "Cbio_project", part.cast("string")).alias("Cbio_project"),
                            F.col("Cbio_Tumor_Name").alias("sample"), "sample_id").distinct()
-    return m.b.v_expr.join(names, F.col("specimen_id") == F.col("sample_id")).select("Cbio_project", "sample", "gene_id", "fpkm")
+    return m.expression_rows.join(names, F.col("specimen_id") == F.col("sample_id")).select("Cbio_project", "sample", "gene_id", "fpkm")
 
 
 @register

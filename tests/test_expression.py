@@ -38,3 +38,23 @@ def test_sample_without_representative_genes_counts(spark):
     df = _long(spark, [("E1_X", "a", 4.0), ("E1_X", "b", 9.0), ("E2_X", "c", 1.0)])
     z = expression.expression_zscore(expression.expression_matrix(df), df)
     assert {(r.sample, r.zscore) for r in z.collect()} == {("a", 0.0), ("b", 0.0)}
+
+
+def test_the_jobs_share_one_computation_of_the_expression_rows(spark, monkeypatch):
+    from portalforge import queries as Q
+
+    class Bound:
+        built = 0
+
+        @property
+        def v_expr(self):
+            Bound.built += 1
+            return spark.createDataFrame([("G", "BS_1", 1.0)], "gene_id string, specimen_id string, fpkm double")
+
+    names = spark.createDataFrame([("p", "s1", "BS_1", "BS_1", "f")], "Cbio_project string, Cbio_Tumor_Name string, sample_id string, T_CL_BS_ID string, File_Name string")
+    monkeypatch.setattr(Q, "matrix_columns", lambda *a: names)
+    monkeypatch.setattr(Q.Models, "file_manifest", None)
+    m = Q.Models.__new__(Q.Models)
+    m.b, m._kept = Bound(), {}
+    assert m.expression.count() == m.expression_samples.count() == Q._expression_by_project(m).count() == 1
+    assert Bound.built == 1
