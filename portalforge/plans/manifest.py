@@ -13,13 +13,15 @@ from portalforge.functions.exprs import decode, strip_prefixes
 from portalforge.operators.joins import anti_join, semi_join
 
 
-def merged_manifest(manifests: DataFrame | Sequence[DataFrame]) -> DataFrame:
-    """UNION DISTINCT of the study's manifests, active rows only."""
+def merged_manifest(manifests: DataFrame | Sequence[DataFrame], distinct: bool = True) -> DataFrame:
+    """UNION DISTINCT of the study's manifests, active rows only (UNION ALL
+    without ``distinct``)."""
     if isinstance(manifests, DataFrame):
         manifests = [manifests]
     cols = ["biospecimen_id", "normal_id", "file_type", "file_name"]
     parts = [m.filter(F.col("status") == "active").select(*cols) for m in manifests]
-    return reduce(DataFrame.unionByName, parts).distinct()
+    merged = reduce(DataFrame.unionByName, parts)
+    return merged.distinct() if distinct else merged
 
 
 def file_manifest(manifests: DataFrame | Sequence[DataFrame], hidden: DataFrame,
@@ -31,17 +33,19 @@ def file_manifest(manifests: DataFrame | Sequence[DataFrame], hidden: DataFrame,
     A manifest file belongs to a registry sample when its specimen is the
     first or second specimen of that sample (the OR join is rewritten as an
     equi join on the exploded pair) and the sample is on the sample sheet.
+
+    The files stay dealt by specimen from the hide list to the result: repeats
+    go on each side before the join, and the sheet is asked of the short
+    (specimen, name) pairs, not of the files.
     """
-    merged = merged_manifest(manifests).filter(F.col("file_type").isin(*file_types))
-    merged = anti_join(merged, hidden.select("biospecimen_id"), "biospecimen_id")
+    merged = merged_manifest(manifests, distinct=False).filter(
+        F.col("file_type").isin(*file_types) & ~F.col("file_name").contains(".vcf.gz"))
+    merged = anti_join(merged, hidden.select("biospecimen_id"), "biospecimen_id").distinct()
     first_two = registry.select(
         F.explode(F.array_distinct(F.slice("specimen_id", 1, 2))).alias("_spec"),
         "formatted_sample_id")
-    gm = merged.join(first_two, merged["biospecimen_id"] == first_two["_spec"], "inner")
-    gm = semi_join(gm, sample_sheet.select("SAMPLE_ID"), gm["formatted_sample_id"] == F.col("SAMPLE_ID"))
-    gm = gm.select("biospecimen_id", "normal_id", "file_type", "file_name",
-                   "formatted_sample_id").distinct()
-    gm = gm.filter(~F.col("file_name").contains(".vcf.gz"))
+    listed = semi_join(first_two, sample_sheet.select("SAMPLE_ID"), first_two["formatted_sample_id"] == F.col("SAMPLE_ID")).distinct()
+    gm = merged.join(listed, merged["biospecimen_id"] == listed["_spec"], "inner")
     return gm.select(
         F.when(F.col("biospecimen_id").isNotNull(), F.lit(study_name)).alias("Cbio_project"),
         F.col("biospecimen_id").alias("T_CL_BS_ID"),

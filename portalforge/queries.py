@@ -666,7 +666,7 @@ def patient_sheet_two_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def file_manifest_two_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Bindings(spark, sf_dir)
-    registries = two_registries(b)
+    registries = materialize(two_registries(b), "registries")  # read for the names and for the sheet
     return manifest.file_manifest([b.v_manifest, b.v_manifest_2], b.v_hidden, registries, _two_sheet(b, registries), PROJECT)
 
 

@@ -110,3 +110,21 @@ def test_sheet_below_header_table_rows(spark):
     head = spark.createDataFrame([(2, "#d1", "d2"), (1, "#l1", "l2")], "n int, ID string, B string")
     lines = sheet_below_rows(sheet, head, ["n"]).orderBy("section", "line_no", "line").collect()
     assert [r.line for r in lines] == ["#l1\tl2", "#d1\td2", "ID\tB", "P1\t", "P2\tx"]
+
+
+def test_files_are_dealt_by_specimen_once(spark):
+    files = spark.createDataFrame([("B1", "N", "RSEM_gene", "f.txt", "active")] * 2 + [("B1", None, "RSEM_gene", "v.vcf.gz", "active"),
+                                  ("B2", "N", "RSEM_gene", "g.txt", "active"), ("B3", "N", "RSEM_gene", "h.txt", "active")],
+                                  "biospecimen_id string, normal_id string, file_type string, file_name string, status string")
+    hidden = spark.createDataFrame([("B2",)], "biospecimen_id string")
+    registry = spark.createDataFrame([("s", ["B1", "B2"]), ("s", ["B1"]), ("t", ["B3"])], "formatted_sample_id string, specimen_id array<string>")
+    sheet = spark.createDataFrame([("s",), ("s",)], "SAMPLE_ID string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = manifest.file_manifest(files, hidden, registry, sheet, "study", ["RSEM_gene"])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert [(r.T_CL_BS_ID, r.Cbio_Tumor_Name, r.File_Name) for r in out.collect()] == [("B1", "s", "f.txt")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("Exchange hashpartitioning") <= 5  # files, hide list, names, sheet, (specimen, name)
