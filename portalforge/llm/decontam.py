@@ -5,10 +5,12 @@
    (only they can make a passage similar to an item); their inverse document
    frequencies count all segments of all documents.
 2. A randomised SVD of the TF-IDF passages gives a latent space.  It is fitted
-   on a bounded sample (the SAMPLE distinct passages of the corpus with the
-   smallest fingerprints, whatever its layout, and all benchmark passages,
-   weighted to the same total); its range finder and power iterations run over
-   the sample as Spark jobs that add up small (terms x rank) matrices.
+   on every passage of every document and all benchmark passages, weighted to
+   the same total.  One pass counts how often two terms share a passage, in
+   whole numbers, so the layout does not matter; each task sends its counts of
+   at most CELLS pairs (more terms take more passes) and Spark adds them up by
+   runs of rows.  The range finder and power iterations run over that table as
+   Spark jobs that add up small (terms x rank) matrices.
 3. A passage of a document is projected and compared by cosine with every
    benchmark passage.  Passages whose words make up less than GATE of the
    weight of every benchmark passage are left out before: the check below
@@ -40,6 +42,8 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, replace
+from functools import reduce
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -48,16 +52,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from portalforge.llm.common import stored, text_bytes, text_slices
-from portalforge.llm.words import SYMBOLS, find_words, mix64, span_hash, prefix
+from portalforge.llm.words import SYMBOLS, find_words, mix64
 
 PASSAGE, SEGMENT = 32, 16
 RANK, OVERSAMPLE, POWER = 256, 16, 2
-SAMPLE = 20_000
-GROUP_WORDS = 1 << 16  # words of items that share a space: bounds its terms
+SAMPLE = None  # no part of the passages is picked for the fit: all count
+GROUP_WORDS = 1 << 13  # words of items that share a space: bounds its terms
+CELLS = 1 << 24  # pairs of terms that a task counts in one pass
+RUN_CELLS = 1 << 18  # and those sent in one row
+WORDS_COUNTED = 1 << 23  # words of a task after which its counts are sent
 ITEMS_AT_ONCE = 400  # items scored together
 GATE = 0.15  # of some benchmark passage's weight that a passage must hold
 SIMILAR = 0.55  # latent cosine of a candidate
 TINY, SHORT = 8, SEGMENT  # words of items compared with windows of their own length (up to TINY: only so)
+WINDOWS_AT_ONCE = 1 << 13  # windows and items looked up together
 ENTRIES = 1 << 20  # places of short items' words looked at together
 STRONG, WEAK, ANSWER = 0.7, 0.45, 0.75
 TERM_BLOCK = 512
@@ -177,47 +185,91 @@ def _term_hashes(texts: list[str]) -> list[np.ndarray]:
     return [w.hashes[a:b] for a, b in zip(w.first[:-1], w.first[1:])]
 
 
-def _statistics(lookup: Lookup, limit: int):
-    """One pass over the documents: segments holding each term, and the
-    passages with a fingerprint below ``limit``, equal ones of a task once."""
-    n_terms, limit = len(lookup.terms), np.uint64(limit)
+def _together(term: np.ndarray, first: np.ndarray):
+    """(term, term, n) of known words that share n passages, for every distance
+    of them in the text: the smaller term is first.  A
+    passage is a segment and the next one of its text."""
+    start, doc = _segments(first)
+    segment = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(term))))
+    at = np.flatnonzero(term >= 0)
+    t, s = term[at], segment[at]
+    twice = np.append(False, doc[1:] == doc[:-1])[s].astype(np.int32) + 1
+    for step in range(min(PASSAGE, len(t))):
+        if not step:
+            yield t, t, twice
+            continue
+        ok = np.flatnonzero((s[step:] - s[:-step] <= 1) & (doc[s[step:]] == doc[s[:-step]]))
+        if not len(ok):
+            return
+        a, b = t[ok], t[ok + step]
+        n = np.where(s[ok] == s[ok + step], twice[ok], np.int32(1))
+        yield np.minimum(a, b), np.maximum(a, b), n << (a == b)  # a word with its like, both ways
+
+
+def _statistics(lookup: Lookup, low: int, high: int, rows: int):
+    """One pass over the documents: segments holding each term, and how often
+    the terms ``low`` to ``high`` share a passage with each that is not smaller,
+    packed by ``rows`` rows of a (terms x terms) table."""
+    n_terms = len(lookup.terms)
+
+    def packed(table):
+        codec = pa.Codec("lz4")
+        for lo in range(0, len(table), rows):
+            part = table[lo:lo + rows]
+            if part.any():
+                yield pa.RecordBatch.from_pydict({
+                    "term": pa.array([None], pa.int32()), "n": pa.array([None], pa.int64()), "row": pa.array([low + lo], pa.int32()),
+                    "counts": pa.array([codec.compress(part.tobytes(), asbytes=True)], pa.binary())})
+                part[:] = 0
 
     def run(batches):
         counts, total = np.zeros(n_terms, np.int64), 0
-        rows: dict[int, np.ndarray] = {}
+        table, words = np.zeros((high - low, n_terms), np.int32), 0
         for batch, raw, offsets in text_slices(batches, lower=True):
             w = find_words(raw, offsets, SYMBOLS)
             if not len(w.hashes):
                 continue
             term = lookup(w.hashes)
-            start, doc = _segments(w.first)
+            start, _ = _segments(w.first)
             total += len(start)
             segment = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(term))))
             known = term >= 0
             pairs = np.unique(segment[known] * np.int64(n_terms) + term[known])
             counts += np.bincount(pairs % n_terms, minlength=n_terms)
-            stop = np.minimum(start + PASSAGE, w.first[doc + 1])
-            mark = span_hash(prefix(w.hashes), start, stop)
-            for i in np.flatnonzero(mark <= limit):
-                inside = term[start[i]:stop[i]]
-                inside = inside[inside >= 0]
-                if len(inside):
-                    rows[int(mark[i])] = inside
+            words += len(term)
+            if words > WORDS_COUNTED:  # no count of the table passes 4 * PASSAGE * words
+                yield from packed(table)
+                words = len(term)
+            for a, b, n in _together(term, w.first):
+                mine = slice(None) if high - low == n_terms else (a >= low) & (a < high)
+                np.add.at(table.reshape(-1), (a[mine] - low) * np.int64(n_terms) + b[mine], n[mine])
         has = np.flatnonzero(counts)
         yield pa.RecordBatch.from_pydict({
             "term": pa.array(np.append(has, -1), pa.int32()), "n": np.append(counts[has], total),
-            "mark": pa.array([None] * (len(has) + 1), pa.int64()), "terms": pa.array([None] * (len(has) + 1), pa.list_(pa.int32()))})
-        marks = list(rows)
-        for lo in range(0, len(marks), 4096):
-            part = marks[lo:lo + 4096]
-            yield pa.RecordBatch.from_pydict({
-                "term": pa.array([None] * len(part), pa.int32()), "n": pa.array([None] * len(part), pa.int64()),
-                "mark": np.array(part, np.uint64).view(np.int64) ^ np.int64(-2 ** 63),
-                "terms": pa.array([rows[m] for m in part], pa.list_(pa.int32()))})
+            "row": pa.array([None] * (len(has) + 1), pa.int32()), "counts": pa.array([None] * (len(has) + 1), pa.binary())})
+        yield from packed(table)
 
     return run
 
 
+def _counts(packed: bytes, row: int, rows: int, n_terms: int, kind) -> np.ndarray:
+    """The table's run of ``rows`` rows (the last one: fewer) from ``row``."""
+    rows = min(rows, n_terms - row)
+    raw = pa.Codec("lz4").decompress(packed, decompressed_size=rows * n_terms * np.dtype(kind).itemsize)
+    return np.frombuffer(raw, kind).reshape(rows, n_terms)
+
+
+def _adder(rows: int, n_terms: int):
+    """One run of rows, added up over all tasks."""
+    def add(table: pa.Table) -> pa.Table:
+        row = table.column("row")[0].as_py()
+        total = sum(_counts(x.as_py(), row, rows, n_terms, np.int32).astype(np.int64) for x in table.column("counts"))
+        return pa.table({"row": pa.array([row], pa.int32()),
+                         "counts": pa.array([pa.Codec("lz4").compress(total.tobytes(), asbytes=True)], pa.binary())})
+
+    return add
+
+
 def _times(batches_rows, idf: np.ndarray, right: np.ndarray):
     """A.T (A right) of sparse rows, as (block of terms -> matrix)."""
     out = np.zeros((len(idf), right.shape[1]))
@@ -233,20 +285,22 @@ def _times(batches_rows, idf: np.ndarray, right: np.ndarray):
     return out
 
 
-def _arrow_rows(batches):
-    for batch in batches:
-        for lo in range(0, batch.num_rows, 2048):
-            part = batch.slice(lo, 2048)
-            lists = pa.concat_arrays([part.column(0)])
-            yield lists.values.to_numpy(), lists.offsets.to_numpy().astype(np.int64), np.ones(len(lists))
-
-
-def _gram_times(sample: DataFrame, idf: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """A.T A right over the sampled passages, added up by blocks of terms."""
-    shared = sample.sparkSession.sparkContext.broadcast((idf, right))
+def _gram_times(gram: DataFrame, rows: int, idf: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """A.T A right over the passages of all documents; ``gram`` holds the upper
+    half of their A.T A before weighting, and its sum goes by blocks of terms."""
+    n_terms, shape = len(idf), right.shape
+    shared = gram.sparkSession.sparkContext.broadcast((idf, right))
 
     def partial(batches):
-        own = _times(_arrow_rows(batches), *shared.value)
+        weight, own = shared.value[0][:, None], np.zeros(shape)
+        scaled = shared.value[1] * weight
+        for batch in batches:
+            for row, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
+                part = _counts(packed.as_py(), row, rows, n_terms, np.int64).astype(np.float64)
+                mine = slice(row, row + len(part))
+                own += part.T @ scaled[mine]
+                own[mine] += part @ scaled - part[np.arange(len(part)), np.arange(row, row + len(part))][:, None] * scaled[mine]
+        own *= weight
         for b in range(0, len(own), TERM_BLOCK):
             part = own[b:b + TERM_BLOCK]
             if part.any():
@@ -256,7 +310,7 @@ def _gram_times(sample: DataFrame, idf: np.ndarray, right: np.ndarray) -> np.nda
         total = sum(np.frombuffer(x.as_py(), np.float64) for x in table.column("matrix"))
         return pa.table({"block": table.column("block")[:1], "matrix": pa.array([total.tobytes()], pa.binary())})
 
-    sums = sample.select("terms").mapInArrow(partial, "block int, matrix binary").groupBy("block").applyInArrow(add, "block int, matrix binary")
+    sums = gram.select("row", "counts").mapInArrow(partial, "block int, matrix binary").groupBy("block").applyInArrow(add, "block int, matrix binary")
     out = np.zeros((len(idf), right.shape[1]))
     for block, matrix in sums.collect():  # terms x rank numbers in all
         part = np.frombuffer(matrix, np.float64).reshape(-1, right.shape[1])
@@ -289,25 +343,25 @@ def space(docs: DataFrame, items: list[tuple[int, str]]) -> Space | None:
     lookup = Lookup(np.unique(np.concatenate(hashes)))
     n_terms = len(lookup.terms)
     texts = docs.filter("text IS NOT NULL").select(F.col("text").cast("string").alias("text"))
-    # No text has more segments than this; so about SAMPLE to four times SAMPLE passages pass on.
-    segments = (texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // (2 * SEGMENT) + texts.count()
-    limit = min(2 ** 64 - 1, 8 * SAMPLE * 2 ** 64 // max(segments, 1))
-    gathered = stored(texts.mapInArrow(_statistics(lookup, limit), "term int, n long, mark long, terms array<int>"), "decontam-terms")
-    counted = gathered.filter("term IS NOT NULL").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    rows = max(1, RUN_CELLS // n_terms)
+    step = max(1, CELLS // n_terms // rows) * rows
+    gathered = [stored(texts.mapInArrow(_statistics(lookup, lo, min(lo + step, n_terms), rows), "term int, n long, row int, counts binary"),
+                       "decontam-terms") for lo in range(0, n_terms, step)]
+    counted = gathered[0].filter("term IS NOT NULL").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     term, n = counted.column("term").to_numpy(), counted.column("n").to_numpy()
     held, total = np.zeros(n_terms), int(n[term == -1].sum())
     held[term[term >= 0]] = n[term >= 0]
     idf = np.log((total + 2.0) / (held + 1.0))
-    passed = gathered.filter("mark IS NOT NULL").groupBy("mark").agg(F.first("terms").alias("terms"))
-    sample = stored(passed.orderBy("mark").limit(SAMPLE).select("terms"), "decontam-sample")
+    tables = reduce(DataFrame.unionByName, [x.filter("row IS NOT NULL").select("row", "counts") for x in gathered])
+    whole = stored(tables.groupBy("row").applyInArrow(_adder(rows, n_terms), "row int, counts binary"), "decontam-gram")
 
     own_terms, _ = _passages([lookup(h) for h in hashes])
     flat = np.concatenate(own_terms)
     offsets = np.concatenate(([0], np.cumsum([len(x) for x in own_terms])))
-    weight = np.full(len(own_terms), max(1.0, (sample.count() / len(own_terms)) ** 0.5))
+    weight = np.full(len(own_terms), max(1.0, (total / len(own_terms)) ** 0.5))
 
     def gram(right: np.ndarray) -> np.ndarray:
-        return _gram_times(sample, idf, right) + _times([(flat, offsets, weight)], idf, right)
+        return _gram_times(whole, rows, idf, right) + _times([(flat, offsets, weight)], idf, right)
 
     rank = min(RANK, n_terms)
     q = np.random.default_rng(11).standard_normal((n_terms, min(rank + OVERSAMPLE, n_terms)))
@@ -385,6 +439,70 @@ def _windows(model: Model, term: np.ndarray, first: np.ndarray):
         lo = hi
 
 
+def _place_keys(term: np.ndarray) -> np.ndarray:
+    """The known words' terms and places as one sorted number each."""
+    at = np.flatnonzero(term >= 0)
+    return np.sort(term[at].astype(np.int64) * len(term) + at)
+
+
+def _may_match(model: Model, in_order: np.ndarray, n: int, k: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Whether the words lo to hi of the n hold enough of item k in any order."""
+    def held(of: list[np.ndarray], k: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        size = np.array([len(x) for x in of])
+        first, flat = np.cumsum(size) - size, np.concatenate(of)
+        row = np.repeat(np.arange(len(k)), size[k])
+        item = flat[np.arange(len(row)) + np.repeat(first[k] - (np.cumsum(size[k]) - size[k]), size[k])]
+        at = np.searchsorted(in_order, item * np.int64(n) + lo[row])
+        there = in_order[np.minimum(at, len(in_order) - 1)] < item * np.int64(n) + hi[row]
+        weight = model.idf[item]
+        whole = np.bincount(row, weight, len(k))
+        return np.bincount(row, weight * (there & (at < len(in_order))), len(k)) / np.where(whole > 0, whole, 1)
+
+    out = np.zeros(len(k), bool)
+    if not len(in_order):
+        return out
+    answers = [x if len(x) else own for x, own in zip(model.answers, model.sequences)]
+    for a in range(0, len(k), WINDOWS_AT_ONCE):
+        part = slice(a, a + WINDOWS_AT_ONCE)
+        most = held(model.sequences, k[part], lo[part], hi[part])
+        weak = np.flatnonzero(most >= WEAK - 1e-9)
+        out[a + weak] = (most[weak] >= STRONG - 1e-9) | (
+            held(answers, k[part][weak], lo[part][weak], hi[part][weak]) >= ANSWER - 1e-9)
+    return out
+
+
+def _latent(basis: np.ndarray, term: np.ndarray, start: np.ndarray, end: np.ndarray, rows: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Sums of the basis over the passages that begin with the segments
+    ``rows``; each segment's words are added up once, unknown ones left out."""
+    segment = np.unique(np.concatenate((rows, rows[two[rows]] + 1)))
+    at = start[segment, None] + np.arange(SEGMENT)
+    words = np.where(at < end[segment, None], term[np.minimum(at, len(term) - 1)], -1)
+    words = -np.sort(-words, axis=1)
+    n = (words >= 0).sum(axis=1)
+    order = np.argsort(-n, kind="stable")
+    words, upto = words[order], np.searchsorted(-n[order], -np.arange(SEGMENT))
+    sums = np.zeros((len(segment), basis.shape[1]), np.float32)
+    for j, m in enumerate(upto):
+        sums[:m] += basis[words[:m, j]]
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    out = sums[place[np.searchsorted(segment, rows)]]
+    more = np.flatnonzero(two[rows])
+    out[more] += sums[place[np.searchsorted(segment, rows[more] + 1)]]
+    return out
+
+
+def _held(model: Model, term: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Parts of every benchmark passage's weight that the passages' words make up."""
+    at = start[:, None] + np.arange(PASSAGE)
+    once = np.sort(np.where(at < stop[:, None], term[np.minimum(at, len(term) - 1)], -1), axis=1)
+    once[:, 1:][once[:, 1:] == once[:, :-1]] = -1
+    index, posting = model.held(once.ravel())
+    n = len(model.asked_item)
+    held = np.bincount(index // PASSAGE * n + model.held.owner[posting], model.held.value[posting], len(start) * n)
+    return held.reshape(len(start), n)
+
+
 def _judge(model: Model, raw: np.ndarray, offsets: np.ndarray, similar: float = SIMILAR) -> dict[int, tuple]:
     """text number -> (item id, cosine, shared, answer) of the best match;
     candidates are the passages at a cosine of ``similar``."""
@@ -397,15 +515,8 @@ def _judge(model: Model, raw: np.ndarray, offsets: np.ndarray, similar: float =
     def done(d: int, k: int) -> bool:
         return d in out and out[d][0] == model.item_id[k] and out[d][2] >= 0.999
 
-    there = np.zeros(len(model.idf) + 1, bool)
-
     def take(d: int, k: int, cosine: float | None, around: np.ndarray, by_number: bool) -> None:
         best = out.get(d)
-        there[around] = True
-        most = [model.idf[x[there[x]]].sum() / model.idf[x].sum() for x in (model.sequences[k], model.answers[k]) if len(x)]
-        there[around] = False
-        if most[0] < STRONG - 1e-9 and (most[0] < WEAK - 1e-9 or most[-1] < ANSWER - 1e-9):
-            return  # in no order
         shared = common_share(model.sequences[k], around, model.idf)
         if shared < WEAK:
             return
@@ -421,9 +532,13 @@ def _judge(model: Model, raw: np.ndarray, offsets: np.ndarray, similar: float =
         if best is None or (shared, -model.item_id[k]) > (best[2], -best[0]):
             out[d] = (model.item_id[k], _cosine(model, around, k) if cosine is None else cosine, shared, answer)
 
-    for d, k, lo, hi in _windows(model, term, w.first):
-        if not done(d, k):
-            take(d, k, None, term[lo:hi], True)
+    in_order = _place_keys(term)
+    for some in batched(_windows(model, term, w.first), WINDOWS_AT_ONCE):
+        _, k, lo, hi = np.array(some).T
+        for i in np.flatnonzero(_may_match(model, in_order, len(term), k, lo, hi)):
+            d, k, lo, hi = some[i]
+            if not done(d, k):
+                take(d, k, None, term[lo:hi], True)
 
     start, doc = _segments(w.first)
     two = np.append(doc[1:] == doc[:-1], False)  # a passage is a segment and the next one
@@ -432,34 +547,32 @@ def _judge(model: Model, raw: np.ndarray, offsets: np.ndarray, similar: float =
     hot = np.flatnonzero(inside >= GATE)
     if not len(hot):
         return out
-    stop = np.minimum(start[hot] + PASSAGE, w.first[doc[hot] + 1])
-    wide = np.array([len(model.sequences[k]) > TINY for k in model.asked_item])
-    seen: set[tuple[int, int, int]] = set()
+    end = np.minimum(start + SEGMENT, w.first[doc + 1])
+    stop = np.where(two[hot], end[np.minimum(hot + 1, len(end) - 1)], end[hot])
+    reach = np.array([len(x) for x in model.sequences])
+    wide = reach[model.asked_item] > TINY
+    seen = np.empty(0, np.int64)
     for lo in range(0, len(hot), 512):
         rows = hot[lo:lo + 512]
-        at = start[rows, None] + np.arange(PASSAGE)
-        words = np.where(at < stop[lo:lo + 512, None], term[np.minimum(at, len(term) - 1)], -1)
-        once = np.sort(words, axis=1)
-        once[:, 1:][once[:, 1:] == once[:, :-1]] = -1
-        index, posting = model.held(once.ravel())
-        held = np.bincount(index // PASSAGE * len(wide) + model.held.owner[posting], model.held.value[posting], len(rows) * len(wide))
-        held = held.reshape(len(rows), len(wide))
-        keep = held.max(axis=1) >= GATE
-        rows, words, held = rows[keep], words[keep], held[keep]
-        latent = np.zeros((len(rows), model.basis.shape[1]), np.float32)
-        for j in range(PASSAGE):  # other words take the basis' last row, zeros
-            latent += model.basis[words[:, j]]
+        latent = _latent(model.basis, term, start, end, rows, two)
         latent /= np.maximum(np.linalg.norm(latent, axis=1), 1e-12)[:, None]
         cosine = latent @ model.asked
-        for i, j in zip(*np.nonzero((cosine >= similar) & wide)):
-            p, k = rows[i], int(model.asked_item[j])
-            d, reach = int(doc[p]), len(model.sequences[k])
-            key = (d, k, int(start[p]) // (2 * SEGMENT))
-            if key in seen or done(d, k):
-                continue
-            seen.add(key)
-            around = term[max(w.first[d], start[p] - reach):min(w.first[d + 1], start[p] + PASSAGE + reach)]
-            take(d, k, float(cosine[i, j]), around, False)
+        close = cosine >= similar
+        near = np.flatnonzero(close.any(axis=1))
+        near = near[_held(model, term, start[rows[near]], stop[lo + near]).max(axis=1, initial=0) >= GATE]
+        i, j = np.nonzero(close[near] & wide)
+        p, k, near = rows[near[i]], model.asked_item[j], cosine[near[i], j]
+        # An item is tried once in neighbouring passages, in the first of them.
+        key = (doc[p] * len(reach) + k) * (len(term) // (2 * SEGMENT) + 1) + start[p] // (2 * SEGMENT)
+        lead = np.sort(np.unique(key, return_index=True)[1])
+        lead = lead[~np.isin(key[lead], seen)]
+        p, k, near, seen = p[lead], k[lead], near[lead], key
+        left = np.maximum(w.first[doc[p]], start[p] - reach[k])
+        right = np.minimum(w.first[doc[p] + 1], start[p] + PASSAGE + reach[k])
+        for x in np.flatnonzero(_may_match(model, in_order, len(term), k, left, right)):
+            d, item = int(doc[p[x]]), int(k[x])
+            if not done(d, item):
+                take(d, item, float(near[x]), term[left[x]:right[x]], False)
     return out
 
 

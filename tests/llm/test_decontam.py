@@ -224,3 +224,31 @@ def test_recall_where_the_sample_is_bounded(spark):
     want = {r.doc_id for r in docs.select("doc_id", "text").filter("text is not null").repartition(16).mapInArrow(exhaustive, "doc_id long").collect()}
     got = {r.doc_id for r in decontam.contamination(docs, bench).filter("contaminated").collect()}
     assert len(want) > 100 and len(want & got) >= .9 * len(want)
+
+
+def test_the_space_is_fitted_on_every_passage(spark, monkeypatch):
+    """Terms that share a passage, counted passage by passage in plain Python,
+    in one pass or several and with counts sent in portions."""
+    draw = random.Random(12)
+    words = [f"c{i}" for i in range(30)]
+    items = [(i, " ".join(draw.sample(words, 12))) for i in range(6)]
+    texts = [" ".join(draw.choice([*words, "other"]) for _ in range(draw.randrange(0, 150))) for _ in range(40)] + ["c1 c1 c1 c2"] * 3
+    docs = spark.createDataFrame(list(enumerate([*texts, None])), "doc_id long, text string")
+    raw, offsets = text_bytes(pa.array(texts), lower=True)
+    w = find_words(raw, offsets, SYMBOLS)
+    lookup = decontam.Lookup(np.unique(np.concatenate(decontam._worded(items)[1])))
+    n, passages = len(lookup.terms), []
+    for lo, hi in zip(w.first[:-1], w.first[1:]):
+        passages += [lookup(w.hashes[at:min(at + decontam.PASSAGE, hi)]) for at in range(lo, hi, decontam.SEGMENT)]
+    a = np.stack([np.bincount(p[p >= 0], minlength=n) for p in passages])
+    seen = []
+    times = decontam._gram_times
+    monkeypatch.setattr(decontam, "_gram_times", lambda *x: seen.append((x[2], x[3], times(*x))) or seen[-1][2])
+    for cells, run, counted, parts in ((1 << 24, 1 << 18, 1 << 23, 1), (7 * n, 3 * n, 500, 5), (1, 1, 1, 2)):
+        for name, value in (("CELLS", cells), ("RUN_CELLS", run), ("WORDS_COUNTED", counted)):
+            monkeypatch.setattr(decontam, name, value)
+        decontam.space(docs.repartition(parts), items)
+        idf, right, got = seen[0]
+        weighted = a * idf
+        np.testing.assert_allclose(got, weighted.T @ (weighted @ right), rtol=1e-9, atol=1e-9)
+        seen.clear()
