@@ -7,10 +7,14 @@ max-pooled over the chunk and a small dense layer turns the pooled values into
 one number per chunk.  The numbers of all chunks are averaged and squashed to
 one probability.
 
-The network is fitted with Adam in one task on a bounded sample (``SAMPLE``
-labelled documents, ``CHUNKS_FITTED`` chunks of each, spread over the text);
-its size does not depend on the data and it is broadcast.  Scoring is a narrow
-map over the scan in bounded steps, so a text of any length is scored whole.
+The network is fitted with Adam on every labelled document outside the held-out
+fold, ``CHUNKS_FITTED`` drawn chunks of each in an epoch.  Up to ``SHARD``
+documents are one task's work.  More are dealt by a hash of their id into
+shards; in each of ``ROUNDS`` rounds every shard goes on from the same network
+for its part of the epochs, and the networks (and Adam's means) are averaged,
+weighted by documents.  The network's size does not depend on the data and it
+is broadcast.  Scoring is a narrow map over the scan in bounded steps, so a
+text of any length is scored whole.
 
 Defined cases: null and empty texts are one chunk of padding; without labelled
 rows every score is 0.5; a short last chunk is padded with zero bytes.
@@ -25,13 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from portalforge.llm.common import held_out, text_bytes, text_slices
-from portalforge.llm.labelled import labelled_sample
+from portalforge.llm.common import held_out, stored, text_bytes, text_slices
+from portalforge.llm.labelled import labelled
 
 CHUNK, STEP = 256, 128
 WIDTH, STRIDE = 8, 4
 EMBED, FILTERS, HIDDEN = 8, 48, 24
-SAMPLE = 8_000
+SHARD = 8_000  # labelled documents that one task fits
+ROUNDS = 2  # averages over the shards; divides EPOCHS
+SUMS = 16  # rows in which a round's networks reach the driver
 CHUNKS_FITTED = 6
 EPOCHS, BATCH, RATE = 6, 32, 4e-3
 THRESHOLD = 0.3
@@ -112,12 +118,13 @@ class Network:
         return {"embed": d_embed, "filters": d_filters, "bias": d_best.sum(axis=0), "dense": pooled.T @ d_hidden,
                 "dense_bias": d_hidden.sum(axis=0), "out": hidden.T @ d_logit, "out_bias": d_logit.sum(keepdims=True)}
 
-    def fit(self, texts: list[np.ndarray], y: np.ndarray, seed: int = 3) -> None:
+    def fit(self, texts: list[np.ndarray], y: np.ndarray, seed=3, epochs: range = range(EPOCHS), means: tuple | None = None) -> tuple:
+        """Some of the EPOCHS epochs, from Adam's ``means``; returns the new ones."""
         draw = np.random.default_rng(seed)
-        m = {k: np.zeros_like(v) for k, v in self.p.items()}
-        s = {k: np.zeros_like(v) for k, v in self.p.items()}
-        step, total = 0, max(1, EPOCHS * -(-len(texts) // BATCH))
-        for _ in range(EPOCHS):
+        m, s = means or [{k: np.zeros_like(v) for k, v in self.p.items()} for _ in range(2)]
+        each = -(-len(texts) // BATCH)
+        step, total = epochs.start * each, max(1, EPOCHS * each)
+        for _ in epochs:
             order = draw.permutation(len(texts))
             for lo in range(0, len(order), BATCH):
                 pick = order[lo:lo + BATCH]
@@ -135,33 +142,66 @@ class Network:
                     m[k] += 0.1 * (v - m[k])
                     s[k] += 0.01 * (v * v - s[k])
                     self.p[k] -= (rate * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(s[k] / (1 - 0.99 ** step)) + 1e-8)).astype(np.float32)
+        return m, s
 
 
-def _fit(batches):
-    """One task: the sample's texts (bounded by SAMPLE) -> the fitted network."""
-    ids, texts, ys = [], [], []
-    for batch in batches:
-        raw, offsets = text_bytes(batch.column(1))
-        ids += batch.column(0).to_pylist()
-        ys += batch.column(2).to_pylist()
-        texts += [raw[a:b].copy() for a, b in zip(offsets[:-1], offsets[1:])]
-    if not ids:
-        return
-    order = np.argsort(np.array(ids))
-    network = Network()
-    network.fit([texts[i] for i in order], np.array(ys, np.float32)[order])
-    yield pa.RecordBatch.from_pydict({"network": pa.array([pickle.dumps(network.p)], pa.binary())})
+def _fitter(state, epochs: range, alone: bool):
+    """A shard's documents -> its number of documents and its share of the
+    averages: the network and Adam's means after ``epochs``, times that number."""
+    def fit_shard(table: pa.Table) -> pa.Table:
+        texts = []
+        for batch in table.select(["text"]).to_batches():
+            raw, offsets = text_bytes(batch.column(0))
+            texts += [raw[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
+        order = np.argsort(table.column("doc_id").to_numpy())
+        texts, y = [texts[i] for i in order], table.column("y").to_numpy().astype(np.float32)[order]
+        network, means, shard = Network(), None, table.column("shard")[0].as_py()
+        if state is not None:
+            network.p, *means = [{k: v.copy() for k, v in x.items()} for x in state.value]
+        means = network.fit(texts, y, 3 if alone else [3, epochs.start, shard], epochs, means)
+        return _row(shard, len(texts), [network.p, *means] if alone else [
+            {k: v.astype(np.float64) * len(texts) for k, v in x.items()} for x in (network.p, *means)])
+
+    return fit_shard
+
+
+def _row(shard: int, n: int, state: list) -> pa.Table:
+    return pa.table({"shard": pa.array([shard], pa.int32()), "n": pa.array([n], pa.int64()), "state": pa.array([pickle.dumps(state)], pa.binary())})
+
+
+def _added(table: pa.Table) -> pa.Table:
+    table = table.sort_by("shard")
+    total = None
+    for packed in table.column("state"):
+        state = pickle.loads(packed.as_py())
+        total = state if total is None else [{k: t[k] + x[k] for k in t} for t, x in zip(total, state)]
+    return _row(table.column("shard")[0].as_py(), sum(table.column("n").to_pylist()), total)
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", folds: int = 5, fold: int = 0,
-        sample: int = SAMPLE) -> Network | None:
-    """The network fitted on the sample (None without labelled rows)."""
-    rows = labelled_sample(docs, labels, label, folds=folds, fold=fold, limit=sample)
-    found = rows.coalesce(1).mapInArrow(_fit, "network binary").collect()
-    if not found:
+        shard: int = SHARD) -> Network | None:
+    """The network fitted on all labelled rows outside the fold (None without any)."""
+    spark, row = docs.sparkSession, "shard int, n long, state binary"
+    rows = stored(labelled(docs, labels, label, folds=folds, fold=fold), "quality-labelled")
+    n = -(-rows.count() // shard)
+    if not n:
         return None
-    network = Network()
-    network.p = pickle.loads(found[0][0])
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int")).repartitionByRange(n, "shard")
+    state, network = None, Network()
+    for number in range(1 if n == 1 else ROUNDS):
+        epochs = range(EPOCHS) if n == 1 else range(number * EPOCHS // ROUNDS, (number + 1) * EPOCHS // ROUNDS)
+        found = rows.groupBy("shard").applyInArrow(_fitter(state, epochs, n == 1), row)
+        if n > 1:
+            found = found.groupBy(F.col("shard") % SUMS).applyInArrow(_added, row)
+        found = found.orderBy("shard").collect()  # at most SUMS rows
+        if n == 1:
+            network.p = pickle.loads(found[0]["state"])[0]
+            return network
+        total = pickle.loads(_added(pa.Table.from_pylist([r.asDict() for r in found], pa.schema(
+            [("shard", pa.int32()), ("n", pa.int64()), ("state", pa.binary())]))).column("state")[0].as_py())
+        count = sum(r["n"] for r in found)
+        mean = [{k: (v / count).astype(np.float32) for k, v in x.items()} for x in total]
+        state, network.p = spark.sparkContext.broadcast(mean), mean[0]
     return network
 
 

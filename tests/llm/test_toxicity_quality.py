@@ -94,3 +94,38 @@ def test_chunks_cover_every_byte():
 def test_accepted_keeps_columns(awkward, clashing):
     kept = quality.accepted(clashing(awkward), None, threshold=0.3)
     assert kept.columns == clashing(awkward).columns and kept.count() == awkward.count()
+
+
+def test_quality_learns_from_every_labelled_document(spark, tables):
+    """Several shards (of a fifth of SHARD): held-out figures as with one."""
+    docs, labels = tables
+    network = quality.fit(docs, labels, shard=quality.SHARD // 5)
+    scored = quality.score(docs, network).selectExpr(
+        "doc_id", "crc32(cast(doc_id AS string)) % 5 = 0 AS held_out", "score", f"int(score >= {quality.THRESHOLD}) AS predicted")
+    y, p, auc = _held_out(scored, labels, "quality")
+    assert auc > 0.98 and p[y == 1].mean() > 0.99 and p[y == 0].mean() < 0.3
+
+
+def test_quality_averages_the_shards(spark, documents):
+    rows = [(i, ("good words here " if i % 2 else "zq xx kk ") * (1 + i % 7), "en", "s") for i in range(60)]
+    docs = documents(rows)
+    labels = spark.createDataFrame([(i, i % 2) for i, *_ in rows], "doc_id long, quality int")
+    shard = {r.doc_id: r.shard for r in docs.selectExpr("doc_id", "int(pmod(xxhash64(doc_id), 3)) AS shard").collect()}
+    ids = [i for i, *_ in rows if zlib.crc32(str(i).encode()) % 5]
+    assert 40 < len(ids) <= 60
+    state, epochs = None, quality.EPOCHS // quality.ROUNDS
+    for number in range(quality.ROUNDS):
+        parts = []
+        for s in range(3):
+            mine = [i for i in ids if shard[i] == s]
+            net, means = quality.Network(), None
+            if state:
+                net.p, *means = [{k: v.copy() for k, v in x.items()} for x in state]
+            means = net.fit([np.frombuffer(rows[i][1].encode(), np.uint8) for i in mine], np.array([i % 2 for i in mine], np.float32),
+                            [3, number * epochs, s], range(number * epochs, (number + 1) * epochs), means)
+            parts.append((len(mine), [net.p, *means]))
+        state = [{k: (sum(n * x[j][k].astype(float) for n, x in parts) / len(ids)).astype(np.float32) for k in parts[0][1][0]} for j in range(3)]
+    for layout in (docs, docs.repartition(7)):
+        got = quality.fit(layout, labels, shard=-(-len(ids) // 3))
+        for k, v in state[0].items():
+            np.testing.assert_allclose(got.p[k], v, rtol=1e-4, atol=1e-5)
