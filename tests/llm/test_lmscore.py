@@ -291,3 +291,38 @@ def test_places_found_by_range_are_those_of_a_search():
             common = (known, None, rng.integers(0, 16, len(known)).astype(np.int8), None)
             for a, b in zip(lmscore._classes(common, asked), lmscore._classes(common, asked, lmscore._ranges(known))):
                 assert np.array_equal(a, b)
+
+
+def test_rare_words_are_spelled_among_all_tokens_of_the_common_ones(spark, monkeypatch):
+    monkeypatch.setattr(lmscore, "COMMON", 8)
+    tokens = {"walk": 900, "talk": 700, "walks": 3, "walking": 2, "talker": 1, "wombat": 5, "new": 0, "walkway" * 6: 4, "talkway" * 6: 0}
+    n_all = 1700
+    common = ["walk", "talk"]
+    words = spark.createDataFrame([(w, n, max(n, 1), len(w) % 3) for w, n in tokens.items()], "word string, n long, n_all long, kind int")
+    found = {r.word: r for r in lmscore.spelled(words, n_all).collect()}
+    assert found.keys() == tokens.keys()
+    assert {w for w, r in found.items() if r["class"] != lmbits.RARE} == set(common)
+
+    rows = [(len(w) % 3, w) for w in common] + [(lmbits.RARE, w) for w in tokens]
+    kind, listed = zip(*rows)
+    block, table = lmscore._block(pa.table({"word": listed, "class": pa.array(kind, pa.int32()), "n": [tokens[w] for w in listed],
+                                            "tokens": [tokens[w] for w in listed]}), None)
+    edges = block.edges()
+    tables = lmbits.counted(edges).astype(np.float32)
+    ln_p = block.word_sums(edges, lmbits.log_probabilities(edges, tables, lmbits.train(edges, tables)[0]))
+    at = {(k, w): p for k, w, p in zip(table.column("class").to_pylist(), table.column("word").to_pylist(), ln_p)}
+    left = 1 - sum(math.exp(at[lmbits.RARE, w]) for w in common)
+    assert 0 < left < 0.2
+    for w, r in found.items():
+        rare = w not in common
+        assert math.isclose(r.ln_p, at[lmbits.RARE if rare else len(w) % 3, w] - (math.log(left) if rare else 0), rel_tol=1e-5)
+
+
+def test_bytes_beyond_the_trie_are_learned_from_training_words_only():
+    long = sorted([b"a" * 40, b"b" * 50 + b"c"])
+    both, one = _block(long, [2, 0]), _block(long[:1], [2])
+    assert np.array_equal(lmbits.counted(both.edges()), lmbits.counted(one.edges()))
+    tables = lmbits.counted(one.edges()).astype(np.float32)
+    weights, seen = lmbits.train(one.edges(), tables)
+    assert seen.sum() == 2 * 8 * 41  # two tokens of forty bytes and an end
+    assert np.array_equal(weights, lmbits.train(both.edges(), tables)[0]) and not np.array_equal(weights, lmbits.START)
