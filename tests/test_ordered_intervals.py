@@ -102,3 +102,40 @@ def test_rows_that_straddle_bins_of_every_level_meet_once(spark):
     got = sorted((r.i, r.j) for r in hits.collect())
     want = sorted((i, j) for i, x in enumerate(spans) for j, y in enumerate(spans) if x[0] < y[1] and y[0] < x[1])
     assert got == want
+
+
+@pytest.mark.parametrize("part", [256, 3])
+def test_gathered_hits_are_the_pairs_of_the_plain_join(spark, monkeypatch, part):
+    from portalforge.operators import intervals
+    monkeypatch.setattr(intervals, "PART", part, raising=False)
+    rng = random.Random(4)
+    lengths = [0, 1, 50, 3_000, 80_000, 5_000_000, 600_000_000]
+    left, right = _intervals(rng, 150, lengths), _intervals(rng, 150, lengths)
+    left += [left[0], (7, None, 1, 9), (8, "c0", None, 9)]
+    right += [right[0], (None, "c0", 5, 10**9), (9, None, 1, 9), (9, "c1", 3, None)]
+    a = spark.createDataFrame(left, "l long, lc string, ls long, le long")
+    b = spark.createDataFrame(right, "r long, rc string, rs long, re long")
+    cols = {"left_cols": ("lc", "ls", "le"), "right_cols": ("rc", "rs", "re")}
+    want = sorted(((x.l, x.ls, x.r) for x in overlap_join(a, b, bin_size=10_000, **cols).collect()), key=str)
+    for strategy in ("binned", "broadcast"):
+        lists = overlap_join(a, b, bin_size=10_000, strategy=strategy, gather="r", **cols)
+        assert lists.columns == ["l", "lc", "ls", "le", "r"]
+        rows = lists.collect()
+        assert max(len(x.r) for x in rows) <= part and want
+        assert sorted(((x.l, x.ls, r) for x in rows for r in x.r), key=str) == want
+
+
+def test_segments_are_dealt_to_samples_once_with_their_symbols(spark):
+    inputs = _cnv_inputs(spark)
+    plan = cnv.cnv_to_genes(*inputs)._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(sample_id#" in line]
+    assert len(dealt) == 1 and "REPARTITION_BY_NUM" in dealt[0]  # not one row for each hit, by sample and symbol
+
+
+def test_segments_of_samples_that_are_not_asked_for_are_left_out(spark):
+    segs, genes, hugo = _cnv_inputs(spark)
+    segs = segs.union(segs.limit(20).selectExpr("cast(null as string)", "line_no", "chrom", "seg_start", "seg_end", "cn"))
+    asked = spark.createDataFrame([("S1",), ("S3",), ("S3",), (None,), ("none",)], "sample_id string")
+    got = cnv.cnv_to_genes(segs, genes, hugo, samples=asked)
+    want = cnv.cnv_to_genes(segs, genes, hugo).filter("sample_id in ('S1', 'S3')")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) != []
