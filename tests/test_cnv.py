@@ -111,3 +111,20 @@ def test_matrix_blocks_nulls_and_order(spark, monkeypatch):
     assert got == want
     head = {r.project: r.line for r in matrix.header_line(samples, group=["project"], sample="sample", order=["k", "n"], first="G").collect()}
     assert head == {"P": "\t".join(["G"] + [r[1] for r in order]), "Q": "G\tS3"}
+
+
+def test_cells_of_a_matrix_are_computed_once(spark):
+    from pyspark.sql import functions as F
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def gene(n):
+        read.add(1)
+        return f"G{n % 3}"
+
+    samples = spark.createDataFrame([("P", f"S{i}", 2) for i in range(6)], "Cbio_project string, sample_id string, ploidy int")
+    cells = spark.range(6).select(F.concat(F.lit("S"), "id").alias("sample_id"), gene("id").alias("Hugo_Symbol"),
+                                  F.lit(7).alias("copy_number"))
+    lines = {r.Hugo_Symbol: r.matrix_line for r in cnv.cnv_matrix(cells, samples).collect()}
+    assert lines == {f"G{g}": "\t".join("7" if i % 3 == g else "2" for i in range(6)) for g in range(3)}
+    assert read.value == 6  # once for a cell; a second time for the rows' names before
