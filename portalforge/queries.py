@@ -562,7 +562,7 @@ def write_testdata_package(spark: SparkSession, sf_dir: str, out_dir: str,
 def cnv_cells_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sparse long form of the CNV matrices: observed cells with ploidy and level."""
     b = Bindings(spark, sf_dir)
-    return cnv.cnv_cells_long(cnv.cnv_to_genes(b.v_segment, b.v_gene, b.v_hugo), _cnv_samples(b)).select(
+    return cnv.cnv_cells_long(_gene_cn(b, _cnv_samples(b)), _cnv_samples(b)).select(
         "Cbio_project", "Cbio_Tumor_Name", "sample_id", "Hugo_Symbol", "copy_number", "ploidy", "level")
 
 
