@@ -738,7 +738,7 @@ def duplicate_gene_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Bindings(spark, sf_dir)
     named = file_manifest_of(b).filter(F.col("File_Type") == "cnv").select(
         "Cbio_project", "Cbio_Tumor_Name", F.col("T_CL_BS_ID").alias("sample_id"), "File_Name")
-    return cnv.duplicate_cells(cnv.cnv_to_genes(b.v_segment, b.v_gene, b.v_hugo).join(named, "sample_id"))
+    return cnv.duplicate_cells(_gene_cn(b, named).join(named, "sample_id"))
 
 
 @register
