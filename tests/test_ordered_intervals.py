@@ -139,3 +139,15 @@ def test_segments_of_samples_that_are_not_asked_for_are_left_out(spark):
     got = cnv.cnv_to_genes(segs, genes, hugo, samples=asked)
     want = cnv.cnv_to_genes(segs, genes, hugo).filter("sample_id in ('S1', 'S3')")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) != []
+
+
+def test_orders_that_do_not_fit_stop_the_job_with_or_without_hits(spark):
+    _, genes, hugo = _cnv_inputs(spark)
+    segs = spark.createDataFrame([("S1", 1, "chr0", 0, 10**8, 2), ("S2", 2**31 - 1, "nowhere", 0, 10**6, 2)],
+                                 "sample_id string, line_no int, chrom string, seg_start long, seg_end long, cn int")
+    asked = spark.createDataFrame([("S1",)], "sample_id string")
+    for samples in (None, asked):
+        with pytest.raises(Exception, match="order value beyond 31 bits.*2147483647"):
+            cnv.cnv_to_genes(segs, genes, hugo, samples=samples).collect()
+        assert cnv.cnv_to_genes(segs.filter("line_no = 1"), genes, hugo, samples=samples).count() > 0
+        cnv.cnv_to_genes(segs, genes, hugo, samples=samples, order_bits=None).collect()
